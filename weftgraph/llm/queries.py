@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, mixing, packing, sharding, store, tokens
 from .common import documents
 
 SHARDS = 40
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), tokens.vocabulary("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = store.write(documents(spark, sf_dir), tokens.vocabulary("word_bpe_49k.json"))
+    return store.digest(spark, made)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
@@ -25,7 +36,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_mixing, op9_sharding, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op4_token_store, op8_mixing, op9_sharding, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
