@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sharding, store, tokens
+from . import exact_dedup, mixing, packing, sharding, store, token_counts, tokens
 from .common import documents
 
 SHARDS = 40
@@ -23,6 +23,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.digest(spark, made)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), tokens.vocabulary("piece_bpe_32k.model"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
@@ -36,7 +40,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_token_store, op8_mixing, op9_sharding, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op4_token_store, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
