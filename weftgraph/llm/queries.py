@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sharding, store, token_counts, tokens
+from . import exact_dedup, media, mixing, packing, sharding, store, token_counts, tokens
 from .common import documents
 
 SHARDS = 40
@@ -23,6 +23,20 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.digest(spark, made)
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.read_media(media.store_text(documents(spark, sf_dir)))
+    shown = F.transform("clips", lambda c: F.concat_ws(":", c["first_frame"], c["n_frames"], c["level"]))
+    return read.select(
+        "doc_id", "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.concat_ws(";", shown).alias("feature"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokens.vocabulary("piece_bpe_32k.model"))
 
@@ -40,7 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_token_store, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op4_token_store, op5_media, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
