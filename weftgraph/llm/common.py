@@ -2,49 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.tables import materialize, release, shared_dir  # noqa: F401
+
 #: A word: a longest run of bytes other than space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own: dict[str, str] = {}
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or a folder of
-    this session's own where that setting is absent (local tests)."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        folder = tempfile.TemporaryDirectory(prefix="weftgraph-")
-        atexit.register(folder.cleanup)
-        _own[app] = f"file://{folder.name}"
-    return _own[app]
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns it as read from there: a
-    cut of lineage that survives the loss of any executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/weftgraph-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_text(col: str | Column = "doc_id") -> Column:
     """An id as text; null gives the empty string."""
     return F.coalesce(F.col(col).cast("string") if isinstance(col, str) else col.cast("string"), F.lit(""))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, media, mixing, packing, sharding, store, substring_dedup, token_counts, tokens
+from . import exact_dedup, media, mixing, ngram_join, packing, sharding, store, substring_dedup, token_counts, tokens
 from .common import documents
 
 SHARDS = 40
@@ -22,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(documents(spark, sf_dir))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir)).drop("row")
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = store.write(documents(spark, sf_dir), tokens.vocabulary("word_bpe_49k.json"))
     return store.digest(spark, made)
@@ -58,12 +62,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op4_token_store, op5_media, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_token_store, op5_media, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": substring_dedup.SQL,
+        "op3_ngram_join": ngram_join.SQL,
         "op8_mixing": mixing.SQL,
         "op9_sharding": sharding.sql(sharding.topology(SHARDS), sharding.topology(SHARDS + 1)),
         "op10_exact_dedup": exact_dedup.SQL,
