@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, media, mixing, ngram_join, packing, sharding, store, substring_dedup, token_counts, tokens
+from . import exact_dedup, media, mixing, ngram_join, packing, sharding, store, substring_dedup, token_counts, tokens, toxicity
 from .common import documents
 
 SHARDS = 40
@@ -45,6 +45,12 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    index = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, index).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokens.vocabulary("piece_bpe_32k.model"))
 
@@ -62,7 +68,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_token_store, op5_media, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_token_store, op5_media, op6_toxicity, op7_token_counts, op8_mixing, op9_sharding, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
