@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from . import shingles
-from .common import arrow_schema, materialize, slices, text_bytes
+from .common import arrow_schema, materialize, release, slices, text_bytes
+from .exchange import BUCKET, SENT, code, exchange, pack, runs
 
 WINDOW = 35
 SLICE_BYTES = 2 << 20
@@ -32,10 +33,7 @@ BLOCK_BYTES = 1 << 20
 
 def levels(window: int) -> list[int]:
     """Lengths that double up to the window: 9, 18, 35 for 35."""
-    out = [window]
-    while out[0] > 8:
-        out.insert(0, -(-out[0] // 2))
-    return out
+    return [-(-window // 4), -(-window // 2), window]
 
 
 def _slide(x: np.ndarray, span: int, f) -> np.ndarray:
@@ -89,10 +87,6 @@ class Windows:
         return np.cumsum(step[:-1]) > 0
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
 def _in(x: np.ndarray, held: np.ndarray) -> np.ndarray:
     if not len(held) or not len(x):
         return np.zeros(len(x), bool)
@@ -101,12 +95,13 @@ def _in(x: np.ndarray, held: np.ndarray) -> np.ndarray:
     return held[np.minimum(k, len(held) - 1)] == x
 
 
-def _first_requests(schema, window: int):
-    """(hash, other, at, n) of the first level: once per text and piece."""
+def _first_requests(schema, window: int, buckets: int):
+    """The chosen pieces of the first level, per text; one that a text chooses at several places, twice."""
     names = arrow_schema(schema)
     length = levels(window)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, off = text_bytes(batch.column(1))
             row = batch.column(0).to_numpy()
@@ -117,11 +112,14 @@ def _first_requests(schema, window: int):
                 doc = np.searchsorted(w.first, at, "right") - 1
                 order = np.lexsort((h[at], doc))
                 doc, hs = doc[order], h[at][order]
-                new = np.ones(len(hs), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (hs[1:] != hs[:-1])
-                k = np.flatnonzero(new)
-                n = np.minimum(2, np.diff(np.append(k, len(hs))))
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(hs[k])), pa.array(np.zeros(len(k), np.int64)), pa.array(row[a:b][doc[k]]), pa.array(n.astype(np.int32))], schema=names)
+                third = np.zeros(len(hs), bool)
+                third[2:] = (doc[2:] == doc[:-2]) & (hs[2:] == hs[:-2])
+                doc, hs = doc[~third], hs[~third]
+                docs, begin = np.unique(doc, return_index=True)
+                sets = np.split(hs, begin[1:]) if len(docs) else []
+                for k in range(0, len(docs), 1 << 16):
+                    yield pack(number, row[a:b][docs[k : k + (1 << 16)]], sets[k : k + (1 << 16)], buckets, names)
+                    number += 1
 
     return run
 
@@ -130,49 +128,47 @@ def _digest(words: Iterator[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _split(schema, window: int):
-    """Rows (row, doc_id, text, alive pieces of the first level): a document without a
-    window left gives its result; the others go into blocks of bounded text."""
+def _split(schema, window: int, buckets: int):
+    """Rows (doc_id, text, codes alive at the first level): a document without a window
+    left gives its result; the others go into blocks of bounded text."""
     names = arrow_schema(schema)
     length = levels(window)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         held: list[dict] = []
-        alive: list[np.ndarray] = []
         size = 0
 
         def block() -> tuple:
-            nonlocal number, held, alive, size
+            nonlocal number, held, size
             number += 1
-            out = (number, held, _signed(np.unique(np.concatenate(alive))).tolist(), None, None, None, None)
-            held, alive, size = [], [], 0
+            out = (number, held, None, None, None, None)
+            held, size = [], 0
             return out
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), names, strict=True)], schema=names)
 
         for batch in batches:
-            ids, texts, lists = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            ids, texts, alive = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
             data, off = text_bytes(texts)
-            values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64) if len(lists.values) else np.zeros(0, np.uint64)
-            ends = lists.offsets.to_numpy()
             for a, b in slices(off, SLICE_BYTES):
                 rows: list[tuple] = []
                 w = Windows(data, off[a : b + 1], window)
                 least, _ = w.chosen(length)
                 for i in range(a, b):
                     f0, f1 = int(w.first[i - a]), int(w.first[i - a + 1])
-                    own = values[ends[i] : ends[i + 1]] if lists[i].is_valid else values[:0]
-                    if len(own) and f1 - f0 >= window and (hit := _in(least[f0 : f1 - window + 1], own)).any():
-                        held.append({"doc_id": ids[i], "text": texts[i].as_py()})
-                        alive.append(np.unique(least[f0 : f1 - window + 1][hit]))
+                    left = np.zeros(0, bool)
+                    if alive[i] and f1 - f0 >= window:
+                        left = _in(code(least[f0 : f1 - window + 1], buckets), np.frombuffer(alive[i], "<u8"))
+                    if left.any():
+                        held.append({"doc_id": ids[i], "text": texts[i].as_py(), "windows": np.packbits(left).tobytes()})
                         size += int(off[i + 1] - off[i])
                         if size >= BLOCK_BYTES:
                             rows.append(block())
                     else:
                         body = data[off[i] : off[i + 1]].tobytes()
-                        rows.append((None, None, None, ids[i], f1 - f0, 0, _digest(body.split())))
+                        rows.append((None, None, ids[i], f1 - f0, 0, _digest(body.split())))
                 if rows:
                     yield batch_of(rows)
         if held:
@@ -181,60 +177,118 @@ def _split(schema, window: int):
     return run
 
 
-def _block(row: dict, window: int, strong: bool = False) -> tuple[Windows, np.ndarray, list, np.ndarray]:
-    docs = row["docs"]
-    body = pa.array([d["text"] for d in docs], pa.string())
-    data, off = text_bytes(body)
-    alive = np.array(row["alive"] or [], np.int64).view(np.uint64)
-    return Windows(data, off, window, strong), alive, docs, off
+class Block:
+    """A block of candidate documents, and what the levels so far have left of their windows."""
+
+    def __init__(self, row: dict, window: int):
+        self.docs = row["docs"]
+        data, self.off = text_bytes(pa.array([d["text"] for d in self.docs], pa.string()))
+        self.w = w = Windows(data, self.off, window, strong=True)
+        self.window = window
+        self.left = np.zeros(len(w.whole), bool)
+        for i, d in enumerate(self.docs):
+            f0, n = int(w.first[i]), int(w.first[i + 1] - w.first[i]) - window + 1
+            self.left[f0 : f0 + n] = np.unpackbits(np.frombuffer(d["windows"], np.uint8), count=n)
+        self.left &= w.whole
+
+    def ask(self, length: int, buckets: int) -> None:
+        """The pieces that windows still left choose, in the order of (bucket, code, hash);
+        a code ends in whether the block has the piece at several places."""
+        w = self.w
+        self.least, h = w.chosen(length)
+        at = w.places(length, self.left, self.least, h)
+        h2 = shingles.window_hashes(w.words2, length, 1)[at]
+        bucket, half = (h2 >> np.uint64(32)) % np.uint64(buckets), h2 & np.uint64(0x7FFFFFFF)
+        order = np.lexsort((h[at], half, bucket))
+        bucket, half, more = bucket[order], half[order], h[at][order]
+        new = np.ones(len(more), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (half[1:] != half[:-1]) | (more[1:] != more[:-1])
+        k = np.flatnonzero(new)
+        many = np.diff(np.append(k, len(more))) > 1
+        self.bucket, self.more = bucket[k].astype(np.int64), more[k]
+        self.codes = (half[k] << np.uint64(1) | many).astype("<u4")
+
+    def told(self, answers: list[dict] | None) -> None:
+        """Drops the windows whose piece occurs nowhere else."""
+        alive = np.zeros(len(self.more), bool)
+        for x in answers or []:
+            a, b = np.searchsorted(self.bucket, [x["bucket"], x["bucket"] + 1])
+            alive[a:b] = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=int(b - a))
+        self.left &= _in(self.least, self.more[alive])
+
+
+def _block_after(row: dict, window: int, asked: list[int], buckets: list[int]) -> Block:
+    """The block after the answers of the levels asked so far."""
+    out = Block(row, window)
+    for k, (length, n) in enumerate(zip(asked, buckets, strict=True)):
+        out.ask(length, n)
+        out.told(row[f"answers{k}"])
+    return out
 
 
-def _requests(schema, window: int, before: int, length: int):
-    """(hash, other, at, n) of a level: once per block and piece that a window chooses which the level before left."""
+def _requests(schema, window: int, asked: list[int], buckets: list[int], length: int, n: int):
+    """(at, bucket, codes, more): what a block asks at a level."""
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                w, alive, _, _ = _block(row, window, length == window)
-                left = w.whole & _in(w.chosen(before)[0], alive)[: len(w.whole)] if len(w.whole) else w.whole
-                least, h = w.chosen(length)
-                at = w.places(length, left, least, h)
-                h2 = shingles.window_hashes(w.words2, length, 1)[at] if length == window else np.zeros(len(at), np.uint64)
-                order = np.lexsort((h2, h[at]))
-                h1, h2 = h[at][order], h2[order]
-                new = np.ones(len(h1), bool)
-                new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-                k = np.flatnonzero(new)
-                n = np.minimum(2, np.diff(np.append(k, len(h1)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(h1[k])), pa.array(_signed(h2[k])), pa.array(np.full(len(k), row["block"], np.int64)), pa.array(n)], schema=names)
+                block = _block_after(row, window, asked, buckets)
+                block.ask(length, n)
+                used, begin = np.unique(block.bucket, return_index=True)
+                cuts = np.append(begin, len(block.bucket)).tolist()
+                parts = list(zip(cuts, cuts[1:], strict=False))
+                if parts:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row["block"]] * len(parts), pa.int64()), pa.array(used.astype(np.int32)), pa.array([block.codes[a:b].tobytes() for a, b in parts], pa.binary()), pa.array([block.more[a:b].tobytes() for a, b in parts], pa.binary())],
+                        schema=names,
+                    )
 
     return run
 
 
-def _alive(requests: DataFrame) -> DataFrame:
-    """(at, alive): per asker, the pieces that occur twice or more in all. Askers come at
-    most once per piece, and counts are summed before they meet."""
-    twice = requests.groupBy("hash", "other").agg(F.sum("n").alias("total")).filter("total >= 2").select("hash", "other")
-    return requests.join(twice, ["hash", "other"]).groupBy("at").agg(F.collect_list("hash").alias("alive"))
+def _count(schema):
+    """Per asker and bucket, a bit for each piece: whether it occurs twice or more in all."""
+    names = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, 1):
+            codes = np.concatenate([np.frombuffer(r["codes"], "<u4") for r in rows])
+            more = np.concatenate([np.frombuffer(r["more"], "<u8") for r in rows])
+            half, many = codes >> 1, (codes & 1).astype(bool)
+            order = np.lexsort((more, half))
+            half, more = half[order], more[order]
+            same = (half[1:] == half[:-1]) & (more[1:] == more[:-1])
+            twice = np.zeros(len(codes), bool)
+            twice[1:] |= same
+            twice[:-1] |= same
+            out = np.empty(len(codes), bool)
+            out[order] = twice
+            out |= many
+            at, bits = 0, []
+            for r in rows:
+                n = len(r["codes"]) // 4
+                bits.append(np.packbits(out[at : at + n]).tobytes())
+                at += n
+            yield pa.RecordBatch.from_arrays([pa.array([r["at"] for r in rows], pa.int64()), pa.array([r["bucket"] for r in rows], pa.int32()), pa.array(bits, pa.binary())], schema=names)
+
+    return run
 
 
-def _results(schema, window: int):
+def _results(schema, window: int, asked: list[int], buckets: list[int]):
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                w, alive, docs, off = _block(row, window)
-                repeated = w.whole & _in(w.chosen(window)[0], alive)[: len(w.whole)] if len(w.whole) else w.whole
-                gone = w.removed(repeated)
+                block = _block_after(row, window, asked, buckets)
+                w, gone = block.w, block.w.removed(block.left)
                 out = []
-                for i, d in enumerate(docs):
+                for i, d in enumerate(block.docs):
                     f0, f1 = int(w.first[i]), int(w.first[i + 1])
                     cut = gone[f0:f1]
-                    body = w.data[off[i] : off[i + 1]].tobytes().split()
-                    kept = compress(body, (~cut).tolist())
-                    out.append((d["doc_id"], f1 - f0, int(cut.sum()), _digest(kept)))
+                    body = w.data[block.off[i] : block.off[i + 1]].tobytes().split()
+                    out.append((d["doc_id"], f1 - f0, int(cut.sum()), _digest(compress(body, (~cut).tolist()))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), names, strict=True)], schema=names)
 
     return run
@@ -249,25 +303,40 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", id_col: str
     repeated rows repeat each other's windows; texts shorter than a window keep all;
     null ids are kept as they are; other columns are ignored; an empty table gives no rows.
 
-    Hashes have 64 bits where they only rule windows out, and 128 at the last level.
+    The first level only rules windows out; the later ones compare 95 bits of hash and more.
     """
     steps = levels(window)
-    if len(steps) < 2:
-        raise ValueError("a window has 9 words at least")
+    if window < 4:
+        raise ValueError("a window has 4 words at least")
+    spark = docs.sparkSession
     rows = docs.select(F.xxhash64(id_col, text).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    ask = _parse_datatype_string("hash long, other long, at long, n int")
-    first = rows.select("row", "text").mapInArrow(_first_requests(ask, window), ask)
-    alive = _alive(materialize(first, "pieces"))
-    joined = rows.join(alive.withColumnRenamed("at", "row"), "row", "left").select("doc_id", "text", "alive")
-    shape = _parse_datatype_string(f"block long, docs array<struct<doc_id {kind}, text string>>, alive array<long>, doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
-    split = materialize(joined.mapInArrow(_split(shape, window), shape), "split")
-    blocks = split.filter("block is not null").select("block", "docs", "alive")
-    for before, length in zip(steps, steps[1:], strict=False):
-        asked = materialize(blocks.mapInArrow(_requests(ask, window, before, length), ask), "pieces")
-        blocks = blocks.drop("alive").join(_alive(asked).withColumnRenamed("at", "block"), "block", "left")
+    n_words = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    few = max(64, n_words // (window - steps[0]) * 2 // BUCKET)
+    sent = _parse_datatype_string(SENT)
+    alive = exchange(rows.select("row", "text").mapInArrow(_first_requests(sent, window, few), sent), True)
+    # Repeated rows ask alike, and one answer serves them all.
+    alive = materialize(alive.select(F.col("key").alias("row"), "codes"), "alive").dropDuplicates(["row"])
+    release(spark)
+    # What comes back grows with the corpus: the joins merge sorted sides at every size.
+    joined = rows.join(alive.hint("merge"), "row", "left").select("doc_id", "text", "codes")
+    shape = _parse_datatype_string(f"block long, docs array<struct<doc_id {kind}, text string, windows binary>>, doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
+    split = materialize(joined.mapInArrow(_split(shape, window, few), shape), "split")
+    release(spark)
+    blocks = split.filter("block is not null").select("block", "docs")
+    ask, tell = _parse_datatype_string("at long, bucket int, codes binary, more binary"), _parse_datatype_string("at long, bucket int, bits binary")
+    asked: list[int] = []
+    buckets: list[int] = []
+    for k, length in enumerate(steps[1:]):
+        n = max(64, n_words // BUCKET)
+        wanted = blocks.mapInArrow(_requests(ask, window, asked, buckets, length, n), ask)
+        told = wanted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count(tell), tell)
+        told = materialize(told.groupBy(F.col("at").alias("block")).agg(F.collect_list(F.struct("bucket", "bits")).alias(f"answers{k}")), "answers")
+        release(spark)
+        blocks = blocks.join(told.hint("merge"), "block", "left")
+        asked, buckets = [*asked, length], [*buckets, n]
     out = _parse_datatype_string(f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
-    return split.filter("block is null").select(*out.names).unionByName(blocks.mapInArrow(_results(out, window), out))
+    return split.filter("block is null").select(*out.names).unionByName(blocks.mapInArrow(_results(out, window, asked, buckets), out))
 
 
 SQL = r"""
