@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ SAMPLE = 4096
 #: Terms: those whose association with the label, as the likelihood ratio G2, is beyond what
 #: the best of all candidates would reach by chance, 2 ln(candidates) + SURE; at most
 #: MOST_TERMS and at least FEW_TERMS. Candidates are in LEAST_DOCS sampled rows or more.
-MOST_TERMS, FEW_TERMS, SURE, LEAST_DOCS = 4096, 32, 2.0, 2
+MOST_TERMS, FEW_TERMS, SURE, LEAST_DOCS = 4096, 8, 2.0, 2
 NEIGHBOURS = 15
 BLOCK = 64
 #: Weight that the share of toxic rows has among the votes.
@@ -31,7 +32,7 @@ _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 
 #: Beginnings of words, of so many bytes, are terms too: they hold for forms that no example has.
-STEMS = (4, 5, 6)
+STEMS = (4, 6)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -94,7 +95,7 @@ class Index:
         if not at:
             return (), np.zeros(0)
         v = np.array([(1 + math.log(self.terms.times(t, ws))) * self.idf[t] for t in at])
-        return tuple(at), v / np.sqrt((v * v).sum())
+        return tuple(at), v / math.sqrt((v * v).sum())
 
     def nearest(self, at: tuple[int, ...], v: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0, exactly, ties by example: blocks in
@@ -198,6 +199,38 @@ def _distinct_words(schema):
     return run
 
 
+#: Min-hashes of an example's words, in bands: examples of one class that agree in a band are
+#: copies, and one of them stays, lest words of a much copied text look like signs of its label.
+HASHES, BANDS = 16, 4
+
+
+def _bands(schema):
+    names = arrow_schema(schema)
+    rng = np.random.Generator(np.random.PCG64(7))
+    by, plus = rng.integers(1, 1 << 31, HASHES, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 31, HASHES, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list[int]] = [[] for _ in range(BANDS)]
+            for text in b.column(2).to_pylist():
+                own = np.array([zlib.crc32(w) for w in set(words(text))] or [0], np.uint64)
+                least = ((own[:, None] * by + plus) % np.uint64(2147483647)).min(0)
+                for k, band in enumerate(least.reshape(BANDS, -1)):
+                    out[k].append(zlib.crc32(band.tobytes()) << 32 | zlib.adler32(band.tobytes()))
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(names[0].type), b.column(1).cast(pa.int32()), *(pa.array([x & (1 << 63) - 1 for x in c], pa.int64()) for c in out)], schema=names)
+
+    return run
+
+
+def _one_of_copies(chosen: DataFrame) -> DataFrame:
+    """Rows (doc_id, label, text) of the sample without near copies, the least id of each staying."""
+    shape = _parse_datatype_string(f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, label int, {', '.join(f'b{k} long' for k in range(BANDS))}")
+    left = materialize(chosen.select("doc_id", "label", "text").mapInArrow(_bands(shape), shape), "bands")
+    for k in range(BANDS):
+        left = left.groupBy("label", f"b{k}").agg(F.min_by(F.struct("doc_id", *(f"b{j}" for j in range(BANDS) if j != k)), "doc_id").alias("x")).select("label", f"b{k}", "x.*")
+    return chosen.join(F.broadcast(left.select("doc_id")), "doc_id", "left_semi")
+
+
 def _frequencies(schema, terms: list[bytes]):
     names = arrow_schema(schema)
     held = Terms(terms)
@@ -235,7 +268,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         some = known.filter(F.col("label") == c).orderBy(*order).limit(sample)
         taken = some if taken is None else taken.unionByName(some)
     # At most two samples of ids: small enough for every task.
-    chosen = materialize(rows.join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"]), "examples")
+    chosen = materialize(rows.join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"]), "sample")
+    chosen = materialize(_one_of_copies(chosen), "examples")
     n = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     shape = _parse_datatype_string("word binary, label int")
     seen = chosen.select("label", "text").mapInArrow(_distinct_words(shape), shape)
@@ -304,3 +338,16 @@ def score(docs: DataFrame, index: Index | None, text: str = "text", id_col: str
 
     out = rows.mapInArrow(run, shape)
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence", "terms")
+
+
+def keep_clean(docs: DataFrame, index: Index | None, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows whose score is below ``least``, with all their columns."""
+    names = arrow_schema(docs.schema)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            clean = [index is None or index.score(index.raw(*index.vector(t))[0]) < least for t in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(i).cast(f.type) for i, f in enumerate(names)], schema=names).filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
