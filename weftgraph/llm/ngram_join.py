@@ -11,7 +11,9 @@
 4. Rounds of pivots link most of each cluster at linear cost: per prefix shingle one
    pivot, per set the pivot it meets most often, each pair verified exactly.
 5. Pairs across what is then connected, and only those, are counted in full: every pair
-   with as many shared prefix elements as required is verified.
+   with as many shared prefix elements as required is verified. An element counts for a
+   pair only where their sizes leave room for the overlap behind it, and from the smaller
+   set only in its shorter prefix.
 
 Exact sets decide every link; pairs inside one component are not needed for it.
 """
@@ -23,23 +25,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from ..operators.components import connected_components
 from . import shingles
+from .exchange import BUCKET, SENT, code, exchange, pack
 from .common import arrow_schema, materialize, release, slices, text_bytes
 
 WORDS = 5
 #: Similarity of 75 in 100.
 NUM, DEN = 75, 100
 SLICE_BYTES = 2 << 20
-#: Shingles that one bucket of the counting exchange holds.
-BUCKET = 1 << 19
-#: Cost of verifying one element of a candidate against reading one posting.
-VERIFY = 0.25
+#: Cost of verifying one element of a candidate against reading one posting: most candidates
+#: are in one component by the time they would be verified, so lengthening must be nearly free.
+VERIFY = 0.004
 ROUNDS = 6
+#: Pivots of an element, and pivots that a set is verified with, in the second round; both grow from there.
+PIVOTS, TRIES = 4, 6
 
 
 def least_overlap(n: np.ndarray | int):
@@ -63,140 +67,7 @@ def sets_of(data: np.ndarray, offsets: np.ndarray, words_per: int = WORDS) -> li
     return out
 
 
-# --- The counting exchange -------------------------------------------------------
-# Elements travel as 32 bits in a bucket that the other bits choose, packed per batch
-# and bucket, and only what the asker needs comes back: an exchange of a few bytes an
-# element, with no key that a frequent element could make hot. As buckets grow in number
-# with the elements, the share of elements that seem to meet another one stays the same;
-# nothing but cost depends on it.
-
-SENT = "batch long, bucket int, codes binary, docs binary, keys binary"
-BACK = "batch long, bucket int, docs binary, codes binary, counts binary, keys binary"
-
-
-def _code(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket and 32 bits of each hash in one number."""
-    return ((h >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
-
-
-def _pack(number: int, keys: np.ndarray, sets: list[np.ndarray], buckets: int, names: pa.Schema) -> pa.RecordBatch:
-    code = _code(np.concatenate(sets), buckets) if sets else np.zeros(0, np.uint64)
-    doc = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
-    bucket = (code >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
-    order = np.argsort(bucket, kind="stable")
-    code, doc, bucket = code[order].astype(np.uint32), doc[order], bucket[order]
-    used, begin = np.unique(bucket, return_index=True)
-    ends = np.append(begin, len(code)).astype(np.int32)
-    n = len(used)
-
-    def blobs(x: np.ndarray) -> pa.Array:
-        off = np.concatenate([ends * x.itemsize, ends[-1:] * x.itemsize]).astype(np.int32) if n else np.zeros(2, np.int32)
-        return pa.Array.from_buffers(pa.binary(), n + 1, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(x.tobytes())])
-
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n + 1, number, np.int64)), pa.array(np.append(used, number % buckets).astype(np.int32)), blobs(code), blobs(doc), pa.array([None] * n + [keys.astype("<i8").tobytes()], pa.binary())],
-        schema=names,
-    )
-
-
-def _runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[dict]]:
-    """Rows of sorted batches, a list for each value of a column."""
-    held: list[dict] = []
-    name = None
-    for batch in batches:
-        name = name or batch.schema.names[key]
-        for row in batch.to_pylist():
-            if held and held[0][name] != row[name]:
-                yield held
-                held = []
-            held.append(row)
-    if held:
-        yield held
-
-
-def _count(schema, full: bool):
-    """Per bucket, the elements that occur twice or more: how many each document has, or which and how often."""
-    names = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits: dict[int, np.ndarray] = {}
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            rows = [(k, None, None, None, v.astype("<u4").tobytes(), None) for k, v in hits.items()]
-            hits.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), names, strict=True)], schema=names)
-
-        for rows in _runs(batches, 1):
-            out = [(r["batch"], None, None, None, None, r["keys"]) for r in rows if r["keys"] is not None]
-            rows = [r for r in rows if r["codes"]]
-            if rows:
-                codes = np.concatenate([np.frombuffer(r["codes"], "<u4") for r in rows])
-                _, back, counts = np.unique(codes, return_inverse=True, return_counts=True)
-                counts, at = counts[back].astype(np.uint32), 0
-                for r in rows:
-                    docs = np.frombuffer(r["docs"], "<u2")
-                    mine = counts[at : at + len(docs)]
-                    at += len(docs)
-                    twice = mine > 1
-                    if not twice.any():
-                        continue
-                    if full:
-                        own = codes[at - len(docs) : at]
-                        out.append((r["batch"], r["bucket"], docs[twice].tobytes(), own[twice].tobytes(), mine[twice].tobytes(), None))
-                    else:
-                        add = np.bincount(docs[twice])
-                        old = hits.get(r["batch"], add[:0])
-                        total = np.zeros(max(len(add), len(old)), np.int64)
-                        total[: len(add)] += add
-                        total[: len(old)] += old
-                        held += total.nbytes - old.nbytes
-                        hits[r["batch"]] = total
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), names, strict=True)], schema=names)
-            if held > 1 << 25:
-                yield flush()
-                held = 0
-        if hits:
-            yield flush()
-
-    return run
-
-
-def _answer(schema, full: bool):
-    """What came back for the documents of each batch, by document."""
-    names = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, 0):
-            keys = np.concatenate([np.frombuffer(r["keys"], "<i8") for r in rows if r["keys"] is not None])
-            rows = [r for r in rows if r["keys"] is None]
-            if not full:
-                total = np.zeros(len(keys), np.int64)
-                for r in rows:
-                    part = np.frombuffer(r["counts"], "<u4")
-                    total[: len(part)] += part
-                some = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(total[some])], schema=names)
-            elif rows:
-                doc = np.concatenate([np.frombuffer(r["docs"], "<u2") for r in rows])
-                code = np.concatenate([np.frombuffer(r["codes"], "<u4").astype(np.uint64) | np.uint64(r["bucket"] << 32) for r in rows])
-                count = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows])
-                order = np.lexsort((code, doc))
-                doc, code, count = doc[order], code[order], count[order]
-                used, begin = np.unique(doc, return_index=True)
-                cuts = np.append(begin, len(doc)).tolist()
-                parts = [(code[a:b].tobytes(), count[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[used]), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], schema=names)
-
-    return run
-
-
-def _exchange(sent: DataFrame, full: bool) -> DataFrame:
-    back = _parse_datatype_string(BACK)
-    out = _parse_datatype_string("key long, codes binary, counts binary" if full else "key long, hits long")
-    counted = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count(back, full), back)
-    return counted.repartition("batch").sortWithinPartitions("batch").mapInArrow(_answer(out, full), out)
+# --- Senders -----------------------------------------------------------------------
 
 
 def _send_texts(schema, buckets: int, words_per: int):
@@ -210,7 +81,7 @@ def _send_texts(schema, buckets: int, words_per: int):
             for a, b in slices(off, SLICE_BYTES):
                 for c in range(a, b, 1 << 16):
                     d = min(b, c + (1 << 16))
-                    yield _pack(number, keys[c:d], sets_of(data, off[c : d + 1], words_per), buckets, names)
+                    yield pack(number, keys[c:d], sets_of(data, off[c : d + 1], words_per), buckets, names)
                     number += 1
 
     return run
@@ -230,10 +101,10 @@ def _send_sets(schema, buckets: int):
                 sets.append(np.frombuffer(tokens.as_buffer(), "<u8"))
                 held += len(sets[-1])
                 if held >= 1 << 18 or len(keys) == 1 << 16:
-                    yield _pack(number, np.array(keys, np.int64), sets, buckets, names)
+                    yield pack(number, np.array(keys, np.int64), sets, buckets, names)
                     number, keys, sets, held = number + 1, [], [], 0
         if keys:
-            yield _pack(number, np.array(keys, np.int64), sets, buckets, names)
+            yield pack(number, np.array(keys, np.int64), sets, buckets, names)
 
     return run
 
@@ -282,14 +153,15 @@ def _postings(schema, buckets: int):
                     continue
                 s = np.frombuffer(tokens.as_buffer(), "<u8")
                 known, often = np.frombuffer(codes.as_buffer(), "<u8"), np.frombuffer(counts.as_buffer(), "<u4")
-                mine = _code(s, buckets)
+                mine = code(s, buckets)
                 k = np.minimum(np.searchsorted(known, mine), len(known) - 1)
                 df = np.where(known[k] == mine, often[k], 1)
                 at, need = prefix(s, df)
-                at = at[df[at] > 1]
+                pos = np.flatnonzero(df[at] > 1).astype(np.int32)
+                at = at[pos]
                 m = len(at)
                 if m:
-                    yield pa.RecordBatch.from_arrays([pa.array(s[at].view(np.int64)), pa.array(np.full(m, rid.as_py(), np.int64)), pa.array(np.full(m, len(s), np.int64)), pa.array(np.full(m, need, np.int32))], schema=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(s[at].view(np.int64)), pa.array(np.full(m, rid.as_py(), np.int64)), pa.array(np.full(m, len(s), np.int64)), pa.array(pos), pa.array(np.full(m, need, np.int32))], schema=names)
 
     return run
 
@@ -318,22 +190,30 @@ def verify(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     shape = _parse_datatype_string("src long, dst long")
     x = reps.select(F.col("rid").alias("src"), F.col("tokens").alias("x"))
     y = reps.select(F.col("rid").alias("dst"), F.col("tokens").alias("y"))
-    return pairs.join(x, "src").join(y, "dst").select("src", "dst", "x", "y").mapInArrow(_verify(shape), shape)
+    return pairs.hint("merge").join(x, "src").join(y.hint("merge"), "dst").select("src", "dst", "x", "y").mapInArrow(_verify(shape), shape)
+
+
+def _may_link(x: str, y: str) -> str:
+    """Whether two sets that share an element, at places pos and pos_ of their orders, may
+    have it among the first of the shared ones that their sizes ask for: behind the l-th
+    of them neither order has room for the overlap otherwise."""
+    overlap = f"(({NUM} * ({x}n + {y}n) + {NUM + DEN - 1}) div {NUM + DEN})"
+    return (
+        f"{DEN} * least({x}n, {y}n) >= {NUM} * greatest({x}n, {y}n)"
+        f" and least({x}n - {x}pos, {y}n - {y}pos) >= {overlap} - least({x}need, {y}need) + 1"
+    )
 
 
-def _close(a: str, b: str) -> str:
-    return f"{DEN} * least({a}, {b}) >= {NUM} * greatest({a}, {b})"
+#: Whether an element of the smaller of two sets can be one of those (the larger one has a longer prefix).
+_OF_SMALLER = f"pos < n - ({2 * NUM} * n + {NUM + DEN - 1}) div {NUM + DEN} + need"
 
 
-def links(reps: DataFrame, posts: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links enough to connect whatever links connect, and the (id, component) that they make."""
+def links(reps: DataFrame, posts: DataFrame) -> DataFrame | None:
+    """(id, component) of the components that links make of the representatives; none without links."""
     found: DataFrame | None = None
     parts: DataFrame | None = None
-
-    def labelled() -> DataFrame:
-        if parts is None:
-            return posts.withColumn("part", F.col("rid"))
-        return posts.join(parts.withColumnsRenamed({"id": "rid", "component": "own"}), "rid", "left").withColumn("part", F.coalesce("own", "rid")).drop("own")
+    spark = reps.sparkSession
+    here = posts.withColumn("part", F.col("rid"))
 
     def add(new: DataFrame) -> int:
         nonlocal found, parts
@@ -342,35 +222,44 @@ def links(reps: DataFrame, posts: DataFrame) -> tuple[DataFrame | None, DataFram
         if n:
             found = new if found is None else found.unionByName(new)
             parts = materialize(connected_components(found), "parts")
-        release(reps.sparkSession)
+        release(spark)
         return n
 
+    def across() -> DataFrame:
+        """Postings of the elements that several components have."""
+        mixed = here.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("token")
+        return here.join(mixed, "token")
+
     most = 0
     for turn in range(ROUNDS):
-        here = labelled()
-        lead = here.groupBy("token").agg(
-            F.min_by(F.struct("rid", "n", "part"), F.struct(F.xxhash64("part", F.lit(turn)), F.xxhash64("rid", F.lit(turn)))).alias("lead"),
-            F.min("part").alias("low"), F.max("part").alias("high"),
-        ).filter("low != high").select("token", "lead")
-        met = here.join(lead, "token").filter(f"part != lead.part and {_close('n', 'lead.n')}")
+        # One pivot at first, while every set is a component of its own; then several.
+        salt = F.pmod(F.xxhash64("rid", F.lit(turn)), F.lit(PIVOTS * turn if turn else 1))
+        lead = here.groupBy("token", salt).agg(F.min_by(F.struct("rid", "n", "pos", "need", "part"), F.xxhash64("part", "rid", F.lit(turn))).alias("lead")).select("token", "lead")
+        met = here.join(lead, "token").filter(f"part != lead.part and {_may_link('', 'lead.')}")
         votes = met.groupBy(F.col("rid").alias("src"), F.col("lead.rid").alias("dst")).agg(F.count(F.lit(1)).alias("shared"))
-        best = votes.groupBy("src").agg(F.max_by("dst", F.struct("shared", "dst")).alias("dst"))
+        best = votes.groupBy("src").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "dst")), False), 1, TRIES << (turn - 1) if turn else 1).alias("best"))
+        best = best.select("src", F.explode("best.dst").alias("dst"))
         n = add(verify(best.select("src", "dst"), reps))
         most = max(most, n)
-        if n * 50 < most or not n:
+        if n:
+            own = parts.withColumnsRenamed({"id": "rid", "component": "own"})
+            here = here.join(own, "rid", "left").withColumn("part", F.coalesce("own", "rid")).drop("own")
+        here = materialize(across(), "postings")
+        release(spark)
+        if n * 100 < most:
             break
-    here = labelled()
-    mixed = here.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("token")
-    here = here.join(mixed, "token")
-    other = here.select("token", *(F.col(c).alias(f"{c}_") for c in ("rid", "n", "need", "part")))
-    pairs = here.join(other, "token").filter(f"rid < rid_ and part != part_ and {_close('n', 'n_')}")
-    pairs = pairs.groupBy(F.col("rid").alias("src"), F.col("rid_").alias("dst")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("need", "need_")).alias("required")).filter("shared >= required")
-    add(verify(pairs.select("src", "dst"), reps))
-    return found, parts
+    small = here.filter(_OF_SMALLER)
+    large = here.select("token", *(F.col(c).alias(f"b_{c}") for c in ("rid", "n", "pos", "need", "part")))
+    pairs = small.select("token", *(F.col(c).alias(f"a_{c}") for c in ("rid", "n", "pos", "need", "part"))).join(large, "token")
+    pairs = pairs.filter(f"(a_n < b_n or a_n = b_n and a_rid < b_rid) and a_part != b_part and {_may_link('a_', 'b_')}")
+    pairs = pairs.groupBy(F.col("a_rid").alias("src"), F.col("b_rid").alias("dst")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("a_need", "b_need")).alias("required")).filter("shared >= required")
+    add(verify(pairs, reps))
+    return parts
 
 
 def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per: int = WORDS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, row (a hash of id and text).
+    """One row per input row: doc_id, n_shingles, component_id; lead (whether it stays for its
+    component), alone (its set can link with none), row (a hash of id and text).
 
     Words are longest runs without space and the controls 9 to 13, A-Z folded; a set has
     the distinct runs of five words, or of all words where there are fewer. Sets without
@@ -383,12 +272,11 @@ def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, size // 6 // BUCKET)
     sent = _parse_datatype_string(SENT)
-    hits = _exchange(rows.select("row", "text").mapInArrow(_send_texts(sent, buckets, words_per), sent), False)
+    hits = exchange(rows.select("row", "text").mapInArrow(_send_texts(sent, buckets, words_per), sent), False)
     hits = materialize(hits.groupBy(F.col("key").alias("row")).agg(F.sum("hits").alias("hits")), "hits")
     release(docs.sparkSession)
-    kind = rows.schema["doc_id"].dataType.simpleString()
     shape = _parse_datatype_string("row long, n long, f1 long, f2 long, tokens binary")
-    whole = rows.join(hits, "row", "left").select("row", "text", "hits")
+    whole = rows.join(hits.hint("merge"), "row", "left").select("row", "text", "hits")
     sets = materialize(whole.mapInArrow(_sets(shape, words_per), shape).withColumn("rid", F.when(F.col("tokens").isNotNull(), F.xxhash64("n", "f1", "f2"))), "sets")
     release(docs.sparkSession)
     ids = rows.select("row", "doc_id")
@@ -397,20 +285,39 @@ def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per:
     release(docs.sparkSession)
     total = reps.agg(F.sum("n")).first()[0] or 0
     buckets = max(64, total // BUCKET)
-    known = _exchange(reps.select("rid", "tokens").mapInArrow(_send_sets(sent, buckets), sent), True)
-    post = _parse_datatype_string("token long, rid long, n long, need int")
-    asked = reps.join(known.withColumnRenamed("key", "rid"), "rid").select("rid", "tokens", "codes", "counts")
+    known = exchange(reps.select("rid", "tokens").mapInArrow(_send_sets(sent, buckets), sent), True)
+    post = _parse_datatype_string("token long, rid long, n long, pos int, need int")
+    asked = reps.join(known.withColumnRenamed("key", "rid").hint("merge"), "rid").select("rid", "tokens", "codes", "counts")
     posts = materialize(asked.mapInArrow(_postings(post, buckets), post), "postings")
     release(docs.sparkSession)
-    _, parts = links(reps, posts)
+    parts = links(reps, posts)
     own = sets.select("row", "n", "rid").dropDuplicates(["row"])
     if parts is not None:
         own = own.join(parts.withColumnsRenamed({"id": "rid", "component": "part"}), "rid", "left").withColumn("part", F.coalesce("part", "rid"))
     else:
         own = own.withColumn("part", F.col("rid"))
     out = materialize(ids.join(own, "row"), "members")
-    least = out.filter("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
-    return out.join(least, "part", "left").select(F.col("doc_id").cast(kind).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("part").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "row")
+    least = out.filter("part is not null").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
+    alone = F.col("part").isNull()
+    return out.join(least, "part", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        (alone | ((F.col("row") == F.col("least.row")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id")))).alias("lead"),
+        alone.alias("alone"),
+        "row",
+    )
+
+
+def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows that stay, with all their columns: of each component the row of least
+    doc_id (null ids last), and every row whose set links with nothing."""
+    made = materialize(join(docs, text, id_col).filter("lead").select("doc_id", "row", "alone").distinct(), "stays")
+    held = made.select(F.col("row").alias("_stay"), F.col("doc_id").alias("_id"), F.col("alone").alias("_alone"))
+    rows = docs.withColumn("_row", F.xxhash64(id_col, text))
+    kept = rows.join(held, (F.col("_row") == F.col("_stay")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    alike = Window.partitionBy("_row", id_col).orderBy(F.lit(1))
+    return kept.withColumn("_n", F.row_number().over(alike)).filter("_alone or _n = 1").select(*docs.columns)
 
 
 SQL = r"""
