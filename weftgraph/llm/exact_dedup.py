@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, materialize
@@ -47,7 +47,7 @@ def _lower(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() touches A-Z only
 
 
-FIRST = "doc_id {id}, n_bytes long, h1 long, h2 long, text_sha256 string, chunk_no int, chunk binary"
+FIRST = "row long, doc_id {id}, n_bytes long, h1 long, h2 long, text_sha256 string, chunk_no int, chunk binary"
 
 
 def _first(schema, huge: int, moduli):
@@ -57,19 +57,19 @@ def _first(schema, huge: int, moduli):
         for batch in batches:
             rows: list[tuple] = []
             held = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = _lower(text.as_py())
                 sha = hashlib.sha256(data).hexdigest()
                 if len(data) >= huge:
                     for k in range(0, len(data), CHUNK):
-                        rows.append((doc_id, len(data), None, None, sha, k // CHUNK, data[k : k + CHUNK]))
+                        rows.append((row, doc_id, len(data), None, None, sha, k // CHUNK, data[k : k + CHUNK]))
                     held += len(data)
                 else:
                     h = (0,) * len(moduli)
                     for k in range(0, len(data), CHUNK):
                         part = data[k : k + CHUNK]
                         h = combine(h, chunk_hash(part, moduli), len(part), moduli) if k else chunk_hash(part, moduli)
-                    rows.append((doc_id, len(data), *h, sha, None, None))
+                    rows.append((row, doc_id, len(data), *h, sha, None, None))
                 if held > 1 << 24:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), names, strict=True)], schema=names)
                     rows, held = [], 0
@@ -93,18 +93,23 @@ def _hash_chunks(schema, moduli):
     return run
 
 
+def row_key(text: str = "text", id_col: str = "doc_id"):
+    """With the id, what tells rows apart that are not the same."""
+    return F.xxhash64(id_col, text).alias("row")
+
+
 def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int = HUGE, moduli=MODULI) -> DataFrame:
-    """doc_id, n_bytes, h1, h2, text_sha256: one row per input row, written to the shared folder."""
+    """row, doc_id, n_bytes, h1, h2, text_sha256: one row per input row, written to the shared folder."""
     from pyspark.sql.types import _parse_datatype_string
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(row_key(text, id_col), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = _parse_datatype_string(FIRST.format(id=kind))
     first = materialize(rows.mapInArrow(_first(schema, huge, moduli), schema), "fingerprints")
-    small = first.filter("chunk is null").select("doc_id", "n_bytes", "h1", "h2", "text_sha256")
+    small = first.filter("chunk is null").select("row", "doc_id", "n_bytes", "h1", "h2", "text_sha256")
     # A huge document's chunks are hashed wherever they are dealt to, and folded in order by shifted sums.
-    mid = _parse_datatype_string(f"row string, doc_id {kind}, n_bytes long, text_sha256 string, chunk_no int, h1 long, h2 long, p1 long, p2 long")
-    chunks = first.filter("chunk is not null").withColumn("row", F.concat_ws("/", F.col("doc_id").cast("string"), "text_sha256"))
+    mid = _parse_datatype_string(f"row long, doc_id {kind}, n_bytes long, text_sha256 string, chunk_no int, h1 long, h2 long, p1 long, p2 long")
+    chunks = first.filter("chunk is not null")
     hashed = chunks.repartition("row", "chunk_no").mapInArrow(_hash_chunks(mid, moduli), mid)
     # A repeated row brings its chunks again: each number once, and the copies counted.
     once = hashed.groupBy("row", "doc_id", "n_bytes", "text_sha256", "chunk_no").agg(F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.count(F.lit(1)).alias("copies"))
@@ -115,7 +120,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", hu
         return F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: (a * x[p] + x[h]) % m).alias(h)
 
     large = once.groupBy("row", "doc_id", "n_bytes", "text_sha256").agg(parts.alias("parts"), F.max("copies").alias("copies"))
-    large = large.select("doc_id", "n_bytes", fold(1), fold(2), "text_sha256", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    large = large.select("row", "doc_id", "n_bytes", fold(1), fold(2), "text_sha256", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
     return small.unionByName(large)
 
 
@@ -144,7 +149,7 @@ def _chunks(schema):
 
 
 def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int = HUGE, moduli=MODULI) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, row.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. Of
     equal texts the row with the largest doc_id stays (null ids lose to all others);
@@ -175,7 +180,7 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int
         reps = chunks.filter("doc_id = rep").select("rep", "salt", "chunk_no", F.col("chunk").alias("rep_chunk")).dropDuplicates(["rep", "salt", "chunk_no", "rep_chunk"])
         pairs = chunks.filter("doc_id != rep").join(reps, ["rep", "salt", "chunk_no"])
         bad = pairs.groupBy("doc_id", "rep", "chunk_no").agg(F.max(F.col("chunk") == F.col("rep_chunk")).alias("same")).filter("not same").select("doc_id", "rep").distinct()
-        bad = materialize(bad.join(members, ["doc_id", "rep"], "left_semi").join(members, ["doc_id", "rep"]).select(*key, "doc_id"), "unequal")
+        bad = materialize(bad.join(members, ["doc_id", "rep"]).select(*key, "doc_id"), "unequal")
         if bad.isEmpty():
             break
         turn += 1
@@ -187,8 +192,6 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int
     else:
         moved = moved.groupBy("doc_id", *key).agg(F.max("turn").alias("turn"))
         fp = fp.join(moved, ["doc_id", *key], "left").withColumn("turn", F.coalesce("turn", F.lit(0)))
-    from pyspark.sql import Window
-
     groups = fp.groupBy(*key, "turn").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     first = F.row_number().over(Window.partitionBy("doc_id", *key, "turn").orderBy("uid")) == 1
     lead = fp.withColumn("first", F.when(F.col("doc_id").isNull(), F.lit(False)).otherwise(first))
@@ -196,9 +199,26 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int
         "doc_id", "keep_id", "group_size",
         (F.col("first") & (F.col("doc_id") == F.col("keep_id"))).alias("kept"),
         "text_sha256",
+        "row",
     )
 
 
+def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows that stay, with all their columns. Of rows whose ids are all null none is
+    the largest; one of them stays."""
+    made = dedup(docs, text, id_col)
+    stays = materialize(made.filter(F.col("kept") | F.col("keep_id").isNull()).select("doc_id", "row").distinct(), "stays")
+    return one_of_each(docs.withColumn("_row", row_key(text, id_col)), stays, id_col).drop("_row")
+
+
+def one_of_each(docs: DataFrame, stays: DataFrame, id_col: str) -> DataFrame:
+    """One of the rows (with their key in _row) of each (doc_id, row) that stays."""
+    held = stays.select(F.col("row").alias("_stay"), F.col("doc_id").alias("_id"))
+    alike = Window.partitionBy("_row", id_col).orderBy(F.lit(1))
+    kept = docs.join(held, (F.col("_row") == F.col("_stay")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    return kept.withColumn("_n", F.row_number().over(alike)).filter("_n = 1").drop("_n")
+
+
 SQL = """
 with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(t) as text_sha256

@@ -35,8 +35,9 @@ def targets(totals: DataFrame, weight=by_rank, most: int = 3) -> DataFrame:
     return ranked.join(F.broadcast(level), how="inner").select("skey", "source_size", F.least(F.col("cap").cast("double"), F.col("level_at") * F.col("w")).alias("target"))
 
 
-def sized(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
+def sized(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(
+        *keep,
         F.col(id_col).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("~null")).alias("skey"),
@@ -45,8 +46,8 @@ def sized(docs: DataFrame, text: str = "text", source: str = "source", id_col: s
     )
 
 
-def mix(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target, taken, source.
+def mix(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", source: str = "source", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: doc_id, size, source_size, target, taken, source, the columns to keep.
 
     Rows get a key hashed from the id and lie, in each source, in the order of (key,
     id, size). A source's budget is the floor of its target; whole epochs come first,
@@ -59,7 +60,7 @@ def mix(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", sour
     null ids count as the empty text in the key; repeated rows count each; an empty
     table gives no rows; other columns are ignored.
     """
-    rows = materialize(sized(docs, text, source, id_col), "mix")
+    rows = materialize(sized(docs, text, source, id_col, keep), "mix")
     ranges = max(1, math.isqrt(rows.count()))
     rows = rows.withColumn("part", F.expr(f"cast((key div 65536) * {ranges} div {2**36} as int)"))
     parts = rows.groupBy("skey", "source", "part").agg(F.sum("size").alias("part_size"))
@@ -79,7 +80,23 @@ def mix(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", sour
         .withColumn("rest", budget - F.col("epochs") * F.col("source_size") - F.col("before") - F.col("within"))
     )
     taken = F.col("size") * F.col("epochs") + F.least(F.greatest(F.col("rest"), F.lit(0)), F.col("size"))
-    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source")
+    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", *keep)
+
+
+def apply(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
+    """The mix itself, with all columns: each row as often as the mix takes it whole. The
+    row at a source's cut comes once more with the first of its words that the budget
+    still takes, joined by single spaces (n_chars, if there is one, counts them). Rows
+    without words take part in nothing and go."""
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    taken = mix(numbered, weight, most, text, source, id_col, ("_row",)).filter("taken > 0").select("_row", (F.expr("taken div size")).cast("int").alias("_times"), (F.col("taken") % F.col("size")).cast("int").alias("_part"))
+    rows = numbered.join(taken, "_row")
+    whole = rows.withColumn("_copy", F.explode(F.concat(F.array_repeat(F.lit(0), F.col("_times")), F.array_repeat(F.col("_part"), F.when(F.col("_part") > 0, 1).otherwise(0)))))
+    cut = F.array_join(F.slice(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("_copy")), " ")
+    out = whole.withColumn(text, F.when(F.col("_copy") > 0, cut).otherwise(F.col(text)))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_copy") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 SQL = r"""

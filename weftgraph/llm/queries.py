@@ -23,7 +23,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(documents(spark, sf_dir)).drop("row")
+    return ngram_join.join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(documents(spark, sf_dir))
+    return exact_dedup.dedup(documents(spark, sf_dir)).drop("row")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
