@@ -40,7 +40,7 @@ NUM, DEN = 75, 100
 SLICE_BYTES = 2 << 20
 #: Cost of verifying one element of a candidate against reading one posting: most candidates
 #: are in one component by the time they would be verified, so lengthening must be nearly free.
-VERIFY = 0.004
+VERIFY = 0.0003
 ROUNDS = 6
 #: Pivots of an element, and pivots that a set is verified with, in the second round; both grow from there.
 PIVOTS, TRIES = 4, 6
@@ -313,11 +313,11 @@ def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
     """The rows that stay, with all their columns: of each component the row of least
     doc_id (null ids last), and every row whose set links with nothing."""
     made = materialize(join(docs, text, id_col).filter("lead").select("doc_id", "row", "alone").distinct(), "stays")
-    held = made.select(F.col("row").alias("_stay"), F.col("doc_id").alias("_id"), F.col("alone").alias("_alone"))
-    rows = docs.withColumn("_row", F.xxhash64(id_col, text))
-    kept = rows.join(held, (F.col("_row") == F.col("_stay")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    alike = Window.partitionBy("_row", id_col).orderBy(F.lit(1))
-    return kept.withColumn("_n", F.row_number().over(alike)).filter("_alone or _n = 1").select(*docs.columns)
+    held = made.select(F.col("row").alias("__weft_stay"), F.col("doc_id").alias("__weft_id"), F.col("alone").alias("__weft_alone"))
+    rows = docs.withColumn("__weft_row", F.xxhash64(id_col, text))
+    kept = rows.join(held, (F.col("__weft_row") == F.col("__weft_stay")) & F.col(id_col).eqNullSafe(F.col("__weft_id")))
+    alike = Window.partitionBy("__weft_row", id_col).orderBy(F.lit(1))
+    return kept.withColumn("__weft_n", F.row_number().over(alike)).filter("__weft_alone or __weft_n = 1").select(*docs.columns)
 
 
 SQL = r"""
