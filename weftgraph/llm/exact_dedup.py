@@ -208,15 +208,15 @@ def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
     the largest; one of them stays."""
     made = dedup(docs, text, id_col)
     stays = materialize(made.filter(F.col("kept") | F.col("keep_id").isNull()).select("doc_id", "row").distinct(), "stays")
-    return one_of_each(docs.withColumn("_row", row_key(text, id_col)), stays, id_col).drop("_row")
+    return one_of_each(docs.withColumn("__weft_row", row_key(text, id_col)), stays, id_col).drop("__weft_row")
 
 
 def one_of_each(docs: DataFrame, stays: DataFrame, id_col: str) -> DataFrame:
-    """One of the rows (with their key in _row) of each (doc_id, row) that stays."""
-    held = stays.select(F.col("row").alias("_stay"), F.col("doc_id").alias("_id"))
-    alike = Window.partitionBy("_row", id_col).orderBy(F.lit(1))
-    kept = docs.join(held, (F.col("_row") == F.col("_stay")) & F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    return kept.withColumn("_n", F.row_number().over(alike)).filter("_n = 1").drop("_n")
+    """One of the rows (with their key in __weft_row) of each (doc_id, row) that stays."""
+    held = stays.select(F.col("row").alias("__weft_stay"), F.col("doc_id").alias("__weft_id"))
+    alike = Window.partitionBy("__weft_row", id_col).orderBy(F.lit(1))
+    kept = docs.join(held, (F.col("__weft_row") == F.col("__weft_stay")) & F.col(id_col).eqNullSafe(F.col("__weft_id")), "left_semi")
+    return kept.withColumn("__weft_n", F.row_number().over(alike)).filter("__weft_n = 1").drop("__weft_n")
 
 
 SQL = """

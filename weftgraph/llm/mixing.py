@@ -88,14 +88,14 @@ def apply(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", so
     row at a source's cut comes once more with the first of its words that the budget
     still takes, joined by single spaces (n_chars, if there is one, counts them). Rows
     without words take part in nothing and go."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    taken = mix(numbered, weight, most, text, source, id_col, ("_row",)).filter("taken > 0").select("_row", (F.expr("taken div size")).cast("int").alias("_times"), (F.col("taken") % F.col("size")).cast("int").alias("_part"))
-    rows = numbered.join(taken, "_row")
-    whole = rows.withColumn("_copy", F.explode(F.concat(F.array_repeat(F.lit(0), F.col("_times")), F.array_repeat(F.col("_part"), F.when(F.col("_part") > 0, 1).otherwise(0)))))
-    cut = F.array_join(F.slice(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("_copy")), " ")
-    out = whole.withColumn(text, F.when(F.col("_copy") > 0, cut).otherwise(F.col(text)))
+    numbered = materialize(docs.withColumn("__weft_row", F.monotonically_increasing_id()), "numbered")
+    taken = mix(numbered, weight, most, text, source, id_col, ("__weft_row",)).filter("taken > 0").select("__weft_row", (F.expr("taken div size")).cast("int").alias("__weft_times"), (F.col("taken") % F.col("size")).cast("int").alias("__weft_part"))
+    rows = numbered.join(taken, "__weft_row")
+    whole = rows.withColumn("__weft_copy", F.explode(F.concat(F.array_repeat(F.lit(0), F.col("__weft_times")), F.array_repeat(F.col("__weft_part"), F.when(F.col("__weft_part") > 0, 1).otherwise(0)))))
+    cut = F.array_join(F.slice(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("__weft_copy")), " ")
+    out = whole.withColumn(text, F.when(F.col("__weft_copy") > 0, cut).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_copy") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col("__weft_copy") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
