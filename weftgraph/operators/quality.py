@@ -88,7 +88,7 @@ def edge_counters(edges: DataFrame, platform: str, min_shared: int) -> DataFrame
         F.count_if(F.col("shared_contributors") < min_shared).alias("too_few_shared"),
         *(F.expr(f"percentile_disc({q}) within group (order by weight)").alias(n) for n, q in (("weight_p50", 0.5), ("weight_p90", 0.9), ("weight_p99", 0.99))),
         F.min("weight").alias("weight_min"), F.max("weight").alias("weight_max"),
-        *(F.expr(f"percentile_disc({q}) within group (order by shared_contributors)").alias(n) for n, q in (("shared_p50", 0.5), ("shared_p90", 0.9), ("shared_p99", 0.99))),
+        *(F.expr(f"percentile_disc({q}) within group (order by shared_contributors)").cast("long").alias(n) for n, q in (("shared_p50", 0.5), ("shared_p90", 0.9), ("shared_p99", 0.99))),
         F.max("shared_contributors").alias("shared_max"),
     )
     return whole.join(doubled)
