@@ -137,3 +137,21 @@ def test_paged_source(spark):
         assert [(r.id, r.row_idx) for r in readers.sample(df, 3).collect()] == [("m0", 0), ("m1", 2), ("m2", 4)]
     finally:
         server.shutdown()
+
+
+def test_stream_gives_what_a_batch_gives(spark, sf, tmp_path):
+    from pyspark.sql import functions as F
+    from weftgraph.streaming import monthly
+
+    events = spark.read.parquet(f"{sf}/events.parquet").selectExpr("ts", "user_id as actor_id", "user_id % 7 as repo_id", "value")
+    events.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    q = monthly.daily_contributions(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    whole = monthly.daily_contributions(events)
+    done = whole.agg(F.max("day").alias("d")).first()["d"]
+    got = monthly.fold(spark.read.parquet(str(tmp_path / "out")))
+    assert got.count() > 0
+    out = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("day", "actor_id", "repo_id", "contribution").collect()}
+    assert out <= {tuple(r) for r in whole.select("day", "actor_id", "repo_id", "contribution").collect()}
+    assert {r[0] for r in out} >= {r.day for r in whole.filter(F.col("day") < F.lit(done) - F.expr("interval 3 days")).collect()}

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formulas import affinity
+from ..plans.ranking import global_rank
 from ..plans.tables import materialize
 from .components import connected_components
 
@@ -38,7 +39,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     found = connected_components(edges, "s", "t")
     named = nodes.select("node").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    sizes = sizes.withColumn("place", (F.row_number().over(Window.orderBy(F.desc("size"), "component")) - 1).cast("int"))
+    sizes = global_rank(sizes, [F.desc("size"), F.asc("component")]).withColumn("place", F.col("place").cast("int"))
     return named.join(sizes, "component").select("node", "component", "size", "place")
 
 
@@ -206,7 +207,8 @@ def communities(edges: DataFrame, sweeps: int = 32, resolution: float = 1.15, le
 def renumber(labels: DataFrame, rank: DataFrame) -> DataFrame:
     """(node, community): labels numbered by falling size, falling total rank, least node."""
     sized = labels.join(rank, "node", "left").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("rank", F.lit(0.0))).alias("r"), F.min("node").alias("least"))
-    numbered = sized.select("label", (F.row_number().over(Window.orderBy(F.desc("n"), F.desc(F.round("r", 6)), "least")) - 1).cast("int").alias("community"))
+    sized = sized.withColumn("r", F.round("r", 6))
+    numbered = global_rank(sized, [F.desc("n"), F.desc("r"), F.asc("least")], "community").select("label", F.col("community").cast("int").alias("community"))
     return labels.join(numbered, "label").select("node", "community")
 
 

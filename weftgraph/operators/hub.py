@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.ranking import global_rank
+from ..plans.tables import materialize
+
 # Precedence and weight of each kind of edge.
 PRIORITY = {"base-model": 100, "declared-dataset": 95, "uses-model": 90, "uses-dataset": 89, "same-author": 75, "inferred-task": 20, "inferred-taxonomy": 10}
 WEIGHT = {"base-model": 9.0, "declared-dataset": 7.5, "uses-model": 8.0, "uses-dataset": 7.7, "same-author": 4.2, "task-chain": 1.35, "domain-star": 0.72, "taxonomy": 0.28}
@@ -47,9 +50,11 @@ def author_stars(items: DataFrame) -> DataFrame:
 
 def task_chains(items: DataFrame, unit) -> DataFrame:
     """Items of a task in a chain by hash. ``unit`` hashes text to [0, 1)."""
-    h = items.withColumn("h", unit(F.concat_ws(":", F.lit("hf-task"), "task", "id")))
-    nxt = F.lead("key").over(Window.partitionBy("task").orderBy("h", "id"))
-    return h.select(F.col("key").alias("a"), nxt.alias("b")).filter("b is not null").select("a", "b", F.lit(WEIGHT["task-chain"]).alias("weight"), F.lit("inferred-task").alias("kind"), F.lit(1).alias("inferred"), F.lit(0).alias("at"))
+    # A task may hold a large part of all items: neighbours meet by their place in one global order.
+    h = items.select("key", "task", "id", unit(F.concat_ws(":", F.lit("hf-task"), "task", "id")).alias("h"))
+    placed = materialize(global_rank(h, [F.asc("task"), F.asc("h"), F.asc("id")]).select("key", "task", "place"), "chain")
+    nxt = placed.select("task", (F.col("place") - 1).alias("place"), F.col("key").alias("b"))
+    return placed.join(nxt, ["task", "place"]).select(F.col("key").alias("a"), "b", F.lit(WEIGHT["task-chain"]).alias("weight"), F.lit("inferred-task").alias("kind"), F.lit(1).alias("inferred"), F.lit(0).alias("at"))
 
 
 def domain_spine(items: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.ranking import global_rank
+from ..plans.tables import materialize
+
 GRID = 144
 LEVELS = (0.64, 0.84, 0.95)
 
@@ -51,15 +54,12 @@ def place_macros(sizes: pd.DataFrame, near: pd.DataFrame, sweeps: int = 108) ->
 def place_nodes(nodes: DataFrame, macros: DataFrame) -> DataFrame:
     """(node, x, y): members of a macro community by rank on a golden-angle spiral around its
     centre, the strongest innermost. ``nodes`` have node, macro, rank. A macro community may be
-    a large part of all nodes: its places come from counts per hash range, not one sorted task."""
-    by = [F.desc("rank"), F.asc("node")]
-    ranges = nodes.repartitionByRange(F.col("macro"), *by).withColumn("part", F.spark_partition_id())
-    here = Window.partitionBy("macro", "part").orderBy(*by)
-    counts = ranges.groupBy("macro", "part").agg(F.count(F.lit(1)).alias("n"))
-    up = Window.partitionBy("macro").orderBy("part")
-    counts = counts.select("macro", "part", (F.sum("n").over(up) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("macro")).alias("total"))
-    j = ranges.withColumn("k", F.row_number().over(here) - 1).join(counts, ["macro", "part"]).join(macros.select("macro", F.col("x").alias("cx"), F.col("y").alias("cy"), "radius"), "macro")
-    place = F.col("before") + F.col("k")
+    a large part of all nodes: places come from one global order, not from a sorted task each."""
+    placed = materialize(global_rank(nodes.select("node", "macro", "rank"), [F.asc("macro"), F.desc("rank"), F.asc("node")]), "places")
+    first = placed.groupBy("macro").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("total"))
+    discs = macros.select("macro", F.col("x").alias("cx"), F.col("y").alias("cy"), "radius")
+    j = placed.join(first.join(discs, "macro"), "macro")
+    place = F.col("place") - F.col("first")
     r, angle = F.col("radius") * F.sqrt((place + 0.5) / F.col("total")), place * F.lit(math.pi * (3 - math.sqrt(5)))
     return j.select("node", (F.col("cx") + r * F.cos(angle)).alias("x"), (F.col("cy") + r * F.sin(angle)).alias("y"))
 
