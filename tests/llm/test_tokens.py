@@ -147,3 +147,27 @@ def test_crc_join():
         left, right = b"abc" * 11, bytes(range(256)) * 20
         right = right[:n]
         assert store.crc_join(zlib.crc32(left), zlib.crc32(right), n) == zlib.crc32(left + right)
+
+
+def test_long_texts_in_parts(monkeypatch):
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choice("abcdé1.'中") for _ in range(rnd.randrange(1, 9))) for _ in range(800)), "x" * 3000, "a " * 1500, "中 文" * 700]
+    t = token_counts.Transducer(PIECE)
+    want = [len(x) for x in t.model.encode(texts)]
+    for n in (50, 1000):
+        monkeypatch.setattr(tokens, "PART", n)
+        monkeypatch.setattr(token_counts, "AT_ONCE", n)
+        assert t.counts(texts).tolist() == want
+        for make, path in ((tokens.byte_level, BYTE), (tokens.word_end, WORD)):
+            library = tokens._library(path)
+            assert all(make(path)(x).tolist() == library.encode(x, add_special_tokens=False).ids for x in texts)
+
+
+def test_long_texts_hash_in_stretches(monkeypatch):
+    from weftgraph.llm import shingles
+
+    data = np.frombuffer(" ".join(words(random.Random(1), 500)).encode(), np.uint8)
+    b, e, _ = shingles.words(data, np.array([0, len(data)]))
+    whole = shingles.word_hashes(data, b, e)
+    monkeypatch.setattr(shingles, "SPAN", 64)
+    assert (shingles.word_hashes(data, b, e) == whole).all()

@@ -9,6 +9,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Odd bases of the two polynomials; their inverses modulo 2**64.
 BASE = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 _INVERSE = tuple(pow(b, -1, 1 << 64) for b in BASE)
+#: Bytes of text that word hashes are computed over at once.
+SPAN = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -52,6 +54,9 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, fold: bool
     if not len(begin):
         return np.zeros(0, np.uint64)
     a, b = int(begin[0]), int(end[-1])
+    cuts = np.unique(np.append(np.searchsorted(begin, np.arange(a, b, SPAN)), len(begin))).tolist()
+    if len(cuts) > 2:  # in stretches, so that work arrays stay small
+        return np.concatenate([word_hashes(data, begin[i:j], end[i:j], fold, which) for i, j in zip(cuts, cuts[1:], strict=False)])
     body = data[a:b]
     body = (_LOWER[body] if fold else body).astype(np.uint64)
     body += np.uint64(1)

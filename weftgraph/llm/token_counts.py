@@ -18,6 +18,7 @@ chunks' maps then compose along each text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,6 +38,9 @@ SLICE_BYTES = 2 << 20
 #: A character of no piece; it stands alone as four byte pieces and separates what is around it.
 WALL = "\U0010fffd"
 DEAD = ""
+#: Characters that are worked on at once.
+AT_ONCE = 1 << 21
+_RESET = re.compile(f"[^ {MARK}](?=[ {MARK}])")
 #: Beginnings of more pieces than this keep the piece before them as it is.
 SMALL = 64
 
@@ -188,7 +192,32 @@ class Transducer:
 
     def counts(self, texts: list[str | None]) -> np.ndarray:
         """Tokens of each text, as the model's own encoder gives them; null counts as empty."""
-        raw = [(MARK + t).encode("utf-32-le", "surrogatepass") if t else b"" for t in texts]
+        out = np.zeros(len(texts), np.int64)
+        held: list[str] = []
+        owner: list[int] = []
+        size = 0
+        for i, t in enumerate(texts):
+            for part in self._parts(MARK + t) if t else ():
+                held.append(part)
+                owner.append(i)
+                size += len(part)
+                if size >= AT_ONCE:
+                    np.add.at(out, owner, self._counts(held))
+                    held, owner, size = [], [], 0
+        np.add.at(out, np.array(owner, np.int64), self._counts(held))
+        return out
+
+    @staticmethod
+    def _parts(text: str) -> Iterator[str]:
+        """A text in parts that begin at resets, each about as long as is worked on at once."""
+        at = 0
+        while len(text) - at > AT_ONCE and (m := _RESET.search(text, at + AT_ONCE)):
+            yield text[at : m.end()]
+            at = m.end()
+        yield text[at:]
+
+    def _counts(self, texts: list[str]) -> np.ndarray:
+        raw = [t.encode("utf-32-le", "surrogatepass") for t in texts]
         ends = np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)
         points = np.frombuffer(b"".join(raw), "<u4").copy()
         points[points == 0x20] = ord(MARK)

@@ -22,6 +22,25 @@ BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: A text with a run of so many characters without white space, or of white space, goes to the library that owns the file.
 RUN = 20000
 LONG_RUN = re.compile(rf"\S{{{RUN}}}|\s{{{RUN}}}")
+#: Longer texts are encoded in parts of about so many characters, cut before a blank between
+#: two letters: no piece of either tokenizer reaches over such a place.
+PART = 1 << 20
+_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+
+
+def parts(text: str) -> list[str]:
+    out, at = [], 0
+    while len(text) - at > PART and (m := _CUT.search(text, at + PART)):
+        out.append(text[at : m.start()])
+        at = m.start()
+    return [*out, text[at:]]
+
+
+def _in_parts(encode: Callable[[str], np.ndarray]) -> Callable[[str], np.ndarray]:
+    def run(text: str) -> np.ndarray:
+        return encode(text) if len(text) <= PART else np.concatenate([encode(p) for p in parts(text)])
+
+    return run
 
 
 def vocabulary(name: str) -> str:
@@ -68,7 +87,7 @@ def byte_level(path: str) -> Callable[[str], np.ndarray]:
             return as_array(library.encode(text, add_special_tokens=False).ids)
         return as_array(fast(text))
 
-    return encode
+    return _in_parts(encode)
 
 
 @lru_cache(2)
@@ -114,4 +133,4 @@ def word_end(path: str) -> Callable[[str], np.ndarray]:
         text = " ".join(text.split())
         return translate[as_array(core(text + " "))] if text else as_array([])
 
-    return encode
+    return _in_parts(encode)
