@@ -291,22 +291,21 @@ def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per:
     posts = materialize(asked.mapInArrow(_postings(post, buckets), post), "postings")
     release(docs.sparkSession)
     parts = links(reps, posts)
-    own = sets.select("row", "n", "rid").dropDuplicates(["row"])
-    if parts is not None:
-        own = own.join(parts.withColumnsRenamed({"id": "rid", "component": "part"}), "rid", "left").withColumn("part", F.coalesce("part", "rid"))
+    # Rows without a component, most of all, take no part in the joins on components: as
+    # null keys they would meet in one task.
+    linked = sets.filter("rid is not null").select("row", "n", "rid").dropDuplicates(["row"])
+    if parts is None:
+        linked = linked.withColumn("part", F.col("rid"))
     else:
-        own = own.withColumn("part", F.col("rid"))
-    out = materialize(ids.join(own, "row"), "members")
-    least = out.filter("part is not null").groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
-    alone = F.col("part").isNull()
-    return out.join(least, "part", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
-        (alone | ((F.col("row") == F.col("least.row")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id")))).alias("lead"),
-        alone.alias("alone"),
-        "row",
-    )
+        linked = linked.join(parts.withColumnsRenamed({"id": "rid", "component": "part"}), "rid", "left").withColumn("part", F.coalesce("part", "rid"))
+    lone = sets.filter("rid is null").select("row", "n", F.lit(None).cast("long").alias("part")).dropDuplicates(["row"])
+    out = materialize(ids.join(linked.select("row", "n", "part").unionByName(lone), "row"), "members")
+    some = out.filter("part is not null")
+    least = some.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
+    is_lead = (F.col("row") == F.col("least.row")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+    some = some.join(least, "part").select("doc_id", F.col("n").alias("n_shingles"), F.col("least.doc_id").alias("component_id"), is_lead.alias("lead"), F.lit(False).alias("alone"), "row")
+    rest = out.filter("part is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("lead"), F.lit(True).alias("alone"), "row")
+    return some.unionByName(rest)
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
