@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 from weftgraph.functions import formulas
-from weftgraph.operators import explore, graph, hub, layout, taxonomy
+from weftgraph.operators import components, explore, graph, hub, layout, taxonomy
 from weftgraph.operators.components import connected_components
 
 SCHEMA = "s long, t long, weight double, shared long, strength double"
@@ -34,8 +34,10 @@ def roots(edges):
     return {x: find(x) for x in list(up)}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_and_forest(spark, seed):
+@pytest.mark.parametrize(("seed", "small"), [(1, 0), (2, 0), (2, 8000), (3, 20)])
+def test_components_and_forest(spark, seed, small, monkeypatch):
+    monkeypatch.setattr(components, "SMALL", small)
+    monkeypatch.setattr(graph, "SMALL", small)
     rows = some_edges(seed)
     e = spark.createDataFrame(rows, SCHEMA)
     assert {r.id: r.component for r in connected_components(e, "s", "t").collect()} == roots(rows)
@@ -50,7 +52,8 @@ def test_components_and_forest(spark, seed):
     assert set(kept) | best <= {(r.s, r.t) for r in graph.backbone(e, 3).collect()}
 
 
-def test_long_path(spark):
+def test_long_path(spark, monkeypatch):
+    monkeypatch.setattr(components, "SMALL", 0)
     e = spark.createDataFrame([(k, k + 1) for k in range(200)], "s long, t long")
     assert {r.component for r in connected_components(e, "s", "t").collect()} == {0}
 

@@ -5,15 +5,17 @@ from __future__ import annotations
 import hashlib
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formulas import affinity
 from ..plans.ranking import global_rank
 from ..plans.tables import materialize
-from .components import connected_components
+from .components import SMALL, connected_components
 
 STRENGTH_FIRST = ("strength", "weight", "shared")
 WEIGHT_FIRST = ("weight", "strength", "shared")
@@ -43,28 +45,50 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return named.join(sizes, "component").select("node", "component", "size", "place")
 
 
+def _greedy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (s, t, rank, a, b) in the order of rank, each kept if it joins two parts a and b."""
+    rows = [r for batch in batches for r in batch.to_pylist()]
+    up: dict = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    kept = []
+    for r in sorted(rows, key=lambda r: tuple(r["rank"].values())):
+        x, y = find(r["a"]), find(r["b"])
+        if x != y:
+            up[x] = y
+            kept.append((r["s"], r["t"]))
+    if kept:
+        kind = pa.array([rows[0]["s"]]).type
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c in zip(*kept, strict=True)], names=["s", "t"])
+
+
 def spanning_forest(edges: DataFrame, by: tuple[str, ...] = WEIGHT_FIRST) -> DataFrame:
     """The maximum spanning forest under a total order of edges, by Boruvka's rounds.
 
     The order is total, so the forest is the one that a greedy walk over the sorted edges
-    would keep. Each round every component takes its first edge, and edges inside
-    components go; components at least halve."""
-    rank = F.struct(*(-F.col(c) for c in by), F.col("s"), F.col("t"))
+    would keep. Each round every component takes its first edge, those edges contract, and
+    edges inside a component go; components at least halve. Once few edges are left, one
+    task walks them."""
+    rank = F.struct(*((-F.col(c)).alias(c) for c in by), F.col("s"), F.col("t"))
+    kind = edges.schema["s"].dataType.simpleString()
     left = materialize(edges.select("s", "t", rank.alias("rank"), F.col("s").alias("a"), F.col("t").alias("b")), "forest")
-    kept = None
+    kept = edges.select("s", "t").limit(0)
     while True:
-        sides = left.select(F.col("a").alias("c"), "s", "t", "rank").unionByName(left.select(F.col("b").alias("c"), "s", "t", "rank"))
-        chosen = materialize(sides.groupBy("c").agg(F.min_by(F.struct("s", "t"), "rank").alias("e")).select("e.s", "e.t").distinct(), "chosen")
-        if chosen.isEmpty():
-            break
-        kept = chosen if kept is None else kept.unionByName(chosen)
-        parts = connected_components(kept, "s", "t")
-        a, b = parts.select(F.col("id").alias("s"), F.col("component").alias("x")), parts.select(F.col("id").alias("t"), F.col("component").alias("y"))
-        now = left.drop("a", "b").join(a, "s", "left").join(b, "t", "left").select("s", "t", "rank", F.coalesce("x", "s").alias("a"), F.coalesce("y", "t").alias("b"))
+        if left.count() <= SMALL:
+            return kept.unionByName(left.coalesce(1).mapInArrow(_greedy, f"s {kind}, t {kind}"))
+        e = F.struct("s", "t", "a", "b")
+        sides = left.select(F.col("a").alias("c"), e.alias("e"), "rank").unionByName(left.select(F.col("b").alias("c"), e.alias("e"), "rank"))
+        chosen = materialize(sides.groupBy("c").agg(F.min_by("e", "rank").alias("e")).select("e.*").distinct(), "chosen")
+        kept = kept.unionByName(chosen.select("s", "t"))
+        parts = connected_components(chosen, "a", "b")
+        x, y = parts.select(F.col("id").alias("a"), F.col("component").alias("x")), parts.select(F.col("id").alias("b"), F.col("component").alias("y"))
+        now = left.join(x, "a", "left").join(y, "b", "left").select("s", "t", "rank", F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
         left = materialize(now.filter("a != b"), "forest")
-        if left.isEmpty():
-            break
-    return edges.select("s", "t").limit(0) if kept is None else kept
 
 
 def strongest_of_node(edges: DataFrame, most: int = 2, by: tuple[str, ...] = WEIGHT_FIRST) -> DataFrame:

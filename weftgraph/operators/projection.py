@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import months
 from ..plans.parameters import Parameters
+from ..plans.tables import materialize
 
 
 def monthly_scores(scores: DataFrame, p: Parameters) -> DataFrame:
@@ -137,7 +138,8 @@ def with_labels(candidates: DataFrame, graph: DataFrame, labels: int) -> DataFra
 
 
 def guard_rows(df: DataFrame, most: int) -> DataFrame:
-    """Fails if the result has more rows than allowed, without counting them all."""
-    if df.limit(most + 1).count() > most:
-        raise ValueError(f"the result has more than {most} rows")
-    return df
+    """The result, written once; fails if it has more rows than allowed."""
+    out = materialize(df, "guarded")
+    if (n := out.count()) > most:
+        raise ValueError(f"the result has {n} rows, more than {most}")
+    return out
