@@ -61,3 +61,10 @@ def flag(x: Column) -> Column:
 def label_list(x: Column) -> Column:
     """Names in a text parted by commas, semicolons, bars or slashes."""
     return trimmed_tags(F.split(F.coalesce(x, F.lit("")), r"[,;|/]"))
+
+
+def fill_from_json(columns: dict[str, Column], document: Column) -> list[Column]:
+    """Each column, or where it is null or empty the field of that name in a JSON text; a text
+    that is no JSON object fills nothing."""
+    fields = F.from_json(document, "map<string,string>", {"mode": "PERMISSIVE"})
+    return [F.coalesce(F.nullif(c, F.lit("")), F.nullif(F.try_element_at(fields, F.lit(k)), F.lit(""))).alias(k) for k, c in columns.items()]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formulas import confidence
-from ..functions.text import canonical, label_list
+from ..functions.text import canonical
 
 # Evidence of a keyword that is a topic, a phrase in one, or in the description.
 EXACT, PHRASE, PROSE, SHORT_PROSE = 4.6, 3.1, 1.15, 0.9
@@ -147,6 +147,26 @@ def override(domain: DataFrame, curated_rows: DataFrame) -> DataFrame:
     )
 
 
+def by_rules(x: Column, rules: list[tuple[str, str]], default: str) -> Column:
+    """The name of the first rule whose part the text holds, without regard to case."""
+    out = F.lit(default)
+    for part, name in reversed(rules):
+        out = F.when(F.contains(F.lower(F.coalesce(x, F.lit(""))), F.lit(part.lower())), name).otherwise(out)
+    return out
+
+
+def first_of(tags: Column, wanted: list[str], default: str) -> Column:
+    """The first of the wanted names, in their order, that is among the tags."""
+    held = F.filter(F.array(*(F.lit(w) for w in wanted)), lambda w: F.array_contains(tags, w))
+    return F.coalesce(F.try_element_at(held, F.lit(1)), F.lit(default))
+
+
+def topic_selection(tags: Column, hidden: list[str], most: int = TAGS) -> Column:
+    """The first plain tags: no prefix, not among the hidden ones, each once."""
+    plain = F.filter(tags, lambda t: ~F.contains(t, F.lit(":")) & ~t.isin(*hidden) & (F.trim(t) != ""))
+    return F.slice(F.array_distinct(plain), 1, most)
+
+
 def lookup_curated(nodes: DataFrame, records: DataFrame) -> DataFrame:
     """Each node's record by repository id, else by its name without regard to case."""
     by_id = records.filter(F.col("key").startswith("repo:")).select(F.substring("key", 6, 1000).alias("k1"), F.col("record").alias("r1"))
@@ -158,5 +178,3 @@ def facet_counts(areas: DataFrame) -> DataFrame:
     """(facet, value, n, representative): the representative has the greatest rank, then the least id."""
     return areas.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"), F.max_by("id", F.struct("rank", (-F.col("id")).alias("o"))).alias("representative"))
 
-
-__all__ = ["label_list"]

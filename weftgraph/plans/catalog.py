@@ -588,6 +588,43 @@ def scalars(spark, sf):
     )
 
 
+RULES = [("auto", "Vehicles"), ("mach", "Industry"), ("house", "Home"), ("b", "Building")]
+
+
+@query("tx8_task_domain", "select c_custkey, case when contains(lower(c_mktsegment), 'auto') then 'Vehicles' when contains(lower(c_mktsegment), 'mach') then 'Industry' when contains(lower(c_mktsegment), 'house') then 'Home' when contains(lower(c_mktsegment), 'b') then 'Building' else 'Other' end as domain from customer")
+def task_domain(spark, sf):
+    return stand_ins.table(spark, sf, "customer").select("c_custkey", taxonomy.by_rules(F.col("c_mktsegment"), RULES, "Other").alias("domain"))
+
+
+@query("tx7_tk6_tag_selection", "select p_partkey, case when p_type = 'PROMO' then 'PROMO' when p_brand = 'Brand#7' then 'Brand#7' else 'none' end as task, case when p_type = 'STANDARD' then p_brand else p_brand || '|' || p_type end as topics from part")
+def tag_selection(spark, sf):
+    tags = F.array(F.concat(F.lit("license:"), "p_type"), F.col("p_brand"), F.col("p_type"), F.col("p_brand"))
+    topics = F.array_join(taxonomy.topic_selection(tags, ["STANDARD"]), "|")
+    return stand_ins.table(spark, sf, "part").select("p_partkey", taxonomy.first_of(tags, ["PROMO", "Brand#7"], "none").alias("task"), topics.alias("topics"))
+
+
+@query("sc18_card_fill", "select event_id, cast(json_extract_string(props, '$.k') as varchar) as k, event_type from events")
+def card_fill(spark, sf):
+    e = stand_ins.table(spark, sf, "events")
+    return e.select("event_id", *text.fill_from_json({"k": F.lit(""), "event_type": F.col("event_type")}, F.col("props")))
+
+
+@query("src8_src9_snk1_csv_round_trip", with_views(NODES + "z as (select 1) select id, name, display_label, openrank_sum, topics from kept"))
+def csv_round_trip(spark, sf):
+    import uuid
+
+    from ..sources import readers
+    from .tables import shared_dir
+
+    s, at = Steps(spark, sf), f"{shared_dir(spark)}/weftgraph-csv-{uuid.uuid4().hex}"
+    names = [p.split()[0] for p in readers.NODE_SCHEMA.split(", ")]
+    s.kept.select(*names).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(f"{at}/nodes")
+    s.named.write.option("header", True).csv(f"{at}/edges")
+    nodes = readers.nodes_csv(spark, f"{at}/nodes")
+    readers.edges_csv(spark, f"{at}/edges", nodes)
+    return nodes.select("id", "name", F.coalesce("display_label", F.lit("")).alias("display_label"), "openrank_sum", F.coalesce("topics", F.lit("")).alias("topics"))
+
+
 @query("sc9_stable_unit")
 def stable_unit(spark, sf):
     return stand_ins.table(spark, sf, "customer").select("c_custkey", formulas.stable_unit(F.concat(F.lit("node:"), F.col("c_custkey").cast("string"))).alias("unit"))
