@@ -13,13 +13,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import _parse_datatype_string
 
 from .common import arrow_schema
 
-#: Elements that one bucket holds.
-BUCKET = 1 << 19
+#: Elements that one bucket holds; more, up to the second number, once there are MANY buckets.
+BUCKET, LARGE_BUCKET, MANY = 1 << 19, 1 << 25, 1 << 16
+
+
+def buckets_for(elements: int) -> int:
+    """Buckets for so many elements: enough that one fits a task, few enough that what a
+    batch sends to each stays worth a row."""
+    n = max(64, elements // BUCKET)
+    return n if n <= MANY else max(MANY, elements // LARGE_BUCKET)
 
 SENT = "batch long, bucket int, codes binary, docs binary, keys binary"
 BACK = "batch long, bucket int, docs binary, codes binary, counts binary, keys binary"
@@ -50,6 +58,30 @@ def pack(number: int, keys: np.ndarray, sets: list[np.ndarray], buckets: int, na
     )
 
 
+class Packer:
+    """Packs documents' sets once they hold enough elements for every bucket to get some."""
+
+    def __init__(self, buckets: int, names: pa.Schema):
+        self.buckets, self.names = buckets, names
+        self.number = TaskContext.get().partitionId() << 32
+        self.enough = max(1 << 18, min(1 << 22, 32 * buckets))
+        self.keys: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, key: int, elements: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.keys.append(key)
+        self.sets.append(elements)
+        self.held += len(elements)
+        if self.held >= self.enough or len(self.keys) == 1 << 16:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.keys:
+            yield pack(self.number, np.array(self.keys, np.int64), self.sets, self.buckets, self.names)
+            self.number, self.keys, self.sets, self.held = self.number + 1, [], [], 0
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[dict]]:
     """Rows of sorted batches, a list for each value of a column."""
     held: list[dict] = []

@@ -24,14 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from ..operators.components import connected_components
 from . import shingles
-from .exchange import BUCKET, SENT, code, exchange, pack
+from .exchange import SENT, Packer, buckets_for, code, exchange
 from .common import arrow_schema, materialize, release, slices, text_bytes
 
 WORDS = 5
@@ -74,15 +73,14 @@ def _send_texts(schema, buckets: int, words_per: int):
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        out = Packer(buckets, names)
         for batch in batches:
             data, off = text_bytes(batch.column(1))
-            keys = batch.column(0).to_numpy()
+            keys = batch.column(0).to_pylist()
             for a, b in slices(off, SLICE_BYTES):
-                for c in range(a, b, 1 << 16):
-                    d = min(b, c + (1 << 16))
-                    yield pack(number, keys[c:d], sets_of(data, off[c : d + 1], words_per), buckets, names)
-                    number += 1
+                for key, elements in zip(keys[a:b], sets_of(data, off[a : b + 1], words_per), strict=True):
+                    yield from out.add(key, elements)
+        yield from out.rest()
 
     return run
 
@@ -91,20 +89,11 @@ def _send_sets(schema, buckets: int):
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        keys: list[int] = []
-        sets: list[np.ndarray] = []
-        held = 0
+        out = Packer(buckets, names)
         for batch in batches:
             for key, tokens in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys.append(key)
-                sets.append(np.frombuffer(tokens.as_buffer(), "<u8"))
-                held += len(sets[-1])
-                if held >= 1 << 18 or len(keys) == 1 << 16:
-                    yield pack(number, np.array(keys, np.int64), sets, buckets, names)
-                    number, keys, sets, held = number + 1, [], [], 0
-        if keys:
-            yield pack(number, np.array(keys, np.int64), sets, buckets, names)
+                yield from out.add(key, np.frombuffer(tokens.as_buffer(), "<u8").copy())
+        yield from out.rest()
 
     return run
 
@@ -270,7 +259,7 @@ def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per:
     """
     rows = docs.select(F.xxhash64(id_col, text).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, size // 6 // BUCKET)
+    buckets = buckets_for(size // 6)
     sent = _parse_datatype_string(SENT)
     hits = exchange(rows.select("row", "text").mapInArrow(_send_texts(sent, buckets, words_per), sent), False)
     hits = materialize(hits.groupBy(F.col("key").alias("row")).agg(F.sum("hits").alias("hits")), "hits")
@@ -284,7 +273,7 @@ def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per:
     reps = materialize(some.groupBy("n", "f1", "f2", "rid").agg(F.first("tokens").alias("tokens")).select("rid", "n", "tokens"), "reps")
     release(docs.sparkSession)
     total = reps.agg(F.sum("n")).first()[0] or 0
-    buckets = max(64, total // BUCKET)
+    buckets = buckets_for(total)
     known = exchange(reps.select("rid", "tokens").mapInArrow(_send_sets(sent, buckets), sent), True)
     post = _parse_datatype_string("token long, rid long, n long, pos int, need int")
     asked = reps.join(known.withColumnRenamed("key", "rid").hint("merge"), "rid").select("rid", "tokens", "codes", "counts")

@@ -23,7 +23,7 @@ from pyspark.sql.types import _parse_datatype_string
 
 from . import shingles
 from .common import arrow_schema, materialize, release, slices, text_bytes
-from .exchange import BUCKET, SENT, code, exchange, pack, runs
+from .exchange import SENT, Packer, buckets_for, code, exchange, runs
 
 WINDOW = 35
 SLICE_BYTES = 2 << 20
@@ -101,7 +101,7 @@ def _first_requests(schema, window: int, buckets: int):
     length = levels(window)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        out = Packer(buckets, names)
         for batch in batches:
             data, off = text_bytes(batch.column(1))
             row = batch.column(0).to_numpy()
@@ -116,10 +116,9 @@ def _first_requests(schema, window: int, buckets: int):
                 third[2:] = (doc[2:] == doc[:-2]) & (hs[2:] == hs[:-2])
                 doc, hs = doc[~third], hs[~third]
                 docs, begin = np.unique(doc, return_index=True)
-                sets = np.split(hs, begin[1:]) if len(docs) else []
-                for k in range(0, len(docs), 1 << 16):
-                    yield pack(number, row[a:b][docs[k : k + (1 << 16)]], sets[k : k + (1 << 16)], buckets, names)
-                    number += 1
+                for key, own in zip(row[a:b][docs].tolist(), np.split(hs, begin[1:]) if len(docs) else [], strict=True):
+                    yield from out.add(key, own)
+        yield from out.rest()
 
     return run
 
@@ -312,7 +311,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", id_col: str
     rows = docs.select(F.xxhash64(id_col, text).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     n_words = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
-    few = max(64, n_words // (window - steps[0]) * 2 // BUCKET)
+    few = buckets_for(n_words // (window - steps[0]) * 2)
     sent = _parse_datatype_string(SENT)
     alive = exchange(rows.select("row", "text").mapInArrow(_first_requests(sent, window, few), sent), True)
     # Repeated rows ask alike, and one answer serves them all.
@@ -328,7 +327,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", id_col: str
     asked: list[int] = []
     buckets: list[int] = []
     for k, length in enumerate(steps[1:]):
-        n = max(64, n_words // BUCKET)
+        n = buckets_for(n_words)
         wanted = blocks.mapInArrow(_requests(ask, window, asked, buckets, length, n), ask)
         told = wanted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count(tell), tell)
         told = materialize(told.groupBy(F.col("at").alias("block")).agg(F.collect_list(F.struct("bucket", "bits")).alias(f"answers{k}")), "answers")

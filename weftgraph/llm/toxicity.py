@@ -258,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     spark: SparkSession = docs.sparkSession
     known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.when(F.col(label) > 0, 1).otherwise(0)).alias("label"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    known = known.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = known.join(rows.select("doc_id"), "doc_id", "left_semi")
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
