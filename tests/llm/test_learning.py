@@ -186,3 +186,20 @@ def test_pipeline(spark, tmp_path):
     assert total == sum(r.taken for r in mixing.mix(seen[2]).collect())
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted((r.doc_id, r.doc_tokens) for r in whole.select("doc_id", "doc_tokens").collect()) == sorted((r.doc_id, r.doc_tokens) for r in seen[4].collect())
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_stages_take_odd_rows(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    spark.createDataFrame([(4, 0), (5, 0), (None, 1), (7, None)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = frame(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count() <= 3 * len(rows), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).select("doc_id").distinct().count() == len({d for d, *_ in rows})
+    clean = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert clean.count() == len(rows)
+    near = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    empty = [d for d, t in rows if not (t or "").strip(" \t\n\x0b\x0c\r")]
+    assert near.filter("doc_id in (1, 2, 3)").count() == len(empty)
