@@ -17,6 +17,10 @@ from ..functions.text import canonical
 EXACT, PHRASE, PROSE, SHORT_PROSE = 4.6, 3.1, 1.15, 0.9
 SIGNAL = 0.9
 TAGS = 6
+# Confidences (scored ones start from the floors), and names that results carry.
+AI_FLOOR, DOMAIN_FLOOR, NO_SIGNAL, FALLBACK = 0.57, 0.52, 0.58, 0.24
+NONE, AGENTIC, AGENTIC_DOMAIN, AI_DOMAIN = "Non-AI", "Agents & RAG", "Agentic AI", "AI"
+AI_NAME, DOMAIN_NAME = "tech0-ai-lexicon-v1", "tech0-domain-lexicon-v1"
 #: Rows of a lexicon that may be copied to every task.
 LEXICON_ROWS = 100_000
 
@@ -66,7 +70,7 @@ def best_category(scores: DataFrame) -> DataFrame:
     return scores.withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
 
 
-def classify_signal(docs: DataFrame, words: DataFrame, none: str = "Non-AI", name: str = "tech0-ai-lexicon-v1") -> DataFrame:
+def classify_signal(docs: DataFrame, words: DataFrame, none: str = NONE, name: str = AI_NAME) -> DataFrame:
     """(id, is_signal, primary, tags, source, confidence): whether any category has a signal;
     tags are the strongest six keywords over all categories, sources those of all."""
     found = evidence(docs, words)
@@ -81,7 +85,7 @@ def classify_signal(docs: DataFrame, words: DataFrame, none: str = "Non-AI", nam
         "id", yes.alias("is_signal"), F.when(yes, F.col("category")).otherwise(none).alias("primary"),
         F.when(yes, F.col("tags")).otherwise(F.array().cast("array<string>")).alias("tags"),
         F.when(yes, F.concat(F.lit(f"{name}:"), "sources")).otherwise(f"{name}:no-signal").alias("source"),
-        F.when(yes, confidence(F.col("score"), 0.57)).otherwise(0.58).alias("confidence"),
+        F.when(yes, confidence(F.col("score"), AI_FLOOR)).otherwise(NO_SIGNAL).alias("confidence"),
     )
 
 
@@ -92,7 +96,7 @@ def language_fallback(language: Column, families: dict[str, list[str]], default:
     return out
 
 
-def classify_domain(docs: DataFrame, signal: DataFrame, words: DataFrame, families: dict[str, list[str]], default: str, split: str = "Agents & RAG", name: str = "tech0-domain-lexicon-v1") -> DataFrame:
+def classify_domain(docs: DataFrame, signal: DataFrame, words: DataFrame, families: dict[str, list[str]], default: str, split: str = AGENTIC, name: str = DOMAIN_NAME) -> DataFrame:
     """(id, primary, tags, source, confidence): documents with a signal keep it as their
     domain; others take their best category, or what their language suggests. ``docs`` have lang."""
     best = best_category(category_scores(evidence(docs, words)))
@@ -100,10 +104,10 @@ def classify_domain(docs: DataFrame, signal: DataFrame, words: DataFrame, famili
     yes, scored = F.col("is_signal"), F.col("score").isNotNull()
     return j.select(
         "id",
-        F.when(yes, F.when(F.col("sp") == split, "Agentic AI").otherwise("AI")).when(scored, F.col("category")).otherwise(language_fallback(F.col("lang"), families, default)).alias("primary"),
+        F.when(yes, F.when(F.col("sp") == split, AGENTIC_DOMAIN).otherwise(AI_DOMAIN)).when(scored, F.col("category")).otherwise(language_fallback(F.col("lang"), families, default)).alias("primary"),
         F.when(yes, F.col("st")).when(scored, F.slice("tags", 1, TAGS)).otherwise(F.array(F.coalesce("lang", F.lit("")))).alias("tags"),
-        F.when(yes, F.replace("ss", F.lit("tech0-ai"), F.lit("tech0-domain"))).when(scored, F.concat(F.lit(f"{name}:"), "sources")).otherwise(f"{name}:primary_language-fallback").alias("source"),
-        F.when(yes, F.col("sc")).when(scored, confidence(F.col("score"), 0.52)).otherwise(0.24).alias("confidence"),
+        F.when(yes, F.replace("ss", F.lit(AI_NAME), F.lit(name))).when(scored, F.concat(F.lit(f"{name}:"), "sources")).otherwise(f"{name}:primary_language-fallback").alias("source"),
+        F.when(yes, F.col("sc")).when(scored, confidence(F.col("score"), DOMAIN_FLOOR)).otherwise(FALLBACK).alias("confidence"),
     )
 
 
@@ -140,7 +144,7 @@ def override(domain: DataFrame, curated_rows: DataFrame) -> DataFrame:
     agentic = F.coalesce("is_agentic", F.lit(False))
     return j.select(
         "id",
-        F.when(agentic, "Agentic AI").when(ai, "AI").when(dom, F.try_element_at("domain0_labels", F.lit(1))).otherwise(F.col("primary")).alias("primary"),
+        F.when(agentic, AGENTIC_DOMAIN).when(ai, AI_DOMAIN).when(dom, F.try_element_at("domain0_labels", F.lit(1))).otherwise(F.col("primary")).alias("primary"),
         F.when(agentic | ai, F.col("ai_labels")).when(dom, F.col("domain0_labels")).otherwise(F.col("tags")).alias("tags"),
         F.when(agentic | ai | dom, "curated").otherwise(F.col("source")).alias("source"),
         F.when(agentic | ai | dom, 1.0).otherwise(F.col("confidence")).alias("confidence"),
