@@ -8,7 +8,6 @@ return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from weftgraph.llm import exact_dedup, mixing, ngram_join, packing, tokens, toxicity
 from weftgraph.llm.common import documents, materialize
