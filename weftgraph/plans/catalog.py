@@ -268,10 +268,10 @@ def curated(spark, sf):
 # --- Graph ------------------------------------------------------------------------
 
 
-@query("ag24_degrees", with_views(GRAPH + f"z as (select 1) select node, count(*) as degree, round(sum(weight), 6) as weighted_degree, round(sum(strength), 4) as strength, round(sum({AFF}), 6) as volume from both_ends group by node"))
+@query("ag24_degrees", with_views(GRAPH + f"z as (select 1) select node, count(*) as degree, round(sum(weight), 6) as weighted_degree, round(sum(strength), 6) as strength, round(sum({AFF}), 6) as volume from both_ends group by node"))
 def graph_degrees(spark, sf):
     d = graph.degrees(Steps(spark, sf).g)
-    return d.select("node", "degree", F.round("weighted_degree", 6).alias("weighted_degree"), F.round("strength", 4).alias("strength"), F.round("volume", 6).alias("volume"))
+    return d.select("node", "degree", F.round("weighted_degree", 6).alias("weighted_degree"), F.round("strength", 6).alias("strength"), F.round("volume", 6).alias("volume"))
 
 
 @query(
