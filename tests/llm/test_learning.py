@@ -61,6 +61,27 @@ def test_search_is_exact(spark, docs):
         assert (best == want).all() and np.allclose(sims, cos[want])
 
 
+def test_rare_forms_are_terms(spark, docs):
+    """Forms too rare to pass a test of chance one by one still tell a toxic text."""
+    rnd = random.Random(3)
+    forms = ["".join(rnd.choice("bcdfghklmnprstvz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(900)]
+    plain, bad = forms[:700], forms[700:780]
+    rows, labels = [], []
+    for k in range(600):
+        w = rnd.sample(plain, 30)
+        toxic = int(k % 4 == 0)
+        if toxic:
+            w[:6] = rnd.sample(bad, 6)
+        rows.append((k, " ".join(w)))
+        labels.append((k, toxic))
+    index = toxicity.fit(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = [r for r in toxicity.score(docs(rows), index).collect() if r.held_out]
+    truth = dict(labels)
+    assert all(r.terms for r in got)
+    assert sum(r.predicted for r in got if truth[r.doc_id]) >= 0.9 * sum(truth[r.doc_id] for r in got)
+    assert sum(r.predicted for r in got if not truth[r.doc_id]) <= 0.02 * len(got)
+
+
 def test_nothing_to_learn(spark, docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     index = toxicity.fit(docs(ODD), none)

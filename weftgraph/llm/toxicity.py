@@ -1,15 +1,16 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by nearest labelled examples: exact cosine of TF-IDF, weighted by association, over a block-max inverted index."""
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
@@ -17,12 +18,15 @@ from .common import arrow_schema, id_text, materialize
 
 #: Labelled rows of each class that examples and terms are learnt from, those of least hash.
 SAMPLE = 4096
-#: Terms: those whose association with the label, as the likelihood ratio G2, is beyond what
-#: the best of all candidates would reach by chance, 2 ln(candidates) + SURE; at most
-#: MOST_TERMS and at least FEW_TERMS. Candidates are in LEAST_DOCS sampled rows or more.
-MOST_TERMS, FEW_TERMS, SURE, LEAST_DOCS = 4096, 8, 2.0, 2
+#: Terms: the MOST_TERMS of greatest association with the label, as the likelihood ratio G2,
+#: of those in LEAST_DOCS sampled rows or more.
+MOST_TERMS, LEAST_DOCS = 4096, 2
+#: A term's weight is TF-IDF times the root of its G2, of this at least.
+LEAST_G2 = 1e-6
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks of greatest bounds that a search scores first; those that may still hold a neighbour follow at once.
+FIRST_BLOCKS = 16
 #: Weight that the share of toxic rows has among the votes.
 PRIOR = 0.05
 FOLDS = 5
@@ -59,9 +63,17 @@ class Terms:
                 out += [stems[w] for w in stems.keys() & {w[:n] for w in held}]
         return out
 
-    def times(self, term: int, ws: list[bytes]) -> int:
-        name = self.names[term]
-        return ws.count(name) if name[:1] != b"^" else sum(w.startswith(name[1:]) for w in ws)
+    def times(self, ws: list[bytes]) -> dict[int, int]:
+        """The terms of a text's words, and how often each comes."""
+        held = Counter(ws)
+        out = {self.whole[w]: held[w] for w in self.whole.keys() & held.keys()}
+        for n, stems in self.stems.items():
+            if stems:
+                for w, k in held.items():
+                    t = stems.get(w[:n])
+                    if t is not None:
+                        out[t] = out.get(t, 0) + k
+        return out
 
     def keeps(self, w: bytes) -> bool:
         return w in self.whole or any(w[:n] in stems for n, stems in self.stems.items())
@@ -78,46 +90,61 @@ class Index:
     blocks, with the greatest weight in each block."""
 
     terms: Terms
-    idf: np.ndarray
+    worth: np.ndarray  # of a term: its idf, and how much it tells of the label
     labels: np.ndarray
     ids: list
     cost: np.ndarray  # votes an example stands for: its class's rows over its sampled rows
     example: list[np.ndarray]
     weight: list[np.ndarray]
-    cuts: np.ndarray  # (terms, blocks + 1): places of the blocks in a term's postings
+    posts: tuple[np.ndarray, np.ndarray]  # the examples and weights of all terms, one after the other
+    cuts: np.ndarray  # (terms, blocks + 1): places of the blocks in posts
     tops: np.ndarray  # (terms, blocks)
     prior: float
     curve: tuple[float, float] = (1.0, 0.0)
 
     def vector(self, text: str | None) -> tuple[tuple[int, ...], np.ndarray]:
-        ws = words(text)
-        at = sorted(self.terms.found(ws))
+        times = self.terms.times(words(text))
+        at = sorted(times)
         if not at:
             return (), np.zeros(0)
-        v = np.array([(1 + math.log(self.terms.times(t, ws))) * self.idf[t] for t in at])
+        v = (1 + np.log([times[t] for t in at])) * self.worth[at]
         return tuple(at), v / math.sqrt((v * v).sum())
 
     def nearest(self, at: tuple[int, ...], v: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0, exactly, ties by example: blocks in
         the order of their bounds, until no bound is above the k-th cosine so far."""
-        rows = list(at)
-        bounds = v @ self.tops[rows] if rows else np.zeros(0)
+        rows = np.array(at, int)
+        bounds = v @ self.tops[rows]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[: np.count_nonzero(bounds > 0)]
         best, sims = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < sims[-1] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for t, x in zip(rows, v.tolist(), strict=True):
-                lo, hi = self.cuts[t, b], self.cuts[t, b + 1]
-                if lo < hi:
-                    score[self.example[t][lo:hi] - b * BLOCK] += x * self.weight[t][lo:hi]
-            here = np.flatnonzero(score > 0)
-            here = here[here + b * BLOCK != without]
-            best, sims = np.append(best, here + b * BLOCK), np.append(sims, score[here])
+        many = FIRST_BLOCKS
+        while len(order):
+            some, order = order[:many], order[many:]
+            here, score = self._scores(rows, v, some, without)
+            best, sims = np.append(best, here), np.append(sims, score)
+            if len(best) > k:
+                least = np.partition(sims, len(sims) - k)[len(sims) - k]
+                close = sims >= least - 1e-11
+                best, sims = best[close], sims[close]
             top = np.lexsort((best, -np.round(sims, 12)))[:k]
             best, sims = best[top], sims[top]
+            if len(best) == k:
+                order = order[bounds[order] >= sims[-1] - 1e-12]
+            many = len(order)
         return best, sims
 
+    def _scores(self, rows: np.ndarray, v: np.ndarray, blocks: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The examples of some blocks with a cosine above 0, and their cosines."""
+        from_, to = self.cuts[rows[:, None], blocks], self.cuts[rows[:, None], blocks + 1]
+        long = (to - from_).ravel()
+        ends = np.cumsum(long)
+        place = np.arange(ends[-1]) + np.repeat(from_.ravel() - ends + long, long)
+        score = np.bincount(self.posts[0][place], np.repeat(v, long.reshape(from_.shape).sum(1)) * self.posts[1][place], len(self.labels))
+        here = np.flatnonzero(score > 0)
+        here = here[here != without]
+        return here, score[here]
+
     def raw(self, at: tuple[int, ...], v: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         """The share of toxic votes, each weighted by the square of its similarity."""
         best, sims = self.nearest(at, v, without=without)
@@ -130,9 +157,10 @@ class Index:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def build(terms: list[bytes], idf: np.ndarray, rows: list[tuple], shares: dict[int, float], prior: float) -> Index:
+def build(terms: list[bytes], worth: np.ndarray, rows: list[tuple], shares: dict[int, float], prior: float) -> Index:
     """An index of rows (id, label, text); shares: rows of each class for one of the sample."""
-    out = Index(Terms(terms), idf, np.zeros(0, int), [], np.zeros(0), [], [], np.zeros((len(terms), 1), int), np.zeros((len(terms), 0)), prior)
+    none = (np.zeros(0, np.int64), np.zeros(0))
+    out = Index(Terms(terms), worth, np.zeros(0, int), [], np.zeros(0), [], [], none, np.zeros((len(terms), 1), int), np.zeros((len(terms), 0)), prior)
     vectors = [(*out.vector(text), label, doc_id) for doc_id, label, text in rows]
     # Alike examples in one block make its bounds tight.
     vectors.sort(key=lambda x: (x[0][int(np.argmax(x[1]))] if x[0] else len(terms), x[0], str(x[3])))
@@ -146,7 +174,10 @@ def build(terms: list[bytes], idf: np.ndarray, rows: list[tuple], shares: dict[i
     blocks = -(-len(vectors) // BLOCK)
     out.example = [np.array([e for e, _ in p], np.int64) for p in posts]
     out.weight = [np.array([x for _, x in p]) for p in posts]
-    out.cuts = np.array([np.searchsorted(e, np.arange(blocks + 1) * BLOCK) for e in out.example], int).reshape(len(terms), blocks + 1)
+    if terms:
+        out.posts = np.concatenate(out.example), np.concatenate(out.weight)
+    first = np.cumsum([0, *map(len, out.example)])
+    out.cuts = np.array([f + np.searchsorted(e, np.arange(blocks + 1) * BLOCK) for f, e in zip(first, out.example, strict=False)], int).reshape(len(terms), blocks + 1)
     out.tops = np.zeros((len(terms), blocks))
     for t, (e, x) in enumerate(zip(out.example, out.weight, strict=True)):
         np.maximum.at(out.tops[t], e // BLOCK, x)
@@ -274,18 +305,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     shape = _parse_datatype_string("word binary, label int")
     seen = chosen.select("label", "text").mapInArrow(_distinct_words(shape), shape)
     counts = seen.groupBy("word").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")).filter(F.col("t") + F.col("c") >= LEAST_DOCS)
-    candidates = Observation()
-    tested = _g2(counts, n.get(1, 0), n.get(0, 0)).observe(candidates, F.count(F.lit(1)).alias("n"))
+    tested = _g2(counts, n.get(1, 0), n.get(0, 0))
     best = tested.orderBy(F.desc("g2"), "word").limit(MOST_TERMS).select("word", "g2").collect()
-    least = 2 * math.log(max(2, candidates.get["n"])) + SURE
-    terms = [bytes(r["word"]) for i, r in enumerate(best) if r["g2"] >= least or i < FEW_TERMS]
+    terms = [bytes(r["word"]) for r in best]
     shape = _parse_datatype_string("term int, n long")
     df = np.zeros(len(terms))
     for r in rows.select("text").mapInArrow(_frequencies(shape, terms), shape).groupBy("term").agg(F.sum("n").alias("n")).collect():
         df[r["term"]] = r["n"]
     idf = np.log((1 + rows.count()) / (1 + df)) + 1
     examples = [(r["doc_id"], r["label"], r["text"]) for r in _with_terms(chosen, terms).collect()]
-    return build(terms, idf, examples, {c: sizes[c] / n[c] for c in n}, sizes.get(1, 0) / sum(sizes.values()))
+    # Terms that tell little of the label weigh little; they decide where a text has no others.
+    tells = np.sqrt(np.maximum([r["g2"] for r in best], LEAST_G2))
+    return build(terms, idf * tells, examples, {c: sizes[c] / n[c] for c in n}, sizes.get(1, 0) / sum(sizes.values()))
 
 
 def _with_terms(chosen: DataFrame, terms: list[bytes]) -> DataFrame:
