@@ -52,6 +52,18 @@ def test_components_and_forest(spark, seed, small, monkeypatch):
     assert set(kept) | best <= {(r.s, r.t) for r in graph.backbone(e, 3).collect()}
 
 
+def test_components_of_all_lines(spark, sf, monkeypatch):
+    from weftgraph.plans import catalog
+
+    monkeypatch.setattr(components, "SMALL", 0)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").join(spark.read.parquet(f"{sf}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey"))
+    want = roots({(r.o_custkey, r.l_suppkey + 1_000_000_000) for r in lines.select("o_custkey", "l_suppkey").collect()})
+    got = catalog.QUERIES["gr6_components_all_lines"](spark, sf).collect()
+    assert {r.node: r.component for r in got} == want and len(got) == len(want)
+    size = {c: list(want.values()).count(c) for c in set(want.values())}
+    assert all(r.size == size[r.component] for r in got)
+
+
 def test_long_path(spark, monkeypatch):
     monkeypatch.setattr(components, "SMALL", 0)
     e = spark.createDataFrame([(k, k + 1) for k in range(200)], "s long, t long")
