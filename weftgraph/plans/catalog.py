@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import formulas, months, text
 from ..operators import explore, graph, hub, layout, projection, quality, taxonomy
 from ..sources import sinks, stand_ins
-from .parameters import Parameters
+from .parameters import Parameters, preset
 
 P = Parameters(stand_ins.PLATFORM, 199701, 199712, 60, 2, 30, 8, 20, 500_000)
+#: The same window at the size of a build.
+PREVIEW = preset("preview", stand_ins.PLATFORM, 199712)
 TODAY = dt.date(1999, 3, 15)
 
 # A small lexicon of words that the invented texts hold.
@@ -100,21 +102,21 @@ AFF = "greatest(ln(1 + greatest(weight, 0)) + 0.55 * ln(1 + greatest(strength, 0
 class Steps:
     """The pipeline's frames over one input, made when asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, p: Parameters = P):
         self.scores, self.rows, self.info = stand_ins.scores(spark, sf_dir), stand_ins.contributions(spark, sf_dir), stand_ins.info(spark, sf_dir)
-        self.monthly = projection.monthly_scores(self.scores, P)
+        self.monthly = projection.monthly_scores(self.scores, p)
         self.yearly = projection.yearly_scores(self.monthly)
-        self.latest = projection.latest_info(self.info, P.platform)
-        self.top = projection.top_repos(self.yearly, self.latest, P)
-        self.degrees = projection.actor_degrees(self.rows, P)
-        self.bipartite = projection.actor_repos(self.rows, self.degrees, self.top, P)
+        self.latest = projection.latest_info(self.info, p.platform)
+        self.top = projection.top_repos(self.yearly, self.latest, p)
+        self.degrees = projection.actor_degrees(self.rows, p)
+        self.bipartite = projection.actor_repos(self.rows, self.degrees, self.top, p)
         self.pairs = projection.pair_rows(self.bipartite, self.degrees)
-        self.edges = projection.edges(self.pairs, P.min_shared, 6)
-        self.pruned = projection.prune(self.edges, P.max_edges_per_node)
-        self.named = projection.name_edges(self.pruned, P.platform)
-        self.stats = projection.contribution_stats(self.rows, self.top, P)
-        self.nodes = projection.nodes(self.top, self.stats, self.latest, P.platform, 8)
-        self.kept = projection.with_labels(self.nodes, self.named, P.labels)
+        self.edges = projection.edges(self.pairs, p.min_shared, 6)
+        self.pruned = projection.prune(self.edges, p.max_edges_per_node)
+        self.named = projection.name_edges(self.pruned, p.platform)
+        self.stats = projection.contribution_stats(self.rows, self.top, p)
+        self.nodes = projection.nodes(self.top, self.stats, self.latest, p.platform, 8)
+        self.kept = projection.with_labels(self.nodes, self.named, p.labels)
         self.g = self.pruned.select(F.col("source").alias("s"), F.col("target").alias("t"), "weight", F.col("shared_contributors").alias("shared"), F.col("collaboration_strength").alias("strength"))
 
 
@@ -187,6 +189,11 @@ def pruned(spark, sf):
     return projection.guard_rows(Steps(spark, sf).named, P.max_rows)
 
 
+@query("gr2_ag11_st1_pruned_edges_preview")
+def pruned_preview(spark, sf):
+    return projection.guard_rows(Steps(spark, sf, PREVIEW).named, PREVIEW.max_rows)
+
+
 @query("jn3_node_candidates", with_views(NODES + "z as (select 1) select * from nodes"))
 def nodes(spark, sf):
     return Steps(spark, sf).nodes
