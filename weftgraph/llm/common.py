@@ -22,6 +22,16 @@ def id_text(col: str | Column = "doc_id") -> Column:
     return F.coalesce(F.col(col).cast("string") if isinstance(col, str) else col.cast("string"), F.lit(""))
 
 
+def row_key(text: str = "text", id_col: str = "doc_id") -> Column:
+    """16 bytes for a row's id and text: half of a SHA-256 over both, each behind its length (-1 for null)."""
+
+    def part(name: str) -> Column:
+        body = F.col(name).cast("string")
+        return F.concat(F.coalesce(F.octet_length(body), F.lit(-1)).cast("string"), F.lit(":"), F.coalesce(body, F.lit("")))
+
+    return F.unhex(F.substring(F.sha2(F.concat(part(id_col), part(text)), 256), 1, 32))
+
+
 def hash_key(text: Column, digits: int = 13) -> Column:
     """The first hex digits of md5 as a long: a uniform key that other engines can compute too."""
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")

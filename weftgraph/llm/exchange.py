@@ -38,7 +38,7 @@ def code(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
 
 
-def pack(number: int, keys: np.ndarray, sets: list[np.ndarray], buckets: int, names: pa.Schema) -> pa.RecordBatch:
+def pack(number: int, keys: list[bytes], sets: list[np.ndarray], buckets: int, names: pa.Schema) -> pa.RecordBatch:
     codes = code(np.concatenate(sets), buckets) if sets else np.zeros(0, np.uint64)
     doc = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(s) for s in sets])
     bucket = (codes >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
@@ -53,23 +53,23 @@ def pack(number: int, keys: np.ndarray, sets: list[np.ndarray], buckets: int, na
         return pa.Array.from_buffers(pa.binary(), n + 1, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(x.tobytes())])
 
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n + 1, number, np.int64)), pa.array(np.append(used, number % buckets).astype(np.int32)), blobs(codes), blobs(doc), pa.array([None] * n + [keys.astype("<i8").tobytes()], pa.binary())],
+        [pa.array(np.full(n + 1, number, np.int64)), pa.array(np.append(used, number % buckets).astype(np.int32)), blobs(codes), blobs(doc), pa.array([None] * n + [b"".join(keys)], pa.binary())],
         schema=names,
     )
 
 
 class Packer:
-    """Packs documents' sets once they hold enough elements for every bucket to get some."""
+    """Packs documents' sets, under keys of equal length, once they hold enough elements for every bucket to get some."""
 
     def __init__(self, buckets: int, names: pa.Schema):
         self.buckets, self.names = buckets, names
         self.number = TaskContext.get().partitionId() << 32
         self.enough = max(1 << 18, min(1 << 22, 32 * buckets))
-        self.keys: list[int] = []
+        self.keys: list[bytes] = []
         self.sets: list[np.ndarray] = []
         self.held = 0
 
-    def add(self, key: int, elements: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, key: bytes, elements: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.keys.append(key)
         self.sets.append(elements)
         self.held += len(elements)
@@ -78,7 +78,7 @@ class Packer:
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.keys:
-            yield pack(self.number, np.array(self.keys, np.int64), self.sets, self.buckets, self.names)
+            yield pack(self.number, self.keys, self.sets, self.buckets, self.names)
             self.number, self.keys, self.sets, self.held = self.number + 1, [], [], 0
 
 
@@ -146,13 +146,14 @@ def _count(schema, full: bool):
     return run
 
 
-def _answer(schema, full: bool):
+def _answer(schema, full: bool, width: int):
     """What came back for the documents of each batch, by document."""
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, 0):
-            keys = np.concatenate([np.frombuffer(r["keys"], "<i8") for r in rows if r["keys"] is not None])
+            joined = b"".join(r["keys"] for r in rows if r["keys"] is not None)
+            keys = [joined[i : i + width] for i in range(0, len(joined), width)]
             rows = [r for r in rows if r["keys"] is None]
             if not full:
                 total = np.zeros(len(keys), np.int64)
@@ -160,7 +161,7 @@ def _answer(schema, full: bool):
                     part = np.frombuffer(r["counts"], "<u4")
                     total[: len(part)] += part
                 some = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(total[some])], schema=names)
+                yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in some.tolist()], pa.binary()), pa.array(total[some])], schema=names)
             elif rows:
                 doc = np.concatenate([np.frombuffer(r["docs"], "<u2") for r in rows])
                 codes = np.concatenate([np.frombuffer(r["codes"], "<u4").astype(np.uint64) | np.uint64(r["bucket"] << 32) for r in rows])
@@ -170,13 +171,14 @@ def _answer(schema, full: bool):
                 used, begin = np.unique(doc, return_index=True)
                 cuts = np.append(begin, len(doc)).tolist()
                 parts = [(codes[a:b].tobytes(), count[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[used]), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], schema=names)
+                yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in used.tolist()], pa.binary()), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], schema=names)
 
     return run
 
 
-def exchange(sent: DataFrame, full: bool) -> DataFrame:
+def exchange(sent: DataFrame, full: bool, width: int) -> DataFrame:
+    """Answers by document, under keys of ``width`` bytes."""
     back = _parse_datatype_string(BACK)
-    out = _parse_datatype_string("key long, codes binary, counts binary" if full else "key long, hits long")
+    out = _parse_datatype_string("key binary, codes binary, counts binary" if full else "key binary, hits long")
     counted = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count(back, full), back)
-    return counted.repartition("batch").sortWithinPartitions("batch").mapInArrow(_answer(out, full), out)
+    return counted.repartition("batch").sortWithinPartitions("batch").mapInArrow(_answer(out, full, width), out)

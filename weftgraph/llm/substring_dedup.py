@@ -4,8 +4,9 @@ A window of w words can only repeat if each piece of it does. The levels are w/4
 and w words. At the first, one piece of each window is counted over the corpus: the one
 with the least hash among the window's pieces, which equal windows choose alike, so that
 a few per cent of all pieces are enough. Windows whose piece is alone are done. The rest
-choose a piece of twice the length, and so on, until the piece is the window itself:
-what then repeats is removed, whatever else would be left of it.
+choose a piece of twice the length, and so on, until the piece is the window itself,
+asked for by a digest of its words: what then repeats is removed, whatever else would be
+left of it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from . import shingles
-from .common import arrow_schema, materialize, release, slices, text_bytes
+from .common import arrow_schema, materialize, release, row_key, slices, text_bytes
 from .exchange import SENT, Packer, buckets_for, code, exchange, runs
 
 WINDOW = 35
@@ -104,7 +105,7 @@ def _first_requests(schema, window: int, buckets: int):
         out = Packer(buckets, names)
         for batch in batches:
             data, off = text_bytes(batch.column(1))
-            row = batch.column(0).to_numpy()
+            row = batch.column(0).to_pylist()
             for a, b in slices(off, SLICE_BYTES):
                 w = Windows(data, off[a : b + 1], window)
                 least, h = w.chosen(length)
@@ -116,7 +117,7 @@ def _first_requests(schema, window: int, buckets: int):
                 third[2:] = (doc[2:] == doc[:-2]) & (hs[2:] == hs[:-2])
                 doc, hs = doc[~third], hs[~third]
                 docs, begin = np.unique(doc, return_index=True)
-                for key, own in zip(row[a:b][docs].tolist(), np.split(hs, begin[1:]) if len(docs) else [], strict=True):
+                for key, own in zip([row[a + d] for d in docs.tolist()], np.split(hs, begin[1:]) if len(docs) else [], strict=True):
                     yield from out.add(key, own)
         yield from out.rest()
 
@@ -191,21 +192,41 @@ class Block:
         self.left &= w.whole
 
     def ask(self, length: int, buckets: int) -> None:
-        """The pieces that windows still left choose, in the order of (bucket, code, hash);
-        a code ends in whether the block has the piece at several places."""
+        """The pieces that windows still left choose, in the order of (bucket, code, rest);
+        a code ends in whether the block has the piece at several places. Whole windows are
+        asked for by 128 bits of a digest of their words, not by a hash."""
         w = self.w
-        self.least, h = w.chosen(length)
-        at = w.places(length, self.left, self.least, h)
-        h2 = shingles.window_hashes(w.words2, length, 1)[at]
+        self.last = length == self.window
+        if self.last:
+            at = np.flatnonzero(self.left)
+            rest, h2 = self._digests(at)
+        else:
+            self.least, h = w.chosen(length)
+            at = w.places(length, self.left, self.least, h)
+            rest, h2 = h[at], shingles.window_hashes(w.words2, length, 1)[at]
         bucket, half = (h2 >> np.uint64(32)) % np.uint64(buckets), h2 & np.uint64(0x7FFFFFFF)
-        order = np.lexsort((h[at], half, bucket))
-        bucket, half, more = bucket[order], half[order], h[at][order]
+        order = np.lexsort((rest, half, bucket))
+        bucket, half, more = bucket[order], half[order], rest[order]
         new = np.ones(len(more), bool)
         new[1:] = (bucket[1:] != bucket[:-1]) | (half[1:] != half[:-1]) | (more[1:] != more[:-1])
         k = np.flatnonzero(new)
         many = np.diff(np.append(k, len(more))) > 1
         self.bucket, self.more = bucket[k].astype(np.int64), more[k]
         self.codes = (half[k] << np.uint64(1) | many).astype("<u4")
+        self.at, self.which = at[order], np.cumsum(new) - 1
+
+    def _digests(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two halves of a BLAKE2b digest of the words of each of some windows, joined by a space."""
+        w = self.w
+        if not len(at):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        body = b" ".join(x for a, b in zip(self.off[:-1].tolist(), self.off[1:].tolist(), strict=True) for x in w.data[a:b].tobytes().split())
+        end = np.cumsum(w.end - w.begin + 1) - 1
+        begin = (end - (w.end - w.begin))[at].tolist()
+        end = end[at + self.window - 1].tolist()
+        view, make = memoryview(body), hashlib.blake2b
+        out = np.frombuffer(b"".join(make(view[b:e], digest_size=16).digest() for b, e in zip(begin, end, strict=True)), "<u8").reshape(-1, 2)
+        return out[:, 0], out[:, 1]
 
     def told(self, answers: list[dict] | None) -> None:
         """Drops the windows whose piece occurs nowhere else."""
@@ -213,7 +234,10 @@ class Block:
         for x in answers or []:
             a, b = np.searchsorted(self.bucket, [x["bucket"], x["bucket"] + 1])
             alive[a:b] = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=int(b - a))
-        self.left &= _in(self.least, self.more[alive])
+        if self.last:
+            self.left[self.at] = alive[self.which]
+        else:
+            self.left &= _in(self.least, self.more[alive])
 
 
 def _block_after(row: dict, window: int, asked: list[int], buckets: list[int]) -> Block:
@@ -298,22 +322,25 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", id_col: str
 
     Words are longest runs without space and the controls 9 to 13. A word goes if a
     window of ``window`` words of one text that covers it starts at any other place of
-    the corpus too; all windows are judged on the input. Null texts have no words;
-    repeated rows repeat each other's windows; texts shorter than a window keep all;
-    null ids are kept as they are; other columns are ignored; an empty table gives no rows.
-
-    The first level only rules windows out; the later ones compare 95 bits of hash and more.
+    the corpus too; all windows are judged on the input. Null and empty texts have no words;
+    repeated rows repeat each other's windows, and all lose them (no copy is spared, so ties
+    need no rule); texts shorter than a window keep all; null ids are kept as they are; other
+    columns are ignored; an empty table gives no rows. A text of any length is judged whole;
+    a task holds one such text and about 60 bytes for each of its words.
+
+    The first levels only rule windows out, by hashes; what is removed is decided by 128 bits
+    of a BLAKE2b digest of the window's words themselves.
     """
     steps = levels(window)
     if window < 4:
         raise ValueError("a window has 4 words at least")
     spark = docs.sparkSession
-    rows = docs.select(F.xxhash64(id_col, text).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(row_key(text, id_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     n_words = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     few = buckets_for(n_words // (window - steps[0]) * 2)
     sent = _parse_datatype_string(SENT)
-    alive = exchange(rows.select("row", "text").mapInArrow(_first_requests(sent, window, few), sent), True)
+    alive = exchange(rows.select("row", "text").mapInArrow(_first_requests(sent, window, few), sent), True, 16)
     # Repeated rows ask alike, and one answer serves them all.
     alive = materialize(alive.select(F.col("key").alias("row"), "codes"), "alive").dropDuplicates(["row"])
     release(spark)
