@@ -199,15 +199,11 @@ _OF_SMALLER = f"pos < n - ({2 * NUM} * n + {NUM + DEN - 1}) div {NUM + DEN} + ne
 
 
 def merged(parts: DataFrame | None, found: DataFrame) -> DataFrame:
-    """(id, component) after further links (src, dst): only the parts that links join are contracted anew."""
-    if parts is None:
-        return materialize(connected_components(found), "parts")
-    x, y = parts.select(F.col("id").alias("src"), F.col("component").alias("x")), parts.select(F.col("id").alias("dst"), F.col("component").alias("y"))
-    between = found.join(x, "src", "left").join(y, "dst", "left").select(F.coalesce("x", "src").alias("src"), F.coalesce("y", "dst").alias("dst"))
-    step = materialize(connected_components(between.filter("src != dst").distinct()).select(F.col("id").alias("component"), F.col("component").alias("to")), "step")
-    new = found.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(parts, "id", "left_anti").withColumn("component", F.col("id"))
-    out = parts.unionByName(new).join(step, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
-    return materialize(out, "parts")
+    """(id, component) after further links (src, dst): the parts so far take part as stars, not by the links that made them."""
+    links_ = found.select("src", "dst")
+    if parts is not None:
+        links_ = links_.unionByName(parts.filter("id != component").select(F.col("id").alias("src"), F.col("component").alias("dst")))
+    return materialize(connected_components(links_), "parts")
 
 
 def _deals(size: int | None = None) -> Column:
@@ -272,7 +268,7 @@ def links(reps: DataFrame, posts: DataFrame) -> DataFrame | None:
             here = here.join(own, "rid", "left").withColumn("part", F.coalesce("own", "rid")).drop("own")
         here = materialize(across(), "postings")
         release(spark)
-        if n * 100 < most:
+        if n * 10 < most:
             break
     add(verify(candidates(here), reps))
     return parts
