@@ -14,11 +14,15 @@ from weftgraph.llm import mixing, sharding, toxicity
 BAD = ["vile", "rotten", "foul"]
 
 
+#: Digits end words for the scorer, so words of these texts have letters alone.
+LETTERS = str.maketrans("0123456789", "ghijklmnop")
+
+
 def labelled(spark, n=400, seed=1):
     rnd = random.Random(seed)
     rows, labels = [], []
     for k in range(n):
-        w = words(rnd, 40, 150)
+        w = [x.translate(LETTERS) for x in words(rnd, 40, 900)]
         toxic = int(rnd.random() < 0.25)
         if toxic:
             for b in rnd.sample(BAD, 2):
@@ -46,21 +50,92 @@ def test_toxicity(spark, docs):
     assert kept.columns == docs(rows).columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.doc_id in truth and not r.predicted}
 
 
+def dense(rows, labels, texts):
+    """Scores by plain loops over dense vectors: every cosine, sorted; the curve fitted anew."""
+    import math
+
+    known = {d: y for d, y in labels if zlib.crc32(str(d).encode()) % 5}
+    text = dict(rows)
+    ids = sorted(known)
+    held = [Counter(toxicity.words(text[d])) for d in ids]
+    terms = sorted({w for h in held for w in h})
+    n = [sum(1 - known[d] for d in ids), sum(known[d] for d in ids)]
+
+    def g2(w):
+        total = 0.0
+        for has in (True, False):
+            seen = [sum((w in h) == has and known[d] == y for d, h in zip(ids, held, strict=True)) for y in (0, 1)]
+            total += sum(s * math.log(s * sum(n) / (sum(seen) * n[y])) for y, s in enumerate(seen) if s)
+        return round(2 * total, 9)
+
+    df = Counter(w for t in text.values() for w in set(toxicity.words(t)))
+    worth = {w: (math.log((1 + len(text)) / (1 + df[w])) + 1) * math.sqrt(max(g2(w), toxicity.LEAST_G2)) for w in terms}
+
+    def vector(h):
+        v = np.array([(1 + math.log(h[w])) * worth[w] if h.get(w) else 0.0 for w in terms])
+        return v / (np.linalg.norm(v) or 1.0)
+
+    whole = np.array([vector(h) for h in held])
+    y = np.array([known[d] for d in ids])
+
+    def raw(h, own):
+        cos = whole @ vector(h)
+        if own in known:
+            cos[ids.index(own)] = 0
+        near = np.sort(np.round(cos, 12))[::-1][: toxicity.NEIGHBOURS]
+        assert len(cos) <= len(near) or near[-1] == 0 or np.round(np.sort(cos)[::-1][toxicity.NEIGHBOURS], 12) < near[-1], "a tie at the last place"
+        best = np.argsort(-cos)[: toxicity.NEIGHBOURS]
+        best = best[cos[best] > 0]
+        return (cos[best][y[best] == 1].sum() + toxicity.PRIOR * n[1] / len(ids)) / (cos[best].sum() + toxicity.PRIOR)
+
+    a, b = toxicity._platt(np.array([raw(h, d) for d, h in zip(ids, held, strict=True)]), y, np.ones(len(y)))
+    out = {}
+    for d, t in texts:
+        r = raw(Counter(toxicity.words(t)), d)
+        out[d] = 1 / (1 + math.exp(-max(-40, min(40, a * math.log(r / (1 - r)) + b)))) if 0 < r < 1 else float(r >= 1)
+    return out
+
+
+def test_scores_are_those_of_dense_vectors(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 2)
+    rnd = random.Random(12)
+    rows = [(k, " ".join([f"own{k}x" + "abc"[k % 3]] + [f"v{rnd.randrange(300)}q" for _ in range(rnd.randrange(25, 80))] + ["vile"] * (k % 5 == 0) + ["z" * 200] * (k % 7 == 0))) for k in range(150)]
+    labels = [(k, int(k % 5 == 0)) for k in range(150)]
+    rows = [(d, t.translate(LETTERS)) for d, t in rows]
+    want = dense(rows, labels, rows)
+    index = toxicity.fit(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(index.ids) == sum(zlib.crc32(str(d).encode()) % 5 > 0 for d, _ in rows)  # none taken for a copy
+    got = {r.doc_id: r.score for r in toxicity.score(docs(rows), index).collect()}
+    assert got.keys() == want.keys() and max(abs(got[d] - want[d]) for d in got) < 1e-6
+    kept = {r.doc_id for r in toxicity.keep_clean(docs(rows), index).collect()}
+    assert kept == {d for d, x in got.items() if x < 0.5}
+
+
 def test_search_is_exact(spark, docs):
     rows, labels = labelled(spark, 300, 2)
     index = toxicity.fit(docs(rows), labels)
     whole = np.zeros((len(index.ids), len(index.terms)))
-    for t, (e, x) in enumerate(zip(index.example, index.weight, strict=True)):
-        whole[e, t] = x
+    whole[np.repeat(np.arange(len(index.ids)), np.diff(index.own_first)), index.own_term] = index.own_weight
+    assert len(index.ids) > 150 and (index.column >= 0).any() and (index.column < 0).any()
+    assert np.allclose((whole * whole).sum(1), 1)
     for e in range(0, len(index.ids), 3):
-        at = tuple(np.flatnonzero(whole[e]).tolist())
-        best, sims = index.nearest(at, whole[e][list(at)])
+        at = np.flatnonzero(whole[e])
+        best, sims = index.nearest(at, whole[e][at])
         cos = np.round(whole @ whole[e], 12)
         want = np.lexsort((np.arange(len(cos)), -cos))[: toxicity.NEIGHBOURS]
         want = want[cos[want] > 0]
         assert (best == want).all() and np.allclose(sims, cos[want])
 
 
+def test_own_label_is_no_input(spark, docs):
+    rows, labels = labelled(spark, 200, 5)
+    index = toxicity.fit(docs(rows), labels)
+    got = toxicity.score(docs(rows), index).collect()
+    assert all(r.doc_id not in [e.doc_id for e in r.evidence] for r in got)
+    assert any(r.doc_id in index.at for r in got)
+
+
 def test_rare_forms_are_terms(spark, docs):
     """Forms too rare to pass a test of chance one by one still tell a toxic text."""
     rnd = random.Random(3)

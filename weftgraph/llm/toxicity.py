@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -16,139 +17,163 @@ from pyspark.sql.types import _parse_datatype_string
 
 from .common import arrow_schema, id_text, materialize
 
-#: Labelled rows of each class that examples and terms are learnt from, those of least hash.
+#: Labelled rows of each class that examples are learnt from, those of least hash. All their
+#: words are terms, so the index holds at most the distinct words of 2 * SAMPLE texts.
 SAMPLE = 4096
-#: Terms: the MOST_TERMS of greatest association with the label, as the likelihood ratio G2,
-#: of those in LEAST_DOCS sampled rows or more.
-MOST_TERMS, LEAST_DOCS = 4096, 2
-#: A term's weight is TF-IDF times the root of its G2, of this at least.
+#: A term's weight is TF-IDF times the root of its likelihood ratio G2 with the label, of this at least.
 LEAST_G2 = 1e-6
 NEIGHBOURS = 15
 BLOCK = 64
-#: Blocks of greatest bounds that a search scores first; those that may still hold a neighbour follow at once.
-FIRST_BLOCKS = 16
+#: Blocks of greatest bounds that a search scores first.
+FIRST_BLOCKS = 4
+#: A term in one of so many examples, and no more than DENSE of them, has a weight for every
+#: place of every block, so that a batch of texts meets them in one matrix product.
+OFTEN, DENSE, BATCH = 32, 1024, 64
+#: What single precision may be off by in a cosine.
+SLACK = 2e-5
 #: Weight that the share of toxic rows has among the votes.
 PRIOR = 0.05
 FOLDS = 5
+#: Words of a text's own vector that stand beside its score.
+SHOWN = 8
+#: Words from so many bytes on stand under a digest.
+LONG = 64
+#: Terms whose counts travel in one row.
+SLICE = 4096
 
 # Letters stay, A-Z folded; other ASCII ends a word.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-#: Beginnings of words, of so many bytes, are terms too: they hold for forms that no example has.
-STEMS = (4, 6)
-
-
 def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
-
-
-class Terms:
-    """Numbers of terms: words, and stems written with a ^ in front."""
-
-    def __init__(self, terms: list[bytes]):
-        self.names = terms
-        self.whole = {t: i for i, t in enumerate(terms) if t[:1] != b"^"}
-        self.stems = {n: {t[1:]: i for i, t in enumerate(terms) if t[:1] == b"^" and len(t) == n + 1} for n in STEMS}
-
-    def __len__(self) -> int:
-        return len(self.names)
-
-    def found(self, ws: list[bytes]) -> list[int]:
-        """The terms of a text's words, each once."""
-        held = set(ws)
-        out = [self.whole[w] for w in self.whole.keys() & held]
-        for n, stems in self.stems.items():
-            if stems:
-                out += [stems[w] for w in stems.keys() & {w[:n] for w in held}]
-        return out
+    out = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
+    if out and max(map(len, out)) >= LONG:
+        out = [w if len(w) < LONG else b"#" + hashlib.blake2b(w, digest_size=16).digest() for w in out]
+    return out
 
-    def times(self, ws: list[bytes]) -> dict[int, int]:
-        """The terms of a text's words, and how often each comes."""
-        held = Counter(ws)
-        out = {self.whole[w]: held[w] for w in self.whole.keys() & held.keys()}
-        for n, stems in self.stems.items():
-            if stems:
-                for w, k in held.items():
-                    t = stems.get(w[:n])
-                    if t is not None:
-                        out[t] = out.get(t, 0) + k
-        return out
 
-    def keeps(self, w: bytes) -> bool:
-        return w in self.whole or any(w[:n] in stems for n, stems in self.stems.items())
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... (n[i] of them), one after the other."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + n, n)
 
 
-def all_terms(text: str | None) -> set[bytes]:
-    held = set(words(text))
-    return held.union(*({b"^" + w[:n] for w in held if len(w) >= n} for n in STEMS))
+def _first(here: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k examples of greatest cosine, ties by example."""
+    top = np.lexsort((here, -np.round(score, 12)))[:k]
+    return here[top], score[top]
 
 
 @dataclass
 class Index:
     """Unit vectors of examples, by term: postings in the order of examples, cut into
-    blocks, with the greatest weight in each block."""
+    blocks, with the greatest weight in each. Only blocks that hold a term have an entry.
+    Frequent terms fill their blocks instead. The weights stand by example too, to give exact
+    cosines to what a search has found."""
 
-    terms: Terms
+    terms: dict[bytes, int]
     worth: np.ndarray  # of a term: its idf, and how much it tells of the label
     labels: np.ndarray
     ids: list
     cost: np.ndarray  # votes an example stands for: its class's rows over its sampled rows
-    example: list[np.ndarray]
-    weight: list[np.ndarray]
-    posts: tuple[np.ndarray, np.ndarray]  # the examples and weights of all terms, one after the other
-    cuts: np.ndarray  # (terms, blocks + 1): places of the blocks in posts
-    tops: np.ndarray  # (terms, blocks)
+    column: np.ndarray  # of a frequent term in ``filled``; -1 for others
+    filled: np.ndarray  # (frequent terms, blocks * BLOCK), in single precision
+    example: np.ndarray  # postings, by term, then example
+    weight: np.ndarray
+    first: np.ndarray  # the first entry of each term, and one more
+    block: np.ndarray  # of an entry
+    top: np.ndarray  # its greatest weight
+    start: np.ndarray  # its first posting, and one more
+    own_first: np.ndarray  # where each example begins in the next two, and one more
+    own_term: np.ndarray
+    own_weight: np.ndarray
     prior: float
     curve: tuple[float, float] = (1.0, 0.0)
+    at: dict = field(default_factory=dict)  # the example of an id
+    size: int = BLOCK
+    begin: int = FIRST_BLOCKS
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a text and their weights, of length 1 in all."""
+        times = Counter(words(text))
+        get = self.terms.get
+        rows = np.fromiter((get(w, -1) for w in times), np.int64, len(times))
+        n = np.fromiter(times.values(), np.int64, len(times))
+        rows, n = rows[rows >= 0], n[rows >= 0]
+        if not len(rows):
+            return rows, np.zeros(0)
+        v = (1 + np.log(n)) * self.worth[rows]
+        return rows, v / math.sqrt((v * v).sum())
+
+    def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What frequent terms add to the cosine of each vector with each example."""
+        by = np.zeros((len(vectors), len(self.filled)), np.float32)
+        for i, (rows, v) in enumerate(vectors):
+            column = self.column[rows]
+            by[i, column[column >= 0]] = v[column >= 0]
+        return by @ self.filled
+
+    def nearest(self, rows: np.ndarray, v: np.ndarray, k: int = NEIGHBOURS, without: int = -1, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of greatest cosine above 0, exactly, ties by example. A block's bound
+        is the most that frequent terms give an example there, and the greatest weights of the
+        others. Blocks of greatest bounds are scored first, then those whose bound reaches the
+        k-th cosine so far; what comes near it in single precision gets its exact cosine."""
+        often = self.frequent([(rows, v)])[0] if often is None else often
+        rare = self.column[rows] < 0
+        some, each = rows[rare], v[rare]
+        n = self.first[some + 1] - self.first[some]
+        entry, each = _ranges(self.first[some], n), np.repeat(each, n)
+        block = self.block[entry]
+        bounds = often.reshape(-1, self.size).max(1, initial=0) + np.bincount(block, each * self.top[entry], len(often) // self.size)
+        order = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds > 0)]
+        here, score = self._scores(entry, each, block, often, order[: self.begin], without)
+        order = order[self.begin :]
+        floor = np.partition(score, len(score) - k)[len(score) - k] - SLACK if len(score) >= k else 0.0
+        order = order[bounds[order] >= floor]
+        if len(order):
+            more, near = self._scores(entry, each, block, often, order, without)
+            here, score = np.append(here, more), np.append(score, near)
+        if len(score) > k:
+            floor = np.partition(score, len(score) - k)[len(score) - k] - SLACK
+            here = here[score >= floor]
+        return _first(here, self._whole(rows, v, here), k)
+
+    def _scores(self, entry: np.ndarray, v: np.ndarray, block: np.ndarray, often: np.ndarray, of: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The examples of some blocks with a cosine above 0, and about how great it is."""
+        chosen = np.zeros(len(often) // self.size, bool)
+        chosen[of] = True
+        mine = np.flatnonzero(chosen[block])
+        entry = entry[mine]
+        begin = self.start[entry]
+        n = self.start[entry + 1] - begin
+        post = _ranges(begin, n)
+        score = np.bincount(self.example[post], np.repeat(v[mine], n) * self.weight[post], len(often))
+        score = score + often
+        if without >= 0:
+            score[without] = 0
+        here = (np.flatnonzero(chosen)[:, None] * self.size + np.arange(self.size)).ravel()
+        score = score[here]
+        some = score > 0
+        return here[some], score[some]
+
+    def _whole(self, rows: np.ndarray, v: np.ndarray, here: np.ndarray) -> np.ndarray:
+        """The cosines of some examples, none of them without terms."""
+        if not len(here):
+            return np.zeros(0)
+        dense = self.__dict__.get("_dense")
+        if dense is None:
+            dense = self._dense = np.zeros(len(self.terms))
+        dense[rows] = v
+        n = self.own_first[here + 1] - self.own_first[here]
+        at = _ranges(self.own_first[here], n)
+        out = np.add.reduceat(dense[self.own_term[at]] * self.own_weight[at], np.cumsum(n) - n)
+        dense[rows] = 0
+        return out
 
-    def vector(self, text: str | None) -> tuple[tuple[int, ...], np.ndarray]:
-        times = self.terms.times(words(text))
-        at = sorted(times)
-        if not at:
-            return (), np.zeros(0)
-        v = (1 + np.log([times[t] for t in at])) * self.worth[at]
-        return tuple(at), v / math.sqrt((v * v).sum())
-
-    def nearest(self, at: tuple[int, ...], v: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of greatest cosine above 0, exactly, ties by example: blocks in
-        the order of their bounds, until no bound is above the k-th cosine so far."""
-        rows = np.array(at, int)
-        bounds = v @ self.tops[rows]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[: np.count_nonzero(bounds > 0)]
-        best, sims = np.zeros(0, np.int64), np.zeros(0)
-        many = FIRST_BLOCKS
-        while len(order):
-            some, order = order[:many], order[many:]
-            here, score = self._scores(rows, v, some, without)
-            best, sims = np.append(best, here), np.append(sims, score)
-            if len(best) > k:
-                least = np.partition(sims, len(sims) - k)[len(sims) - k]
-                close = sims >= least - 1e-11
-                best, sims = best[close], sims[close]
-            top = np.lexsort((best, -np.round(sims, 12)))[:k]
-            best, sims = best[top], sims[top]
-            if len(best) == k:
-                order = order[bounds[order] >= sims[-1] - 1e-12]
-            many = len(order)
-        return best, sims
-
-    def _scores(self, rows: np.ndarray, v: np.ndarray, blocks: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
-        """The examples of some blocks with a cosine above 0, and their cosines."""
-        from_, to = self.cuts[rows[:, None], blocks], self.cuts[rows[:, None], blocks + 1]
-        long = (to - from_).ravel()
-        ends = np.cumsum(long)
-        place = np.arange(ends[-1]) + np.repeat(from_.ravel() - ends + long, long)
-        score = np.bincount(self.posts[0][place], np.repeat(v, long.reshape(from_.shape).sum(1)) * self.posts[1][place], len(self.labels))
-        here = np.flatnonzero(score > 0)
-        here = here[here != without]
-        return here, score[here]
-
-    def raw(self, at: tuple[int, ...], v: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        """The share of toxic votes, each weighted by the square of its similarity."""
-        best, sims = self.nearest(at, v, without=without)
-        w = sims**2 * self.cost[best]
+    def raw(self, rows: np.ndarray, v: np.ndarray, without: int = -1, often: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+        """The share of toxic votes, each weighted by its similarity."""
+        best, sims = self.nearest(rows, v, without=without, often=often)
+        w = sims * self.cost[best]
         return float((w[self.labels[best] == 1].sum() + PRIOR * self.prior) / (w.sum() + PRIOR)), best, sims
 
     def score(self, raw: float) -> float:
@@ -157,34 +182,40 @@ class Index:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def build(terms: list[bytes], worth: np.ndarray, rows: list[tuple], shares: dict[int, float], prior: float) -> Index:
-    """An index of rows (id, label, text); shares: rows of each class for one of the sample."""
-    none = (np.zeros(0, np.int64), np.zeros(0))
-    out = Index(Terms(terms), worth, np.zeros(0, int), [], np.zeros(0), [], [], none, np.zeros((len(terms), 1), int), np.zeros((len(terms), 0)), prior)
-    vectors = [(*out.vector(text), label, doc_id) for doc_id, label, text in rows]
+def build(terms: dict[bytes, int], worth: np.ndarray, examples: list[tuple], shares: dict[int, float], prior: float) -> Index:
+    """An index of examples (id, label, terms, times); shares: rows of each class for one of the sample."""
+    own = []
+    for doc_id, label, rows, times in examples:
+        v = (1 + np.log(times)) * worth[rows]
+        own.append((rows, v / math.sqrt((v * v).sum()) if len(v) else v, label, doc_id))
     # Alike examples in one block make its bounds tight.
-    vectors.sort(key=lambda x: (x[0][int(np.argmax(x[1]))] if x[0] else len(terms), x[0], str(x[3])))
-    out.labels = np.array([x[2] for x in vectors], int)
-    out.ids = [x[3] for x in vectors]
-    out.cost = np.array([shares[x[2]] for x in vectors])
-    posts: list[list[tuple[int, float]]] = [[] for _ in terms]
-    for e, (at, v, _, _) in enumerate(vectors):
-        for t, x in zip(at, v.tolist(), strict=True):
-            posts[t].append((e, x))
-    blocks = -(-len(vectors) // BLOCK)
-    out.example = [np.array([e for e, _ in p], np.int64) for p in posts]
-    out.weight = [np.array([x for _, x in p]) for p in posts]
-    if terms:
-        out.posts = np.concatenate(out.example), np.concatenate(out.weight)
-    first = np.cumsum([0, *map(len, out.example)])
-    out.cuts = np.array([f + np.searchsorted(e, np.arange(blocks + 1) * BLOCK) for f, e in zip(first, out.example, strict=False)], int).reshape(len(terms), blocks + 1)
-    out.tops = np.zeros((len(terms), blocks))
-    for t, (e, x) in enumerate(zip(out.example, out.weight, strict=True)):
-        np.maximum.at(out.tops[t], e // BLOCK, x)
-    # Platt's curve over leave-one-out votes, the sample weighted back to the rows it stands for.
-    raws = np.array([out.raw(at, v, without=e)[0] for e, (at, v, _, _) in enumerate(vectors)])
-    out.curve = _platt(raws, out.labels, out.cost)
-    return out
+    own.sort(key=lambda x: (int(x[0][np.argmax(x[1])]) if len(x[0]) else len(terms), str(x[3])))
+    size = [len(x[0]) for x in own]
+    example = np.repeat(np.arange(len(own), dtype=np.int32), size)
+    own_term = term = np.concatenate([x[0] for x in own]) if own else np.zeros(0, np.int64)
+    own_weight = weight = np.concatenate([x[1] for x in own]) if own else np.zeros(0)
+    blocks = -(-len(own) // BLOCK)
+    many = np.bincount(term, minlength=len(terms))
+    often = np.argsort(-many, kind="stable")[: min(DENSE, np.count_nonzero(many * OFTEN >= max(1, len(own))))]
+    column = np.full(len(terms), -1, np.int64)
+    column[often] = np.arange(len(often))
+    filled = np.zeros((len(often), blocks * BLOCK), np.float32)
+    mine = column[term] >= 0
+    filled[column[term[mine]], example[mine]] = weight[mine]
+    order = np.flatnonzero(~mine)
+    order = order[np.argsort(term[order], kind="stable")]
+    term, example, weight = term[order], example[order], weight[order]
+    block = example // BLOCK
+    new = np.ones(len(term), bool)
+    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    start = np.flatnonzero(new)
+    first = np.searchsorted(term[start], np.arange(len(terms) + 1))
+    top = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
+    return Index(
+        terms, worth, np.array([x[2] for x in own], np.int64), [x[3] for x in own], np.array([shares[x[2]] for x in own]), column, filled,
+        example, weight, first, block[start], top, np.append(start, len(term)), np.cumsum([0, *size]), own_term.astype(np.int32), own_weight,
+        prior, at={x[3]: e for e, x in enumerate(own)}, size=BLOCK, begin=FIRST_BLOCKS,
+    )
 
 
 def _platt(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -206,7 +237,7 @@ def _platt(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[floa
     return max(a, 1e-3), float(b)
 
 
-def _g2(toxic: DataFrame, n1: int, n0: int) -> DataFrame:
+def _g2(counts: DataFrame, n1: int, n0: int) -> DataFrame:
     """The likelihood ratio of (word, t toxic, c clean) against independence of word and label."""
     total, every = F.col("t") + F.col("c"), n1 + n0
 
@@ -215,7 +246,7 @@ def _g2(toxic: DataFrame, n1: int, n0: int) -> DataFrame:
 
     inside = cell(F.col("t"), total * n1 / every) + cell(F.col("c"), total * n0 / every)
     outside = cell(n1 - F.col("t"), (every - total) * n1 / every) + cell(n0 - F.col("c"), (every - total) * n0 / every)
-    return toxic.withColumn("g2", 2 * (inside + outside))
+    return counts.withColumn("g2", 2 * (inside + outside))
 
 
 def _distinct_words(schema):
@@ -224,7 +255,7 @@ def _distinct_words(schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = sorted(all_terms(text))
+                own = sorted(set(words(text)))
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array([label] * len(own), pa.int32())], schema=names)
 
     return run
@@ -232,7 +263,7 @@ def _distinct_words(schema):
 
 #: Min-hashes of an example's words, in bands: examples of one class that agree in a band are
 #: copies, and one of them stays, lest words of a much copied text look like signs of its label.
-HASHES, BANDS = 16, 4
+HASHES, BANDS = 32, 4
 
 
 def _bands(schema):
@@ -245,7 +276,7 @@ def _bands(schema):
             out: list[list[int]] = [[] for _ in range(BANDS)]
             for text in b.column(2).to_pylist():
                 own = np.array([zlib.crc32(w) for w in set(words(text))] or [0], np.uint64)
-                least = ((own[:, None] * by + plus) % np.uint64(2147483647)).min(0)
+                least = np.array([((own * m + p) % np.uint64(2147483647)).min() for m, p in zip(by, plus, strict=True)])
                 for k, band in enumerate(least.reshape(BANDS, -1)):
                     out[k].append(zlib.crc32(band.tobytes()) << 32 | zlib.adler32(band.tobytes()))
             yield pa.RecordBatch.from_arrays([b.column(0).cast(names[0].type), b.column(1).cast(pa.int32()), *(pa.array([x & (1 << 63) - 1 for x in c], pa.int64()) for c in out)], schema=names)
@@ -262,17 +293,60 @@ def _one_of_copies(chosen: DataFrame) -> DataFrame:
     return chosen.join(F.broadcast(left.select("doc_id")), "doc_id", "left_semi")
 
 
-def _frequencies(schema, terms: list[bytes]):
+def _frequencies(schema, terms):
+    """(slice, counts): in how many texts of a task each term is, packed by slices of the terms."""
     names = arrow_schema(schema)
-    held = Terms(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(terms), np.int64)
+        held = terms.value
+        counts = np.zeros(len(held), np.int64)
         for b in batches:
             for text in b.column(0).to_pylist():
-                counts[held.found(words(text))] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], schema=names)
+                counts[[held[w] for w in held.keys() & set(words(text))]] += 1
+        parts = [(k // SLICE, counts[k : k + SLICE]) for k in range(0, len(counts), SLICE)]
+        parts = [(k, c) for k, c in parts if c.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c.astype("<i8").tobytes() for _, c in parts], pa.binary())], schema=names)
+
+    return run
+
+
+def _sums(schema):
+    names = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held[k] = np.frombuffer(c, "<i8") + held[k] if k in held else np.frombuffer(c, "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int32()), pa.array([c.tobytes() for c in held.values()], pa.binary())], schema=names)
+
+    return run
+
+
+def _packed(schema, terms):
+    """Examples as the numbers of their terms and how often each comes."""
+    names = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = terms.value
+        for b in batches:
+            own = [sorted((held[w], n) for w, n in Counter(words(t)).items()) for t in b.column(2).to_pylist()]
+            pack = [[np.array([x[k] for x in o], "<i4").tobytes() for o in own] for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(names[0].type), b.column(1).cast(pa.int32()), *(pa.array(p, pa.binary()) for p in pack)], schema=names)
+
+    return run
+
+
+def _votes(schema, index):
+    """Votes on the examples themselves, each without its own."""
+    names = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = index.value
+        for b in batches:
+            at = [x.at[d] for d in b.column(0).to_pylist()]
+            raw = [x.raw(*x.vector(t), without=e)[0] for e, t in zip(at, b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(raw, pa.float64())], schema=names)
 
     return run
 
@@ -284,8 +358,13 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", id_col: str = "doc_id", sample: int = SAMPLE) -> Index | None:
     """Learns from the labelled rows that are not held out; None without any.
 
-    Examples and terms come from ``sample`` rows of each class; the terms' document
-    frequencies from all documents. A label that is given twice counts as its greatest."""
+    Examples are ``sample`` rows of each class at most, near copies among them dropped; all
+    their words are terms, with document frequencies from all documents. Tasks read the texts
+    and vote; the driver gets 8 bytes for each distinct word of an example, and the words. Null
+    ids, null labels and labels without a document teach nothing; a label that is given twice
+    counts as its greatest, a repeated id has one of its texts; null and empty texts are examples
+    without terms; very long texts count whole; of rows that tie in the sample's hash, the
+    least id goes first; other columns are ignored."""
     spark: SparkSession = docs.sparkSession
     known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.when(F.col(label) > 0, 1).otherwise(0)).alias("label"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
@@ -299,86 +378,111 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         some = known.filter(F.col("label") == c).orderBy(*order).limit(sample)
         taken = some if taken is None else taken.unionByName(some)
     # At most two samples of ids: small enough for every task.
-    chosen = materialize(rows.join(F.broadcast(taken), "doc_id").dropDuplicates(["doc_id"]), "sample")
-    chosen = materialize(_one_of_copies(chosen), "examples")
+    chosen = materialize(rows.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text")), "sample")
+    chosen = materialize(_one_of_copies(chosen).repartition(spark.sparkContext.defaultParallelism), "examples")
     n = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     shape = _parse_datatype_string("word binary, label int")
     seen = chosen.select("label", "text").mapInArrow(_distinct_words(shape), shape)
-    counts = seen.groupBy("word").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")).filter(F.col("t") + F.col("c") >= LEAST_DOCS)
-    tested = _g2(counts, n.get(1, 0), n.get(0, 0))
-    best = tested.orderBy(F.desc("g2"), "word").limit(MOST_TERMS).select("word", "g2").collect()
-    terms = [bytes(r["word"]) for r in best]
-    shape = _parse_datatype_string("term int, n long")
+    counts = seen.groupBy("word").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
+    best = _g2(counts, n.get(1, 0), n.get(0, 0)).select("word", F.round("g2", 9).alias("g2")).toArrow()
+    best = best.sort_by([("g2", "descending"), ("word", "ascending")])
+    terms = {w: k for k, w in enumerate(best["word"].to_pylist())}
+    shared = spark.sparkContext.broadcast(terms)
+    shape = _parse_datatype_string("slice int, counts binary")
+    parts = rows.select("text").mapInArrow(_frequencies(shape, shared), shape).repartition("slice").mapInArrow(_sums(shape), shape)
     df = np.zeros(len(terms))
-    for r in rows.select("text").mapInArrow(_frequencies(shape, terms), shape).groupBy("term").agg(F.sum("n").alias("n")).collect():
-        df[r["term"]] = r["n"]
+    for r in parts.collect():
+        c = np.frombuffer(r["counts"], "<i8")
+        df[r["slice"] * SLICE : r["slice"] * SLICE + len(c)] = c
     idf = np.log((1 + rows.count()) / (1 + df)) + 1
-    examples = [(r["doc_id"], r["label"], r["text"]) for r in _with_terms(chosen, terms).collect()]
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    shape = _parse_datatype_string(f"doc_id {kind}, label int, terms binary, times binary")
+    packed = chosen.select("doc_id", "label", "text").mapInArrow(_packed(shape, shared), shape).collect()
+    examples = [(r["doc_id"], r["label"], np.frombuffer(r["terms"], "<i4").astype(np.int64), np.frombuffer(r["times"], "<i4")) for r in packed]
     # Terms that tell little of the label weigh little; they decide where a text has no others.
-    tells = np.sqrt(np.maximum([r["g2"] for r in best], LEAST_G2))
-    return build(terms, idf * tells, examples, {c: sizes[c] / n[c] for c in n}, sizes.get(1, 0) / sum(sizes.values()))
-
-
-def _with_terms(chosen: DataFrame, terms: list[bytes]) -> DataFrame:
-    """The examples, their texts reduced to the words that are terms: what the driver needs of them."""
-    shape = _parse_datatype_string(f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, label int, text string")
-    names = arrow_schema(shape)
-    held = Terms(terms)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = [b" ".join(w for w in words(t) if held.keeps(w)).decode() for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(names[0].type), b.column(1).cast(pa.int32()), pa.array(kept, pa.string())], schema=names)
-
-    return chosen.select("doc_id", "label", "text").mapInArrow(run, shape)
+    tells = np.sqrt(np.maximum(best["g2"].to_numpy(), LEAST_G2))
+    index = build(terms, idf * tells, examples, {c: sizes[c] / n[c] for c in n}, sizes.get(1, 0) / sum(sizes.values()))
+    # Platt's curve over leave-one-out votes, the sample weighted back to the rows it stands for.
+    shape = _parse_datatype_string("e int, raw double")
+    raws = np.zeros(len(examples))
+    for r in chosen.select("doc_id", "text").mapInArrow(_votes(shape, spark.sparkContext.broadcast(index)), shape).collect():
+        raws[r["e"]] = r["raw"]
+    index.curve = _platt(raws, index.labels, index.cost)
+    return index
+
+
+class _Scorer:
+    """Votes on texts, with those of copies met before."""
+
+    def __init__(self, index: Index):
+        self.index, self.memo = index, {}
+
+    def __call__(self, ids: list, texts: list[str | None]) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text its score, the neighbours and their cosines, and its terms of greatest
+        weight. An example's own label takes no part in its score."""
+        if len(self.memo) > 1 << 14:
+            self.memo.clear()
+        keys = [(self.index.at.get(d, -1), hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()) for d, t in zip(ids, texts, strict=True)]
+        new = {k: t for k, t in zip(keys, texts, strict=True) if k not in self.memo}
+        todo = list(new)
+        for i in range(0, len(todo), BATCH):
+            vectors = [self.index.vector(new[k]) for k in todo[i : i + BATCH]]
+            for k, (rows, v), often in zip(todo[i : i + BATCH], vectors, self.index.frequent(vectors), strict=True):
+                raw, best, sims = self.index.raw(rows, v, k[0], often)
+                self.memo[k] = (self.index.score(raw), best, sims, rows[np.argsort(-v, kind="stable")[:SHOWN]])
+        return [self.memo[k] for k in keys]
 
 
 def score(docs: DataFrame, index: Index | None, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted, evidence (the nearest
-    examples: doc_id, similarity, label, and the words shared with the vocabulary).
+    examples: doc_id, similarity, label), terms (the text's words of greatest weight).
 
     Null and empty texts, and texts without a term, have no neighbours and the score of
     the prior. Without an index every score is 0. Null ids are held out (their text is
-    empty); repeated rows score alike; other columns are ignored."""
+    empty); repeated rows score alike; an example is scored without itself; of neighbours of
+    equal cosine the first in the index count; very long texts are scored whole; other columns
+    are ignored; an empty table gives no rows."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     shape = _parse_datatype_string(f"doc_id {kind}, score double, evidence array<struct<doc_id {kind}, similarity double, label int>>, terms array<string>")
     names = arrow_schema(shape)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[tuple, tuple] = {}
-        back = [t.decode("utf-8", "replace") for t in index.terms.names] if index else []
+        x = shared.value
+        scorer = _Scorer(x) if x else None
+        none = (0.0, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        back = [t.decode("utf-8", "replace") for t in x.terms] if x else []
         for b in batches:
-            scores, evidence, terms = [], [], []
-            for t in b.column(1).to_pylist():
-                at, v = index.vector(t) if index else ((), np.zeros(0))
-                key = (at, v.tobytes())
-                got = memo.get(key)
-                if got is None:
-                    if index is None:
-                        got = (0.0, [])
-                    else:
-                        raw, best, sims = index.raw(at, v)
-                        got = (index.score(raw), [{"doc_id": index.ids[e], "similarity": s, "label": int(index.labels[e])} for e, s in zip(best.tolist(), sims.tolist(), strict=True)])
-                    if len(memo) < 1 << 14:
-                        memo[key] = got
-                scores.append(got[0])
-                evidence.append(got[1])
-                terms.append([back[x] for x in at])
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(names[0].type), pa.array(scores, pa.float64()), pa.array(evidence, names[2].type), pa.array(terms, names[3].type)], schema=names)
+            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            got = scorer(ids, texts) if scorer else [none] * len(ids)
+            near = np.concatenate([g[1] for g in got]) if got else none[1]
+            sims = np.concatenate([g[2] for g in got]) if got else none[2]
+            cuts = pa.array(np.cumsum([0, *(len(g[1]) for g in got)]).astype(np.int32))
+            item = names[2].type.value_type
+            labels = x.labels[near] if x else near
+            pairs = pa.StructArray.from_arrays([pa.array([x.ids[e] for e in near.tolist()], item[0].type), pa.array(sims), pa.array(labels.astype(np.int32))], fields=[item[0], item[1], item[2]])
+            evidence = pa.ListArray.from_arrays(cuts, pairs).cast(names[2].type)
+            terms = [[back[k] for k in g[3].tolist()] for g in got]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(names[0].type), pa.array([g[0] for g in got], pa.float64()), evidence, pa.array(terms, names[3].type)], schema=names)
 
     out = rows.mapInArrow(run, shape)
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "evidence", "terms")
 
 
-def keep_clean(docs: DataFrame, index: Index | None, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows whose score is below ``least``, with all their columns."""
+def keep_clean(docs: DataFrame, index: Index | None, least: float = 0.5, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows whose score is below ``least``, with all their columns; scores as ``score``
+    gives them, nulls and the like included. Without an index all rows stay."""
+    if index is None:
+        return docs
     names = arrow_schema(docs.schema)
-    at = docs.columns.index(text)
+    at, who = docs.columns.index(text), docs.columns.index(id_col)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(shared.value)
         for b in batches:
-            clean = [index is None or index.score(index.raw(*index.vector(t))[0]) < least for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(i).cast(f.type) for i, f in enumerate(names)], schema=names).filter(pa.array(clean))
+            clean = [x[0] < least for x in scorer(b.column(who).to_pylist(), b.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(i).cast(f.type) for i, f in enumerate(names)], schema=names).filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
