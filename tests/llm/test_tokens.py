@@ -49,6 +49,33 @@ def test_counts_are_the_models():
     same()
 
 
+@pytest.mark.parametrize(("chunk", "warm", "turns"), [(64, 8, 64), (16, 4, 64), (32, 0, 64), (32, 1, 0), (1024, 48, 64)])
+def test_heads_compose(monkeypatch, chunk, warm, turns):
+    """Texts without resets, whose chunks' maps must meet, however bad the guesses are."""
+    monkeypatch.setattr(token_counts, "CHUNK", chunk)
+    monkeypatch.setattr(token_counts, "WARM", warm)
+    monkeypatch.setattr(token_counts, "TURNS", turns)
+    t, rnd = token_counts.Transducer(PIECE), random.Random(chunk)
+    texts = ["".join(rnd.choice("ab 中文ée▁xyz") for _ in range(rnd.randrange(400))) for _ in range(100)]
+    texts += ["x" * 3900, "ab" * 1700, "".join(rnd.choice("中文字日本語的一是") for _ in range(5000)), "", "a", "a b " + "c" * 2500 + " d"]
+    assert t.counts(texts).tolist() == [len(t.model.encode(x)) for x in texts]
+
+
+def test_text_without_blanks_is_no_slower():
+    import time
+
+    t, rnd = token_counts.Transducer(PIECE), random.Random(2)
+    plain = "".join(rnd.choice("中文字日本語的一是不了人我在有他") for _ in range(700_000))
+    spaced = "".join(c + " " * (rnd.random() < 0.2) for c in plain)
+    took = []
+    for x in (plain, spaced):
+        t.counts([x])
+        began = time.perf_counter()
+        assert t.counts([x])[0] == len(t.model.encode(x))
+        took.append(time.perf_counter() - began)
+    assert took[0] < 5 * took[1] + 1
+
+
 def test_count_tokens(docs):
     got = {(r.doc_id, r.n_bytes): (r.n_tokens, r.over_limit) for r in token_counts.count_tokens(docs(ODD), PIECE, limit=20).collect()}
     m = token_counts.Transducer(PIECE).model
@@ -129,6 +156,44 @@ def test_store(spark, docs, tmp_path):
     assert not store.verify(spark, bad)
 
 
+def wide_tokenizer(path, n=70_000):
+    """A word-level vocabulary beyond 16 bits, in the file format of word_bpe_49k.json."""
+    import json
+
+    spec = json.load(open(WORD, encoding="utf-8"))
+    top = max(spec["model"]["vocab"].values())
+    spec["model"]["vocab"] |= {f"wide{k}</w>": k for k in range(top + 1, n)}
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    return str(path)
+
+
+def test_store_takes_wide_ids(spark, docs, tmp_path):
+    path = wide_tokenizer(tmp_path / "wide.json")
+    assert store.id_width(WORD, 1) == 2 and store.id_width(path, 1) == 4 and store.id_width(WORD, 1 << 16) == 4
+    rows = [(1, "some words"), (2, None)]
+    made = store.write(docs(rows), path, path=str(tmp_path / "s"), end_id=69_999)
+    assert store.open_store(spark, made.path).width == 4 and store.verify(spark, made)
+    assert [r.ids[-1] for r in store.read(spark, made).collect()] == [69_999, 69_999]
+    want = {d: zlib.crc32(np.array([*tokens.word_end(path)(t or "").tolist(), 69_999], "<u4").tobytes()) for d, t in rows}
+    assert {r.doc_id: r.ids_crc32 for r in store.digest(spark, made).collect()} == want
+
+
+def test_digest_refuses_other_recipes(spark, docs, tmp_path):
+    made = store.write(docs(rows_of(6)), WORD, path=str(tmp_path / "s"))
+    bad = store.Store(str(tmp_path / "t"))
+    made.chunks(spark).write.parquet(f"{bad.path}/chunks")
+    made.manifest(spark).write.parquet(f"{bad.path}/manifest")
+    made.recipes(spark).selectExpr("row", "doc_id", "start", "n_tokens", "reverse(digests) as digests").write.parquet(f"{bad.path}/recipes")
+    with pytest.raises(ValueError, match="manifest"):
+        store.digest(spark, bad)
+    short = store.Store(str(tmp_path / "u"))
+    made.chunks(spark).limit(1).write.parquet(f"{short.path}/chunks")
+    for part in ("manifest", "recipes"):
+        getattr(made, part)(spark).write.parquet(f"{short.path}/{part}")
+    with pytest.raises(Exception, match="chunks are missing"):
+        store.digest(spark, short).collect()
+
+
 def test_store_empty(spark, docs, tmp_path):
     made = store.write(docs([]), WORD, path=str(tmp_path / "s"))
     assert store.digest(spark, made).count() == 0 and store.verify(spark, made)

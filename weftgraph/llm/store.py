@@ -58,7 +58,12 @@ def cuts(ids: np.ndarray) -> list[int]:
     return out
 
 
-def _encode(schema, path: str, end_id: int):
+def id_width(path: str, end_id: int) -> int:
+    """Bytes of a stored id: 2 where the vocabulary and the end id fit, else 4."""
+    return 2 if max(tokens.size(path) - 1, end_id) < 1 << 16 else 4
+
+
+def _encode(schema, path: str, end_id: int, width: int):
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,10 +75,10 @@ def _encode(schema, path: str, end_id: int):
                 ids = np.concatenate([code(text or ""), end])
                 parts, a = [], 0
                 for b in cuts(ids):
-                    parts.append(ids[a:b].astype("<u2").tobytes())
+                    parts.append(ids[a:b].astype(f"<u{width}").tobytes())
                     a = b
                 rows.append((doc_id, len(ids), [hashlib.sha256(p).digest() for p in parts], parts))
-                held += 2 * len(ids) + 64
+                held += width * len(ids) + 64
                 if held > 1 << 23:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), names, strict=True)], schema=names)
                     rows, held = [], 0
@@ -86,9 +91,11 @@ def _encode(schema, path: str, end_id: int):
 @dataclass
 class Store:
     """Folders of Parquet files: ``chunks`` (digest, ids), ``recipes`` (row, doc_id, start,
-    n_tokens, digests, in ascending doc_id order) and ``manifest`` (level, node, hash)."""
+    n_tokens, digests, in ascending doc_id order), ``manifest`` (level, node, hash) and
+    ``format`` (width: bytes of an id)."""
 
     path: str
+    width: int = 2
 
     def chunks(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema("digest binary, ids binary").parquet(f"{self.path}/chunks")
@@ -100,6 +107,10 @@ class Store:
         return spark.read.schema("level int, node long, hash binary").parquet(f"{self.path}/manifest")
 
 
+def open_store(spark: SparkSession, path: str) -> Store:
+    return Store(path, spark.read.schema("width int").parquet(f"{path}/format").first()["width"])
+
+
 def _leaves(recipes: DataFrame) -> DataFrame:
     text = F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("start").cast("string"), F.col("n_tokens").cast("string"), F.concat_ws("", F.transform("digests", F.hex)))
     return recipes.select(F.col("row").alias("node"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("hash"))
@@ -116,14 +127,17 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int
 
     Null and empty texts are the end id alone. Recipes stand in ascending order of
     (doc_id, number of ids, digests), null ids first; repeated rows have recipes of
-    their own and share their chunks. An empty table gives empty folders.
+    their own and share their chunks, and rows that tie in all of that are alike. A very long
+    text is encoded in parts and stored whole; a task holds its ids. Other columns are ignored.
+    An empty table gives empty folders. Ids take two bytes, or four where the vocabulary asks for it.
     """
     spark = docs.sparkSession
-    store = Store(path or f"{shared_dir(spark)}/weftgraph-store-{uuid.uuid4().hex}")
+    store = Store(path or f"{shared_dir(spark)}/weftgraph-store-{uuid.uuid4().hex}", id_width(tokenizer, end_id))
+    spark.createDataFrame([(store.width,)], "width int").coalesce(1).write.parquet(f"{store.path}/format")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = _parse_datatype_string(f"doc_id {kind}, n_tokens long, digests array<binary>, parts array<binary>")
-    coded = materialize(rows.mapInArrow(_encode(schema, tokenizer, end_id), schema), "coded")
+    coded = materialize(rows.mapInArrow(_encode(schema, tokenizer, end_id, store.width), schema), "coded")
     pairs = coded.select(F.explode(F.arrays_zip("digests", "parts")).alias("x")).select(F.col("x.digests").alias("digest"), F.col("x.parts").alias("ids"))
     pairs.dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{store.path}/chunks")
     # Ranges of doc_id, and in each the running count of ids: starts and rows follow from the ranges' sums.
@@ -153,30 +167,38 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, end_id: int
             return store
 
 
-def verify(spark: SparkSession, store: Store) -> bool:
-    """Whether recipes hash to the manifest at every level, chunks to their digests, and every digest has its chunk."""
-    chunks, recipes, manifest = store.chunks(spark), store.recipes(spark), store.manifest(spark)
-    if chunks.filter(F.unhex(F.sha2("ids", 256)) != F.col("digest")).limit(1).count():
-        return False
-    if recipes.select(F.explode("digests").alias("digest")).join(chunks, "digest", "left_anti").limit(1).count():
-        return False
-    nodes = _leaves(recipes)
+def verify_recipes(spark: SparkSession, store: Store) -> bool:
+    """Whether recipes hash to the manifest at every level."""
+    manifest, nodes = store.manifest(spark), _leaves(store.recipes(spark))
     for level in range(1, (manifest.agg(F.max("level")).first()[0] or 0) + 1):
         nodes = _up(nodes)
         there = manifest.filter(F.col("level") == level).select("node", F.col("hash").alias("there"))
         if nodes.join(there, "node", "full").filter("hash is null or there is null or hash != there").limit(1).count():
             return False
+        nodes = there.withColumnRenamed("there", "hash")
     return True
 
 
+def verify(spark: SparkSession, store: Store) -> bool:
+    """Whether recipes hash to the manifest at every level, chunks to their digests, and every digest has its chunk."""
+    chunks, recipes = store.chunks(spark), store.recipes(spark)
+    if chunks.filter(F.unhex(F.sha2("ids", 256)) != F.col("digest")).limit(1).count():
+        return False
+    if recipes.select(F.explode("digests").alias("digest")).join(chunks, "digest", "left_anti").limit(1).count():
+        return False
+    return verify_recipes(spark, store)
+
+
 def read(spark: SparkSession, store: Store) -> DataFrame:
-    """The documents as their recipes put them together: doc_id, start, ids (array<int>)."""
+    """The documents as their recipes put them together: doc_id, start, ids (array<long>)."""
     long = store.recipes(spark).select("row", "doc_id", "start", F.posexplode("digests").alias("pos", "digest"))
     whole = long.join(store.chunks(spark), "digest").groupBy("row", "doc_id", "start").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
 
-    @F.pandas_udf("array<int>")
+    kind = f"<u{store.width}"
+
+    @F.pandas_udf("array<long>")
     def join_ids(parts: pd.Series) -> pd.Series:
-        return parts.map(lambda p: np.frombuffer(b"".join(x["ids"] for x in p), "<u2").astype(np.int32))
+        return parts.map(lambda p: np.frombuffer(b"".join(x["ids"] for x in p), kind).astype(np.int64))
 
     return whole.select("doc_id", "start", join_ids("parts").alias("ids"))
 
@@ -215,9 +237,12 @@ def digest(spark: SparkSession, store: Store) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32 (of the ids as
     little-endian unsigned 32-bit integers). Each stored chunk is read and checked
     once, where it lies; only its remainder travels to the recipes that name it, and
-    the remainders of a recipe combine in order."""
+    the remainders of a recipe combine in order. Recipes must hash to the manifest, and
+    their chunks must have as many ids as they say; else this raises."""
+    if not verify_recipes(spark, store):
+        raise ValueError("recipes differ from the manifest")
     shape = _parse_datatype_string("digest binary, crc long, n int")
-    names = arrow_schema(shape)
+    names, kind = arrow_schema(shape), f"<u{store.width}"
 
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,13 +250,14 @@ def digest(spark: SparkSession, store: Store) -> DataFrame:
             wrong = [k.hex() for k, p in zip(keys, parts, strict=True) if hashlib.sha256(p).digest() != k]
             if wrong:
                 raise ValueError(f"chunks differ from their digests: {wrong[:3]}")
-            crcs = [zlib.crc32(np.frombuffer(p, "<u2").astype("<u4").tobytes()) for p in parts]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, names[0].type), pa.array(crcs, names[1].type), pa.array([len(p) // 2 for p in parts], names[2].type)], schema=names)
+            crcs = [zlib.crc32(np.frombuffer(p, kind).astype("<u4").tobytes()) for p in parts]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, names[0].type), pa.array(crcs, names[1].type), pa.array([len(p) // int(kind[2:]) for p in parts], names[2].type)], schema=names)
 
     sums = store.chunks(spark).mapInArrow(crc, shape)
     long = store.recipes(spark).select("row", "doc_id", "start", "n_tokens", F.posexplode("digests").alias("pos", "digest"))
-    # A recipe whose chunk is missing or has another length comes out with another count of ids.
-    whole = long.join(sums, "digest", "left").groupBy("row", "doc_id", "start").agg(F.array_sort(F.collect_list(F.struct("pos", "crc", "n"))).alias("parts"), F.sum("n").alias("n_tokens"))
+    whole = long.join(sums, "digest", "left").groupBy("row", "doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("pos", "crc", "n"))).alias("parts"), F.sum("n").alias("there"))
+    wrong = F.raise_error(F.concat(F.lit("chunks are missing or of other lengths in recipe "), F.col("row").cast("string"))).cast("long")
+    whole = whole.withColumn("n_tokens", F.when(F.col("there") == F.col("n_tokens"), F.col("n_tokens")).otherwise(wrong))
 
     @F.pandas_udf("long")
     def join_crc(parts: pd.Series) -> pd.Series:

@@ -70,6 +70,12 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(4)
+def size(path: str) -> int:
+    """One more than the greatest id of a tokenizer file."""
+    return max(_library(path).get_vocab(with_added_tokens=True).values(), default=-1) + 1
+
+
 @lru_cache(2)
 def byte_level(path: str) -> Callable[[str], np.ndarray]:
     import tiktoken
