@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -102,22 +103,60 @@ def backbone(edges: DataFrame, top: int = 1500, own: int = 2) -> DataFrame:
     return spanning_forest(edges).unionByName(strongest_of_node(edges, own)).unionByName(best).distinct()
 
 
-def core_numbers(edges: DataFrame) -> DataFrame:
-    """(node, core): the largest k for which the node lies in a subgraph of least degree k."""
-    left = materialize(edges.select("s", "t").distinct(), "core")
-    out, k = None, 0
-    held = materialize(ends(left).select("node").distinct(), "core")
-    while not held.isEmpty():
-        deg = held.join(ends(left).groupBy("node").agg(F.count(F.lit(1)).alias("d")), "node", "left").withColumn("d", F.coalesce("d", F.lit(0)))
-        peel = materialize(deg.filter(F.col("d") <= k).select("node"), "peel")
-        if peel.isEmpty():
-            k += 1
+def _peel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, core) of a whole graph (node, other, both ways): nodes leave by falling-in degree."""
+    near: dict = defaultdict(list)
+    kind = None
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            near[x].append(y)
+    degree = {v: len(n) for v, n in near.items()}
+    levels: list[list] = [[] for _ in range(max(degree.values(), default=0) + 1)]
+    for v, d in degree.items():
+        levels[d].append(v)
+    core: dict = {}
+    k = at = 0
+    while at < len(levels):
+        if not levels[at]:
+            at += 1
+            continue
+        v = levels[at].pop()
+        if v in core or degree[v] != at:
             continue
-        now = peel.withColumn("core", F.lit(k))
-        out = now if out is None else out.unionByName(now)
-        held = materialize(held.join(peel, "node", "left_anti"), "core")
-        left = materialize(left.join(peel.withColumnRenamed("node", "s"), "s", "left_anti").join(peel.withColumnRenamed("node", "t"), "t", "left_anti").select("s", "t"), "core")
-    return edges.select(F.col("s").alias("node"), F.lit(0).alias("core")).limit(0) if out is None else out
+        k = max(k, at)
+        core[v] = k
+        for u in near[v]:
+            if u not in core:
+                degree[u] -= 1
+                levels[degree[u]].append(u)
+                at = min(at, degree[u])
+    if core:
+        yield pa.RecordBatch.from_arrays([pa.array(core.keys(), kind), pa.array(core.values(), pa.int32())], names=["node", "core"])
+
+
+def core_numbers(edges: DataFrame) -> DataFrame:
+    """(node, core): the largest k for which the node lies in a subgraph of least degree k.
+
+    Up to SMALL edges one task peels them. Beyond, every node takes the h-index of its
+    neighbours' numbers, from degrees on, until none changes; a hub's neighbours are counted by
+    number first. Long tails of degree 1 or 2 take a round for each of their nodes."""
+    kind = edges.schema["s"].dataType.simpleString()
+    plain = edges.filter("s != t").select(F.least("s", "t").alias("s"), F.greatest("s", "t").alias("t")).distinct()
+    e = materialize(ends(plain).select("node", "other"), "core")
+    if e.count() <= 2 * SMALL:
+        return e.coalesce(1).mapInArrow(_peel, f"node {kind}, core int")
+    now = materialize(e.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("core")), "cores")
+    while True:
+        own = now.select("node", F.col("core").alias("own"))
+        seen = e.join(now.withColumnRenamed("node", "other"), "other").join(own, "node")
+        counts = seen.groupBy("node", "own", F.least("core", "own").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        above = F.sum("n").over(Window.partitionBy("node").orderBy(F.desc("v")))
+        h = counts.withColumn("h", F.least(F.col("v").cast("long"), above)).groupBy("node", "own").agg(F.max("h").cast("int").alias("core"))
+        step = materialize(h, "cores")
+        now = step.select("node", "core")
+        if step.filter("core != own").isEmpty():
+            return now
 
 
 def propagate(edges: DataFrame, sweeps: int = 32, resolution: float = 1.15) -> DataFrame:
@@ -155,69 +194,77 @@ def _unit(text: str) -> float:
 
 
 class _Communities:
-    """Sequential label moves over one graph, held in one task."""
+    """Sequential label moves over one connected component, held in one task. ``total`` is the
+    volume of the whole graph, of which the component may be a part."""
 
-    def __init__(self, rows: pd.DataFrame, resolution: float):
+    def __init__(self, rows: pd.DataFrame, resolution: float, total: float, prefix: str):
         self.near: dict = defaultdict(dict)
         for s, t, a in rows[["s", "t", "a"]].itertuples(index=False):
             self.near[s][t] = self.near[s].get(t, 0.0) + a
             self.near[t][s] = self.near[t].get(s, 0.0) + a
         self.volume = {v: sum(n.values()) for v, n in self.near.items()}
-        self.penalty = resolution / max(1e-12, sum(self.volume.values()))
+        self.resolution, self.total = resolution, max(1e-12, total)
         self.label = {v: v for v in self.near}
         self.load = dict(self.volume)
-
-    def sweep(self) -> int:
-        moved = 0
-        for v in sorted(self.near, key=lambda v: (-self.volume[v], _unit(str(v)), v)):
-            own = self.label[v]
-            self.load[own] -= self.volume[v]
-            pull: dict = defaultdict(float)
-            for u, a in self.near[v].items():
-                pull[self.label[u]] += a
-            best, most = own, max(0.0, pull.get(own, 0.0) - self.penalty * self.volume[v] * self.load[own])
-            for c in sorted(pull):
-                gain = pull[c] - self.penalty * self.volume[v] * self.load[c]
-                if gain > most + 1e-12:
+        self.name = {v: f"{prefix}{v}" for v in self.near}
+        self.order = sorted(self.near, key=lambda v: (-self.volume[v], _unit(self.name[v]), self.name[v]))
+
+    def _pulls(self, v, barred=()) -> dict:
+        out: dict = {}
+        for u, a in self.near[v].items():
+            c = self.label[u]
+            if c not in barred:
+                out[c] = out.get(c, 0.0) + a
+        return out
+
+    def sweep(self) -> bool:
+        """Each node moves to the label of best gain, or stays where no gain is above 0; of gains
+        that rounding can not tell apart the own label wins, else the first."""
+        moved = False
+        for v in self.order:
+            own, vol = self.label[v], self.volume[v]
+            self.load[own] -= vol
+            best, most = own, 0.0
+            for c, pull in sorted(self._pulls(v).items()):
+                gain = pull - self.resolution * vol * self.load[c] / self.total
+                near = max(1.0, abs(most), abs(gain)) * 1e-12
+                if gain > most + near or (c == own != best and abs(gain - most) <= near):
                     best, most = c, gain
-            self.load[best] += self.volume[v]
-            if best != own:
-                self.label[v] = best
-                moved += 1
+            self.load[best] += vol
+            self.label[v] = best
+            moved |= best != own
         return moved
 
     def absorb(self, least: int, passes: int) -> None:
-        """Small communities join the neighbour that binds them most."""
+        """Nodes of communities of less than ``least`` go, one by one in the order of their names,
+        to the larger community that binds each most. What counts as small is fixed for a pass."""
+        names = sorted(self.near, key=self.name.get)
         for _ in range(passes):
-            members: dict = defaultdict(list)
-            for v, c in self.label.items():
-                members[c].append(v)
-            small = {c for c, m in members.items() if len(m) < least}
-            changed = False
-            for c in sorted(small, key=lambda c: (len(members[c]), c)):
-                pull: dict = defaultdict(float)
-                for v in members[c]:
-                    for u, a in self.near[v].items():
-                        if self.label[u] != c and self.label[u] not in small:
-                            pull[self.label[u]] += a
-                if pull:
-                    to = min(pull, key=lambda x: (-pull[x], x))
-                    for v in members[c]:
-                        self.label[v] = to
-                    changed = True
-            if not changed:
+            sizes = Counter(self.label.values())
+            small = {c for c, n in sizes.items() if n < least}
+            moved = False
+            for v in names if small else ():
+                if self.label[v] in small and (pulls := self._pulls(v, small)):
+                    most = max(pulls.values())
+                    self.label[v] = min(c for c, x in pulls.items() if most - x <= max(1.0, abs(most)) * 1e-12)
+                    moved = True
+            if not moved:
                 return
 
 
-def communities(edges: DataFrame, sweeps: int = 32, resolution: float = 1.15, least: int = 12, passes: int = 5, parts: DataFrame | None = None) -> DataFrame:
+def communities(edges: DataFrame, sweeps: int = 32, resolution: float = 1.15, least: int = 12, passes: int = 5, parts: DataFrame | None = None, prefix: str = "") -> DataFrame:
     """(node, label): asynchronous, modularity-penalised label propagation with absorption of
-    fragments, one task per connected component. The visiting order makes it sequential, so
-    a component must fit one task; ``propagate`` is the way for graphs beyond that."""
+    fragments, one task per connected component; the penalty is against the whole graph's volume.
+    Nodes are visited by falling volume, then by a hash of their name, which is ``prefix`` and
+    the id. The visiting order makes it sequential, so a component must fit one task: builds
+    bound the graph (``Parameters.max_rows``), and ``propagate`` is the way beyond that."""
     parts = connected_components(edges, "s", "t") if parts is None else parts
-    rows = edges.select("s", "t", affinity(F.col("weight"), F.col("strength")).alias("a")).join(parts.withColumnRenamed("id", "s"), "s")
+    rows = edges.select("s", "t", affinity(F.col("weight"), F.col("strength")).alias("a"))
+    total = 2 * (rows.agg(F.sum("a")).first()[0] or 0.0)
+    rows = rows.join(parts.withColumnRenamed("id", "s"), "s")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        g = _Communities(rows.sort_values(["s", "t"]), resolution)
+        g = _Communities(rows.sort_values(["s", "t"]), resolution, total, prefix)
         for _ in range(sweeps):
             if not g.sweep():
                 break
@@ -247,40 +294,70 @@ def macro_count(n: int) -> int:
     return 18 if n >= 8000 else 14 if n >= 1500 else 10
 
 
+def _joined(nodes, links: dict) -> list[list]:
+    """The connected parts of some nodes, each sorted."""
+    left, out = set(nodes), []
+    while left:
+        part = [left.pop()]
+        for x in part:
+            near = links[x].keys() & left
+            left -= near
+            part += near
+        out.append(sorted(part))
+    return out
+
+
 def macros(sizes: pd.DataFrame, near: pd.DataFrame, n_nodes: int) -> dict[int, int]:
-    """Macro community of each micro community (community, size; a, b, affinity). The largest
-    are seeds; then, greedily, the pair of best affinity over a load penalty joins; what has
-    no affinity is dealt by hash. Micro communities are few: this runs on the driver."""
-    size = dict(zip(sizes["community"], sizes["size"], strict=True))
-    order = sorted(size, key=lambda c: (-size[c], c))
-    k = min(macro_count(n_nodes), len(order))
-    out = {c: i for i, c in enumerate(order[:k])}
-    load = [size[c] for c in order[:k]]
-    ideal = max(1.0, sum(size.values()) / max(1, k))
-    pull: dict = defaultdict(lambda: defaultdict(float))
+    """Macro community of each micro community (community, size; a, b, affinity).
+
+    The largest communities of the main part (the one of most nodes) are seeds; then, one by
+    one, the community and macro of best affinity over a load penalty join; where no affinity
+    leads on, the largest left goes to the least loaded. Other parts stay whole: a hash of
+    their least community picks one of the macros that the seeds left free, or of all. Bounded
+    by the graph's communities: this runs on the driver, in the time of sorting the affinities."""
+    size = dict(zip(sizes["community"].tolist(), sizes["size"].tolist(), strict=True))
+    if not size:
+        return {}
     links: dict = defaultdict(dict)
     for a, b, x in near[["a", "b", "affinity"]].itertuples(index=False):
         links[a][b] = links[b][a] = x
-    for c, i in out.items():
+    parts = sorted(_joined(size, links), key=lambda p: (-sum(size[c] for c in p), p[0]))
+    main, k = parts[0], min(macro_count(n_nodes), len(size))
+    seeds = sorted(main, key=lambda c: (-size[c], c))[:k]
+    out: dict = {}
+    load = [0] * len(seeds)
+    ideal = sum(size[c] for c in main) / len(seeds)
+    # Within a macro the penalty is the same for all, so each needs its strongest candidate only.
+    heaps: list[list] = [[] for _ in seeds]
+    pulls: dict = defaultdict(float)
+
+    def put(c, m: int) -> None:
+        out[c] = m
+        load[m] += size[c]
         for d, x in links[c].items():
-            pull[d][i] += x
-    left = set(order[k:])
-    while left:
+            if d not in out:
+                pulls[d, m] += x
+                heapq.heappush(heaps[m], (-pulls[d, m], d))
+
+    for m, c in enumerate(seeds):
+        put(c, m)
+    rest = iter(sorted(main, key=lambda c: (-size[c], c)))
+    while len(out) < len(main):
         best = None
-        for c in left:
-            for i, x in pull[c].items():
-                key = (x / (1 + load[i] / ideal) ** 1.45, -c, -i)
-                if best is None or key > best[0]:
-                    best = (key, c, i)
+        for m, heap in enumerate(heaps):
+            while heap and (heap[0][1] in out or -heap[0][0] != pulls[heap[0][1], m]):
+                heapq.heappop(heap)
+            if heap:
+                key = (-heap[0][0] / (1 + load[m] / ideal) ** 1.45, -heap[0][1], -m)
+                best = key if best is None else max(best, key)
         if best is None:
-            break
-        _, c, i = best
-        out[c], load[i] = i, load[i] + size[c]
-        left.remove(c)
-        for d, x in links[c].items():
-            pull[d][i] += x
-    for c in sorted(left):
-        out[c] = int(_unit(f"satellite:{c}") * k)
+            put(next(c for c in rest if c not in out), min(range(len(seeds)), key=lambda m: (load[m], m)))
+        else:
+            put(-best[1], -best[2])
+    free = list(range(len(seeds), k)) or list(range(len(seeds)))
+    for part in parts[1:]:
+        m = free[min(len(free) - 1, int(_unit(f"satellite-macro:{part[0]}") * len(free)))]
+        out |= dict.fromkeys(part, m)
     return out
 
 
