@@ -39,7 +39,7 @@ def _at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found.keys(), kind), pa.array(found.values(), kind)], names=["u", "to"])
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", written: bool = False) -> DataFrame:
     """(id, component): each vertex of an edge, and the least vertex that it can reach.
 
     Every round points each vertex at its least neighbour, or itself, and contracts the
@@ -47,9 +47,14 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     so the vertices that still have edges at least halve: log2(n) rounds, each on a
     smaller graph. The rounds' maps are then composed. Minima are partial aggregates,
     so a vertex with very many edges is no burden to one task. Once SMALL edges are left, one
-    task finishes them.
+    task finishes them; edges that are a ``written`` table are counted for that before the first round.
     """
     a, b = F.col(src), F.col(dst)
+    if written:
+        few = edges.select(a.alias("u"), b.alias("v")).filter("u is not null and v is not null")
+        if few.count() <= SMALL:
+            kind = few.schema["u"].dataType.simpleString()
+            return few.coalesce(1).mapInArrow(_at_once, f"u {kind}, to {kind}").select(F.col("u").alias("id"), F.col("to").alias("component"))
     both = edges.select(a.alias("u"), b.alias("v")).union(edges.select(b, a)).filter("u is not null and v is not null").distinct()
     left = materialize(both, "edges")
     maps: list[DataFrame] = []
