@@ -42,6 +42,8 @@ SLICE_BYTES = 2 << 20
 VERIFY = 0.0003
 #: Postings of one token under one key, beside its pivots; and in a row or column of the grid of pairs.
 DEAL, GRID = 256, 4096
+#: Bytes of all representatives' sets up to which they are copied to every task.
+SETS_BYTES = 16 << 20
 ROUNDS = 6
 #: Pivots of an element, and pivots that a set is verified with, in the second round; both grow from there.
 PIVOTS, TRIES = 4, 6
@@ -175,12 +177,22 @@ def _verify(schema):
     return run
 
 
-def verify(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(src, dst, shared, total) of the pairs (src, dst) whose sets link."""
+def verify(pairs: DataFrame, reps: DataFrame, small: bool = False) -> DataFrame:
+    """(src, dst, shared, total) of the pairs (src, dst) whose sets link. ``small``: the sets
+    were found to fit every task; else they meet the pairs in shuffles."""
     shape = _parse_datatype_string("src long, dst long, shared long, total long")
     x = reps.select(F.col("rid").alias("src"), F.col("tokens").alias("x"))
     y = reps.select(F.col("rid").alias("dst"), F.col("tokens").alias("y"))
-    return pairs.hint("merge").join(x, "src").join(y.hint("merge"), "dst").select("src", "dst", "x", "y").mapInArrow(_verify(shape), shape)
+    if small:
+        both = pairs.join(F.broadcast(x), "src").join(F.broadcast(y), "dst")
+    else:
+        both = pairs.hint("merge").join(x, "src").join(y.hint("merge"), "dst")
+    return both.select("src", "dst", "x", "y").mapInArrow(_verify(shape), shape)
+
+
+def fits_tasks(reps: DataFrame) -> bool:
+    """Whether all sets are small enough to go to every task."""
+    return 8 * (reps.agg(F.sum("n")).first()[0] or 0) <= SETS_BYTES
 
 
 def _may_link(x: str, y: str) -> str:
@@ -203,7 +215,7 @@ def merged(parts: DataFrame | None, found: DataFrame) -> DataFrame:
     links_ = found.select("src", "dst")
     if parts is not None:
         links_ = links_.unionByName(parts.filter("id != component").select(F.col("id").alias("src"), F.col("component").alias("dst")))
-    return materialize(connected_components(links_), "parts")
+    return materialize(connected_components(links_, written=True), "parts")
 
 
 def _deals(size: int | None = None) -> Column:
@@ -236,6 +248,7 @@ def links(reps: DataFrame, posts: DataFrame) -> DataFrame | None:
     parts: DataFrame | None = None
     spark = reps.sparkSession
     here = _dealt(posts).withColumn("part", F.col("rid"))
+    small = fits_tasks(reps)
 
     def add(new: DataFrame) -> int:
         nonlocal parts
@@ -261,16 +274,16 @@ def links(reps: DataFrame, posts: DataFrame) -> DataFrame | None:
         votes = met.groupBy(F.col("rid").alias("src"), F.col("lead.rid").alias("dst")).agg(F.count(F.lit(1)).alias("shared"))
         best = votes.groupBy("src").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", "dst")), False), 1, TRIES << (turn - 1) if turn else 1).alias("best"))
         best = best.select("src", F.explode("best.dst").alias("dst"))
-        n = add(verify(best.select("src", "dst"), reps))
+        n = add(verify(best.select("src", "dst"), reps, small))
         most = max(most, n)
         if n:
             own = parts.withColumnsRenamed({"id": "rid", "component": "own"})
             here = here.join(own, "rid", "left").withColumn("part", F.coalesce("own", "rid")).drop("own")
         here = materialize(across(), "postings")
         release(spark)
-        if n * 10 < most:
+        if n * 100 < most:
             break
-    add(verify(candidates(here), reps))
+    add(verify(candidates(here), reps, small))
     return parts
 
 
@@ -341,7 +354,7 @@ def pairs(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words_per
     may link. No pivots: all pairs that share as many prefix elements as required are verified, so
     a group of k sets that all link costs k * k / 2 verifications. Nulls and the like as in ``join``."""
     sets, reps, posts = _classes(docs, text, id_col, words_per)
-    found = verify(candidates(posts.withColumn("part", F.col("rid"))), reps)
+    found = verify(candidates(posts.withColumn("part", F.col("rid"))), reps, fits_tasks(reps))
     members = sets.filter("f1 is not null").join(reps.select("rid", "n", "f1", "f2").hint("merge"), ["n", "f1", "f2"]).select("rid", "doc_id")
     return found, members
 
