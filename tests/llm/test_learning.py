@@ -98,7 +98,7 @@ def dense(rows, labels, texts):
 
 def test_scores_are_those_of_dense_vectors(spark, docs, monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK", 4)
-    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", 2)
+    monkeypatch.setattr(toxicity, "OFTEN", 6)
     rnd = random.Random(12)
     rows = [(k, " ".join([f"own{k}x" + "abc"[k % 3]] + [f"v{rnd.randrange(300)}q" for _ in range(rnd.randrange(25, 80))] + ["vile"] * (k % 5 == 0) + ["z" * 200] * (k % 7 == 0))) for k in range(150)]
     labels = [(k, int(k % 5 == 0)) for k in range(150)]

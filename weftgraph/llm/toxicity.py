@@ -8,6 +8,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,6 @@ SAMPLE = 4096
 LEAST_G2 = 1e-6
 NEIGHBOURS = 15
 BLOCK = 64
-#: Blocks of greatest bounds that a search scores first.
-FIRST_BLOCKS = 4
 #: A term in one of so many examples, and no more than DENSE of them, has a weight for every
 #: place of every block, so that a batch of texts meets them in one matrix product.
 OFTEN, DENSE, BATCH = 32, 1024, 64
@@ -48,7 +48,7 @@ _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 def words(text: str | None) -> list[bytes]:
     out = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     if out and max(map(len, out)) >= LONG:
-        out = [w if len(w) < LONG else b"#" + hashlib.blake2b(w, digest_size=16).digest() for w in out]
+        out = [w if len(w) < LONG else b"#" + hashlib.blake2b(w, digest_size=16).hexdigest().encode() for w in out]
     return out
 
 
@@ -91,14 +91,18 @@ class Index:
     curve: tuple[float, float] = (1.0, 0.0)
     at: dict = field(default_factory=dict)  # the example of an id
     size: int = BLOCK
-    begin: int = FIRST_BLOCKS
+    times: np.ndarray | None = None  # how often each example has its terms
+    shares: dict = field(default_factory=dict)
+
+    def __reduce__(self):
+        """Travels as its words and the examples' counts, and is built again where it arrives."""
+        return _again, (b" ".join(self.terms), self.worth, self.labels, self.ids, self.own_first, self.own_term, self.times, self.shares, self.prior, self.curve, self.size)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The terms of a text and their weights, of length 1 in all."""
         times = Counter(words(text))
-        get = self.terms.get
-        rows = np.fromiter((get(w, -1) for w in times), np.int64, len(times))
-        n = np.fromiter(times.values(), np.int64, len(times))
+        rows = np.array(list(map(self.terms.get, times, repeat(-1))), np.int64)
+        n = np.array(list(times.values()), np.int64)
         rows, n = rows[rows >= 0], n[rows >= 0]
         if not len(rows):
             return rows, np.zeros(0)
@@ -114,10 +118,11 @@ class Index:
         return by @ self.filled
 
     def nearest(self, rows: np.ndarray, v: np.ndarray, k: int = NEIGHBOURS, without: int = -1, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of greatest cosine above 0, exactly, ties by example. A block's bound
-        is the most that frequent terms give an example there, and the greatest weights of the
-        others. Blocks of greatest bounds are scored first, then those whose bound reaches the
-        k-th cosine so far; what comes near it in single precision gets its exact cosine."""
+        """The k examples of greatest cosine above 0, exactly, ties by example. What frequent
+        terms give is known for every example, so the k-th of that is a floor. A block's bound is
+        the most that they give an example there, and the greatest weights of the other terms;
+        blocks below the floor are left out. In the rest, what comes near the k-th cosine in
+        single precision gets its exact one."""
         often = self.frequent([(rows, v)])[0] if often is None else often
         rare = self.column[rows] < 0
         some, each = rows[rare], v[rare]
@@ -125,36 +130,28 @@ class Index:
         entry, each = _ranges(self.first[some], n), np.repeat(each, n)
         block = self.block[entry]
         bounds = often.reshape(-1, self.size).max(1, initial=0) + np.bincount(block, each * self.top[entry], len(often) // self.size)
-        order = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds > 0)]
-        here, score = self._scores(entry, each, block, often, order[: self.begin], without)
-        order = order[self.begin :]
-        floor = np.partition(score, len(score) - k)[len(score) - k] - SLACK if len(score) >= k else 0.0
-        order = order[bounds[order] >= floor]
-        if len(order):
-            more, near = self._scores(entry, each, block, often, order, without)
-            here, score = np.append(here, more), np.append(score, near)
+        # One more than k, for an example that is left out itself.
+        floor = np.partition(often, len(often) - k - 1)[len(often) - k - 1] - SLACK if len(often) > k else 0.0
+        here, score = self._scores(entry, each, block, often, (bounds > 0) & (bounds >= floor), without)
         if len(score) > k:
             floor = np.partition(score, len(score) - k)[len(score) - k] - SLACK
             here = here[score >= floor]
         return _first(here, self._whole(rows, v, here), k)
 
-    def _scores(self, entry: np.ndarray, v: np.ndarray, block: np.ndarray, often: np.ndarray, of: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
+    def _scores(self, entry: np.ndarray, v: np.ndarray, block: np.ndarray, often: np.ndarray, chosen: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
         """The examples of some blocks with a cosine above 0, and about how great it is."""
-        chosen = np.zeros(len(often) // self.size, bool)
-        chosen[of] = True
-        mine = np.flatnonzero(chosen[block])
-        entry = entry[mine]
+        if not chosen.all():
+            mine = np.flatnonzero(chosen[block])
+            entry, v = entry[mine], v[mine]
         begin = self.start[entry]
         n = self.start[entry + 1] - begin
         post = _ranges(begin, n)
-        score = np.bincount(self.example[post], np.repeat(v[mine], n) * self.weight[post], len(often))
+        score = np.bincount(self.example[post], np.repeat(v, n) * self.weight[post], len(often))
         score = score + often
         if without >= 0:
             score[without] = 0
-        here = (np.flatnonzero(chosen)[:, None] * self.size + np.arange(self.size)).ravel()
-        score = score[here]
-        some = score > 0
-        return here[some], score[some]
+        here = np.flatnonzero((score > 0) & np.repeat(chosen, self.size))
+        return here, score[here]
 
     def _whole(self, rows: np.ndarray, v: np.ndarray, here: np.ndarray) -> np.ndarray:
         """The cosines of some examples, none of them without terms."""
@@ -182,30 +179,45 @@ class Index:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def build(terms: dict[bytes, int], worth: np.ndarray, examples: list[tuple], shares: dict[int, float], prior: float) -> Index:
+@lru_cache(1)
+def _numbers(terms: bytes) -> dict[bytes, int]:
+    return {w: k for k, w in enumerate(terms.split(b" "))} if terms else {}
+
+
+def _again(terms: bytes, worth, labels, ids, first, own, times, shares, prior, curve, size) -> Index:
+    numbers = _numbers(terms)
+    cuts = first.tolist()
+    examples = [(d, y, own[a:b].astype(np.int64), times[a:b]) for d, y, a, b in zip(ids, labels.tolist(), cuts, cuts[1:], strict=False)]
+    out = build(numbers, worth, examples, shares, prior, size)
+    out.curve = curve
+    return out
+
+
+def build(terms: dict[bytes, int], worth: np.ndarray, examples: list[tuple], shares: dict[int, float], prior: float, size: int | None = None) -> Index:
     """An index of examples (id, label, terms, times); shares: rows of each class for one of the sample."""
+    block_size = size or BLOCK
     own = []
     for doc_id, label, rows, times in examples:
         v = (1 + np.log(times)) * worth[rows]
-        own.append((rows, v / math.sqrt((v * v).sum()) if len(v) else v, label, doc_id))
+        own.append((rows, v / math.sqrt((v * v).sum()) if len(v) else v, label, doc_id, times))
     # Alike examples in one block make its bounds tight.
     own.sort(key=lambda x: (int(x[0][np.argmax(x[1])]) if len(x[0]) else len(terms), str(x[3])))
-    size = [len(x[0]) for x in own]
-    example = np.repeat(np.arange(len(own), dtype=np.int32), size)
+    long = [len(x[0]) for x in own]
+    example = np.repeat(np.arange(len(own), dtype=np.int32), long)
     own_term = term = np.concatenate([x[0] for x in own]) if own else np.zeros(0, np.int64)
     own_weight = weight = np.concatenate([x[1] for x in own]) if own else np.zeros(0)
-    blocks = -(-len(own) // BLOCK)
+    blocks = -(-len(own) // block_size)
     many = np.bincount(term, minlength=len(terms))
     often = np.argsort(-many, kind="stable")[: min(DENSE, np.count_nonzero(many * OFTEN >= max(1, len(own))))]
     column = np.full(len(terms), -1, np.int64)
     column[often] = np.arange(len(often))
-    filled = np.zeros((len(often), blocks * BLOCK), np.float32)
+    filled = np.zeros((len(often), blocks * block_size), np.float32)
     mine = column[term] >= 0
     filled[column[term[mine]], example[mine]] = weight[mine]
     order = np.flatnonzero(~mine)
     order = order[np.argsort(term[order], kind="stable")]
     term, example, weight = term[order], example[order], weight[order]
-    block = example // BLOCK
+    block = example // block_size
     new = np.ones(len(term), bool)
     new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
     start = np.flatnonzero(new)
@@ -213,8 +225,9 @@ def build(terms: dict[bytes, int], worth: np.ndarray, examples: list[tuple], sha
     top = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
     return Index(
         terms, worth, np.array([x[2] for x in own], np.int64), [x[3] for x in own], np.array([shares[x[2]] for x in own]), column, filled,
-        example, weight, first, block[start], top, np.append(start, len(term)), np.cumsum([0, *size]), own_term.astype(np.int32), own_weight,
-        prior, at={x[3]: e for e, x in enumerate(own)}, size=BLOCK, begin=FIRST_BLOCKS,
+        example, weight, first, block[start], top, np.append(start, len(term)), np.cumsum([0, *long]), own_term.astype(np.int32), own_weight,
+        prior, at={x[3]: e for e, x in enumerate(own)}, size=block_size,
+        times=np.concatenate([x[4] for x in own]).astype(np.int32) if own else np.zeros(0, np.int32), shares=shares,
     )
 
 
@@ -298,11 +311,12 @@ def _frequencies(schema, terms):
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = terms.value
-        counts = np.zeros(len(held), np.int64)
+        held = _numbers(terms.value)
+        counts = np.zeros(len(held) + 1, np.int64)  # the last one: of all other words
         for b in batches:
             for text in b.column(0).to_pylist():
-                counts[[held[w] for w in held.keys() & set(words(text))]] += 1
+                counts[list(map(held.get, set(words(text)), repeat(-1)))] += 1
+        counts = counts[:-1]
         parts = [(k // SLICE, counts[k : k + SLICE]) for k in range(0, len(counts), SLICE)]
         parts = [(k, c) for k, c in parts if c.any()]
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([c.astype("<i8").tobytes() for _, c in parts], pa.binary())], schema=names)
@@ -328,7 +342,7 @@ def _packed(schema, terms):
     names = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = terms.value
+        held = _numbers(terms.value)
         for b in batches:
             own = [sorted((held[w], n) for w, n in Counter(words(t)).items()) for t in b.column(2).to_pylist()]
             pack = [[np.array([x[k] for x in o], "<i4").tobytes() for o in own] for k in (0, 1)]
@@ -387,7 +401,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     best = _g2(counts, n.get(1, 0), n.get(0, 0)).select("word", F.round("g2", 9).alias("g2")).toArrow()
     best = best.sort_by([("g2", "descending"), ("word", "ascending")])
     terms = {w: k for k, w in enumerate(best["word"].to_pylist())}
-    shared = spark.sparkContext.broadcast(terms)
+    shared = spark.sparkContext.broadcast(b" ".join(terms))
     shape = _parse_datatype_string("slice int, counts binary")
     parts = rows.select("text").mapInArrow(_frequencies(shape, shared), shape).repartition("slice").mapInArrow(_sums(shape), shape)
     df = np.zeros(len(terms))
@@ -405,8 +419,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     # Platt's curve over leave-one-out votes, the sample weighted back to the rows it stands for.
     shape = _parse_datatype_string("e int, raw double")
     raws = np.zeros(len(examples))
-    for r in chosen.select("doc_id", "text").mapInArrow(_votes(shape, spark.sparkContext.broadcast(index)), shape).collect():
+    shared.unpersist()
+    shared = spark.sparkContext.broadcast(index)
+    for r in chosen.select("doc_id", "text").mapInArrow(_votes(shape, shared), shape).collect():
         raws[r["e"]] = r["raw"]
+    shared.unpersist()
     index.curve = _platt(raws, index.labels, index.cost)
     return index
 
