@@ -60,6 +60,9 @@ def test_exact_with_lying_fingerprints(docs):
     rnd = random.Random(2)
     rows = [(k, "".join(rnd.choice("ab") for _ in range(5))) for k in range(80)]
     assert exact(docs(rows), moduli=(3, 2)) == brute_exact(rows)
+    # Null ids, and several texts of one id, under equal fingerprints.
+    rows = [(None, "ab"), (None, "cd"), (1, "ef"), (1, "kl"), (1, "AB"), (2, "cd"), (None, "kl"), (None, "kl"), (3, "ba"), (3, "ba"), (None, None), (4, "")]
+    assert exact(docs(rows), moduli=(3, 2)) == brute_exact(rows)
 
 
 def test_chunk_hashes_combine():

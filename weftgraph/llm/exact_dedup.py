@@ -8,10 +8,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, materialize
+from .common import arrow_schema, materialize, row_key
 
 #: Primes below 2**31, so that the product of two residues fits a long, and their bases.
 MODULI = (2147483647, 2147483629)
@@ -47,7 +47,7 @@ def _lower(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() touches A-Z only
 
 
-FIRST = "row long, doc_id {id}, n_bytes long, h1 long, h2 long, text_sha256 string, chunk_no int, chunk binary"
+FIRST = "row binary, doc_id {id}, n_bytes long, h1 long, h2 long, text_sha256 string, chunk_no int, chunk binary"
 
 
 def _first(schema, huge: int, moduli):
@@ -93,22 +93,17 @@ def _hash_chunks(schema, moduli):
     return run
 
 
-def row_key(text: str = "text", id_col: str = "doc_id"):
-    """With the id, what tells rows apart that are not the same."""
-    return F.xxhash64(id_col, text).alias("row")
-
-
 def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int = HUGE, moduli=MODULI) -> DataFrame:
     """row, doc_id, n_bytes, h1, h2, text_sha256: one row per input row, written to the shared folder."""
     from pyspark.sql.types import _parse_datatype_string
 
-    rows = docs.select(row_key(text, id_col), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(row_key(text, id_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = _parse_datatype_string(FIRST.format(id=kind))
     first = materialize(rows.mapInArrow(_first(schema, huge, moduli), schema), "fingerprints")
     small = first.filter("chunk is null").select("row", "doc_id", "n_bytes", "h1", "h2", "text_sha256")
     # A huge document's chunks are hashed wherever they are dealt to, and folded in order by shifted sums.
-    mid = _parse_datatype_string(f"row long, doc_id {kind}, n_bytes long, text_sha256 string, chunk_no int, h1 long, h2 long, p1 long, p2 long")
+    mid = _parse_datatype_string(f"row binary, doc_id {kind}, n_bytes long, text_sha256 string, chunk_no int, h1 long, h2 long, p1 long, p2 long")
     chunks = first.filter("chunk is not null")
     hashed = chunks.repartition("row", "chunk_no").mapInArrow(_hash_chunks(mid, moduli), mid)
     # A repeated row brings its chunks again: each number once, and the copies counted.
@@ -132,12 +127,12 @@ def _chunks(schema):
         for b in batches:
             out: list[tuple] = []
             held = 0
-            for doc_id, rep, salts, text in zip(*(b.column(i) for i in range(4)), strict=True):
-                doc_id, rep, salts, data = doc_id.as_py(), rep.as_py(), salts.as_py(), _lower(text.as_py())
-                own = hash((doc_id, 7)) % salts
-                for s in range(salts) if doc_id == rep else (own,):
+            for row, rep, salts, text in zip(*(b.column(i) for i in range(4)), strict=True):
+                row, rep, salts, data = row.as_py(), rep.as_py(), salts.as_py(), _lower(text.as_py())
+                own = int.from_bytes(row[:7], "big") % salts
+                for s in range(salts) if row == rep else (own,):
                     for k in range(0, max(1, len(data)), CHUNK):
-                        out.append((rep, s, k // CHUNK, doc_id, data[k : k + CHUNK]))
+                        out.append((rep, s, k // CHUNK, row, data[k : k + CHUNK]))
                         held += CHUNK if len(data) > CHUNK else len(data)
                     if held > 1 << 24:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), names, strict=True)], schema=names)
@@ -149,12 +144,14 @@ def _chunks(schema):
 
 
 def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int = HUGE, moduli=MODULI) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, row.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; row (a key of id
+    and text) and first (whether it is the group's first row, with null ids too).
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. Of
     equal texts the row with the largest doc_id stays (null ids lose to all others);
-    of rows with that id too, exactly one. Other columns are ignored; an empty table
-    gives no rows.
+    of rows with that id too, exactly one; a group of null ids alone keeps none here. Texts
+    of any length are compared whole, in chunks dealt over tasks. Other columns are ignored;
+    an empty table gives no rows.
 
     Length and two residues make a fingerprint. Every row of a group of equal
     fingerprints is then compared with the group's representative, chunk by chunk;
@@ -163,60 +160,52 @@ def dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", huge: int
     """
     from pyspark.sql.types import _parse_datatype_string
 
-    fp = materialize(fingerprints(docs, text, id_col, huge, moduli), "prints").withColumn("uid", F.monotonically_increasing_id())
+    numbered = fingerprints(docs, text, id_col, huge, moduli).withColumn("uid", F.monotonically_increasing_id())
+    fp = materialize(numbered, "prints")
     key = ["n_bytes", "h1", "h2"]
-    kind = fp.schema["doc_id"].dataType.simpleString()
-    ids = fp.select(*key, "doc_id").distinct().filter("doc_id is not null")
-    bodies = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    moved = None  # (doc_id, n_bytes, h1, h2, round): rows whose fingerprint lies
-    todo, turn = ids, 0
+    bodies = docs.select(row_key(text, id_col).alias("row"), F.col(text).alias("text"))
+    moved = None  # (row, turn): rows whose fingerprint lies
+    todo, turn = fp.select(*key, "row").distinct(), 0
+    shape = _parse_datatype_string("rep binary, salt int, chunk_no int, row binary, chunk binary")
     while True:
-        groups = todo.groupBy(*key).agg(F.max("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        members = todo.join(groups, key).select("doc_id", *key, "rep", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts"))
-        shape = _parse_datatype_string(f"rep {kind}, salt int, chunk_no int, doc_id {kind}, chunk binary")
-        # A doc_id may stand on rows of several texts: only the row with the member's fingerprint counts.
-        texts = bodies.join(members, "doc_id").filter(F.octet_length(F.coalesce("text", F.lit(""))) == F.col("n_bytes")).select("doc_id", "rep", "salts", "text")
-        chunks = texts.mapInArrow(_chunks(shape), shape)
-        reps = chunks.filter("doc_id = rep").select("rep", "salt", "chunk_no", F.col("chunk").alias("rep_chunk")).dropDuplicates(["rep", "salt", "chunk_no", "rep_chunk"])
-        pairs = chunks.filter("doc_id != rep").join(reps, ["rep", "salt", "chunk_no"])
-        bad = pairs.groupBy("doc_id", "rep", "chunk_no").agg(F.max(F.col("chunk") == F.col("rep_chunk")).alias("same")).filter("not same").select("doc_id", "rep").distinct()
-        bad = materialize(bad.join(members, ["doc_id", "rep"]).select(*key, "doc_id"), "unequal")
+        groups = todo.groupBy(*key).agg(F.max("row").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        members = todo.join(groups, key).select("row", *key, "rep", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts"))
+        # Rows that are the same in id and text are compared once each; all agree.
+        chunks = bodies.join(members, "row").select("row", "rep", "salts", "text").mapInArrow(_chunks(shape), shape)
+        reps = chunks.filter("row = rep").select("rep", "salt", "chunk_no", F.col("chunk").alias("rep_chunk")).dropDuplicates(["rep", "salt", "chunk_no"])
+        pairs = chunks.filter("row != rep").join(reps, ["rep", "salt", "chunk_no"])
+        bad = pairs.filter("chunk != rep_chunk").select("row").distinct()
+        bad = materialize(bad.join(members, "row").select(*key, "row"), "unequal")
         if bad.isEmpty():
             break
         turn += 1
-        mark = bad.withColumn("turn", F.lit(turn))
+        mark = bad.select("row", F.lit(turn).alias("turn"))
         moved = mark if moved is None else moved.unionByName(mark)
         todo = bad
     if moved is None:
         fp = fp.withColumn("turn", F.lit(0))
     else:
-        moved = moved.groupBy("doc_id", *key).agg(F.max("turn").alias("turn"))
-        fp = fp.join(moved, ["doc_id", *key], "left").withColumn("turn", F.coalesce("turn", F.lit(0)))
-    groups = fp.groupBy(*key, "turn").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    first = F.row_number().over(Window.partitionBy("doc_id", *key, "turn").orderBy("uid")) == 1
-    lead = fp.withColumn("first", F.when(F.col("doc_id").isNull(), F.lit(False)).otherwise(first))
-    return lead.join(groups, [*key, "turn"]).select(
-        "doc_id", "keep_id", "group_size",
-        (F.col("first") & (F.col("doc_id") == F.col("keep_id"))).alias("kept"),
-        "text_sha256",
-        "row",
+        moved = moved.groupBy("row").agg(F.max("turn").alias("turn"))
+        fp = fp.join(moved, "row", "left").withColumn("turn", F.coalesce("turn", F.lit(0)))
+    # Nulls are the least of all; of one id, the first row.
+    groups = fp.groupBy(*key, "turn").agg(F.max(F.struct("doc_id", (-F.col("uid")).alias("uid"))).alias("stays"), F.count(F.lit(1)).alias("group_size"))
+    first = F.col("uid") == -F.col("stays.uid")
+    return fp.join(groups, [*key, "turn"]).select(
+        "doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size",
+        (first & F.col("doc_id").isNotNull()).alias("kept"),
+        "text_sha256", "row", first.alias("first"),
     )
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows that stay, with all their columns. Of rows whose ids are all null none is
-    the largest; one of them stays."""
-    made = dedup(docs, text, id_col)
-    stays = materialize(made.filter(F.col("kept") | F.col("keep_id").isNull()).select("doc_id", "row").distinct(), "stays")
-    return one_of_each(docs.withColumn("__weft_row", row_key(text, id_col)), stays, id_col).drop("__weft_row")
-
-
-def one_of_each(docs: DataFrame, stays: DataFrame, id_col: str) -> DataFrame:
-    """One of the rows (with their key in __weft_row) of each (doc_id, row) that stays."""
-    held = stays.select(F.col("row").alias("__weft_stay"), F.col("doc_id").alias("__weft_id"))
-    alike = Window.partitionBy("__weft_row", id_col).orderBy(F.lit(1))
-    kept = docs.join(held, (F.col("__weft_row") == F.col("__weft_stay")) & F.col(id_col).eqNullSafe(F.col("__weft_id")), "left_semi")
-    return kept.withColumn("__weft_n", F.row_number().over(alike)).filter("__weft_n = 1").drop("__weft_n")
+    the largest; one of them stays. Of repeated rows any one."""
+    stays = dedup(docs, text, id_col).filter("first").select(F.col("row").alias("__weft_row"), (F.col("group_size") == 1).alias("__weft_plain"))
+    kept = docs.withColumn("__weft_row", row_key(text, id_col)).join(materialize(stays, "stays"), "__weft_row")
+    plain = kept.filter("__weft_plain").select(*docs.columns)
+    # Copies are folded where they lie: one row of each task travels.
+    one = kept.filter("not __weft_plain").groupBy("__weft_row").agg(F.first(F.struct(*(F.col(c) for c in docs.columns))).alias("one")).select("one.*")
+    return plain.unionByName(one)
 
 
 SQL = """

@@ -64,7 +64,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.dedup(documents(spark, sf_dir)).drop("row")
+    return exact_dedup.dedup(documents(spark, sf_dir)).drop("row", "first")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
