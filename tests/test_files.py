@@ -155,3 +155,43 @@ def test_stream_gives_what_a_batch_gives(spark, sf, tmp_path):
     out = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("day", "actor_id", "repo_id", "contribution").collect()}
     assert out <= {tuple(r) for r in whole.select("day", "actor_id", "repo_id", "contribution").collect()}
     assert {r[0] for r in out} >= {r.day for r in whole.filter(F.col("day") < F.lit(done) - F.expr("interval 3 days")).collect()}
+
+
+def test_scans_only_read():
+    from weftgraph.sources import readers
+
+    assert readers.read_only(" select 'drop; x' as a -- insert\n from t; ") .startswith("select")
+    for bad in ("drop table t", "select 1; select 2", "with x as (select 1) insert into t select * from x", "select * into outfile 'x' from t", ""):
+        with pytest.raises(ValueError):
+            readers.read_only(bad)
+    with pytest.raises(ValueError):
+        readers.table_scan(None, "jdbc:x", "select 1", 0, 5)
+
+
+def test_built_or_cached(tmp_path):
+    import json
+
+    from weftgraph.sources import sinks
+
+    path = tmp_path / "manifest.json"
+
+    def build(revision):
+        return lambda: path.write_text(json.dumps({"inputs": {"revision": revision, "n": 5}}))
+
+    def down():
+        raise OSError("no answer")
+
+    assert sinks.built_or_cached(str(path), {"revision": 1, "n": 5}, build(1)) == "built"
+    assert sinks.built_or_cached(str(path), {"revision": 1, "n": 5}, down) == "cached"
+    assert sinks.built_or_cached(str(path), {"revision": 2, "n": 5}, down) == "stale"
+    with pytest.raises(OSError):
+        sinks.built_or_cached(str(path), {"revision": 2, "n": 6}, down)
+    assert sinks.built_or_cached(str(path), {"revision": 2, "n": 5}, build(2)) == "built"
+
+
+def test_documents_are_bounded(spark):
+    from weftgraph.sources import sinks
+
+    assert len(sinks.bounded_rows(spark.range(5), 5)) == 5
+    with pytest.raises(ValueError):
+        sinks.bounded_rows(spark.range(6), 5)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from weftgraph.functions import formulas
@@ -58,7 +61,7 @@ def test_components_of_all_lines(spark, sf, monkeypatch):
     monkeypatch.setattr(components, "SMALL", 0)
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").join(spark.read.parquet(f"{sf}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey"))
     want = roots({(r.o_custkey, r.l_suppkey + 1_000_000_000) for r in lines.select("o_custkey", "l_suppkey").collect()})
-    got = catalog.QUERIES["gr6_components_all_lines"](spark, sf).collect()
+    got = catalog.QUERIES["gr6_components"](spark, sf).collect()
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
     size = {c: list(want.values()).count(c) for c in set(want.values())}
     assert all(r.size == size[r.component] for r in got)
@@ -85,6 +88,164 @@ def test_cores(spark):
     assert got == {0: 3, 1: 3, 2: 3, 3: 3, 9: 1}
 
 
+@pytest.mark.parametrize(("seed", "small"), [(1, 0), (2, 0), (3, 8000)])
+def test_cores_are_those_of_peeling(spark, seed, small, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL", small)
+    rows = [*some_edges(seed, 30, 110), (100, 101, 1.0, 2, 1.0), (101, 102, 1.0, 2, 1.0), (102, 103, 1.0, 2, 1.0)]
+    near = defaultdict(set)
+    for s, t, *_ in rows:
+        near[s].add(t)
+        near[t].add(s)
+    want, k = {}, 0
+    while near:
+        low = [v for v, n in near.items() if len(n) <= k]
+        if not low:
+            k += 1
+        for v in low:
+            want[v] = k
+            for u in near.pop(v):
+                near[u].discard(v)
+    e = spark.createDataFrame([*rows, (rows[0][1], rows[0][0], *rows[0][2:]), (5, 5, 1.0, 2, 1.0)], SCHEMA)
+    assert {r.node: r.core for r in graph.core_numbers(e).collect()} == want
+
+
+def several_parts(rnd: random.Random):
+    """Edges of a few dense groups, loosely tied, in several components, with small fragments beside."""
+    rows, at = {}, 0
+    for _ in range(rnd.randint(2, 4)):
+        first = at
+        for _ in range(rnd.randint(1, 3)):
+            n = rnd.randint(2, 16)
+            for a in range(n):
+                for b in range(a + 1, n):
+                    if rnd.random() < 0.45 or b == a + 1:
+                        rows[at + a, at + b] = round(rnd.uniform(0.1, 3), 3)
+            if at > first:
+                rows[rnd.randrange(first, at), at] = round(rnd.uniform(0.01, 0.6), 3)
+            at += n
+    return [(s, t, w, 2, round(w / 2, 3)) for (s, t), w in rows.items()]
+
+
+def unit(text: str) -> float:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big") / 2**64
+
+
+def plain_communities(rows, prefix, resolution=1.15, sweeps=32, least=12):
+    """One walk over the whole graph, as the survey describes it."""
+    bind = lambda w, c: max(math.log1p(w) + 0.55 * math.log1p(c), 1e-12)
+    ties = defaultdict(list)
+    for s, t, w, _, c in rows:
+        ties[s].append((t, bind(w, c)))
+        ties[t].append((s, bind(w, c)))
+    heavy = {v: sum(a for _, a in n) for v, n in ties.items()}
+    whole = sum(heavy.values())
+    label = {v: v for v in ties}
+    walk = sorted(ties, key=lambda v: (-heavy[v], unit(f"{prefix}{v}"), f"{prefix}{v}"))
+    for _ in range(sweeps):
+        before = dict(label)
+        for v in walk:
+            loads, pulls = Counter(), Counter()
+            for u, c in label.items():
+                if u != v:
+                    loads[c] += heavy[u]
+            for u, a in ties[v]:
+                pulls[label[u]] += a
+            gains = {c: pulls[c] - resolution * heavy[v] * loads[c] / whole for c in pulls}
+            top = max([0.0, *gains.values()])
+            close = [c for c in sorted(gains) if top - gains[c] <= 1e-10]
+            if top > 1e-12:
+                label[v] = label[v] if label[v] in close else close[0]
+        if label == before:
+            break
+    for _ in range(5):
+        sizes = Counter(label.values())
+        before = dict(label)
+        for v in sorted(ties, key=lambda v: f"{prefix}{v}"):
+            if sizes[label[v]] < least:
+                pulls = Counter()
+                for u, a in ties[v]:
+                    if sizes[label[u]] >= least:
+                        pulls[label[u]] += a
+                if pulls:
+                    label[v] = min(c for c in pulls if max(pulls.values()) - pulls[c] <= 1e-10)
+        if label == before:
+            break
+    return label
+
+
+def test_communities_on_several_parts(spark):
+    """60 graphs, each in an id range of its own, against a walk over each as a whole graph."""
+    for seed in range(60):
+        rows = several_parts(random.Random(seed))
+        bound = pd.DataFrame([(s, t, max(math.log1p(w) + 0.55 * math.log1p(c), 1e-12)) for s, t, w, _, c in rows], columns=["s", "t", "a"])
+        own = roots(rows)
+        total, got = 2 * bound["a"].sum(), {}
+        for part in set(own.values()):
+            g = graph._Communities(bound[bound["s"].map(own) == part].sort_values(["s", "t"]), 1.15, total, "P:")
+            for _ in range(32):
+                if not g.sweep():
+                    break
+            g.absorb(12, 5)
+            got |= g.label
+        assert got == plain_communities(rows, "P:"), seed
+    for seed in (3, 8):
+        rows = several_parts(random.Random(seed))
+        at = {r.node: r.label for r in graph.communities(spark.createDataFrame(rows, SCHEMA), prefix="P:").collect()}
+        assert at == plain_communities(rows, "P:")
+
+
+def plain_macros(size, links, n_nodes):
+    """The growth of macros with every pair weighed anew in each step."""
+    near = defaultdict(dict)
+    for (a, b), x in links.items():
+        near[a][b] = near[b][a] = x
+    own = roots([(a, b) for a, b in links])
+    parts = defaultdict(list)
+    for c in size:
+        parts[own.get(c, c)].append(c)
+    main, *others = sorted(parts.values(), key=lambda p: (-sum(size[c] for c in p), min(p)))
+    k = min(graph.macro_count(n_nodes), len(size))
+    m = min(k, len(main))
+    at = {c: i for i, c in enumerate(sorted(main, key=lambda c: (-size[c], c))[:m])}
+    ideal = sum(size[c] for c in main) / m
+    while len(at) < len(main):
+        load = Counter()
+        for c, i in at.items():
+            load[i] += size[c]
+        best = []
+        for c in main:
+            if c not in at:
+                pulls = Counter()
+                for d, x in near[c].items():
+                    if d in at:
+                        pulls[at[d]] += x
+                best += [(x / (1 + load[i] / ideal) ** 1.45, -c, -i) for i, x in pulls.items()]
+        if best:
+            _, c, i = max(best)
+            at[-c] = -i
+        else:
+            at[min((c for c in main if c not in at), key=lambda c: (-size[c], c))] = min(range(m), key=lambda i: (load[i], i))
+    slots = list(range(m, k)) or list(range(m))
+    for part in others:
+        i = slots[min(len(slots) - 1, int(unit(f"satellite-macro:{min(part)}") * len(slots)))]
+        at |= {c: i for c in part}
+    return at
+
+
+def test_macros_grow_by_affinity():
+    for seed in range(60):
+        rnd = random.Random(seed)
+        n = rnd.randint(1, 40)
+        size = {c: rnd.randint(1, 60) for c in range(n)}
+        links = {}
+        for _ in range(rnd.randint(0, 70)):
+            a, b = rnd.randrange(n), rnd.randrange(n)
+            if a < b and (a < n * 0.7) == (b < n * 0.7):
+                links[a, b] = rnd.uniform(0.1, 5)
+        got = graph.macros(pd.DataFrame({"community": list(size), "size": list(size.values())}), pd.DataFrame([(a, b, x) for (a, b), x in links.items()], columns=["a", "b", "affinity"]), 100)
+        assert got == plain_macros(size, links, 100), seed
+
+
 def two_cliques():
     rows = [(a + o, b + o, 5.0, 3, 5.0) for o in (0, 10) for a in range(5) for b in range(a + 1, 5)]
     return [*rows, (0, 10, 0.1, 2, 0.1)]
@@ -104,16 +265,10 @@ def test_communities(spark):
 def test_fragments_join_their_neighbour(spark):
     e = spark.createDataFrame([*two_cliques(), (20, 21, 9.0, 2, 9.0), (4, 20, 0.2, 2, 0.2)], SCHEMA)
     at = {r.node: r.label for r in graph.communities(e, least=4).collect()}
-    assert at[20] == at[21] == at[4]
+    assert at[20] == at[4] and at[21] == at[20]  # one by one: 20 has a settled neighbour first, then 21 has
 
 
-def test_macros():
-    import pandas as pd
-
-    sizes = pd.DataFrame({"community": range(12), "size": [50, 40, 30, 20, 20, 20, 20, 20, 20, 20, 3, 2]})
-    near = pd.DataFrame({"a": [1], "b": [10], "affinity": [2.0]})
-    got = graph.macros(sizes, near, 100)
-    assert len(set(got.values())) == 10 and got[10] == got[1] and 0 <= got[11] < 10
+def test_discs():
     discs = layout.place_macros(pd.DataFrame({"macro": [0, 1, 2], "size": [9, 5, 1]}), pd.DataFrame({"a": [0], "b": [1], "affinity": [1.0]}))
     assert discs["radius"].is_monotonic_decreasing
 
@@ -125,7 +280,8 @@ def test_layout(spark):
     m = layout.metrics(p, spark.createDataFrame([(k, k + 1) for k in range(50)], "s long, t long")).first()
     assert m.main_nodes == 200 and 0 < m.polar_coverage <= 1 and 0 < m.angular_entropy <= 1 and m.radius_max <= 1.42
     at = layout.thresholds(layout.density(p))
-    lines = layout.contours(layout.density(p), at)
+    lines = layout.contours(layout.density(p), at, layout.frame(p))
+    assert all(abs(v) < 1.3 for r in lines.collect() for v in (r.x1, r.y1, r.x2, r.y2))
     assert [r.level for r in at.orderBy("level").collect()] == [0, 1, 2] and lines.count() > 10
     discs = spark.createDataFrame([(0, 0.0, 0.0, 1.0), (1, 5.0, 0.0, 1.0)], "macro int, x double, y double, radius double")
     placed = layout.place_nodes(p.select("node", F.col("community").alias("macro"), "rank"), discs).collect()
@@ -144,6 +300,15 @@ def test_taxonomy_weights(spark):
     assert c[2].primary == "A" and (c[4].is_signal, c[4].primary, c[4].confidence) == (False, "Non-AI", 0.58)
 
 
+def test_domain_class_reads_both_lexicons(spark):
+    docs = spark.createDataFrame([(1, ["rust"], "an ai agent", "Rust"), (2, ["sql store"], "keeps rows", "Go"), (3, None, None, "Go"), (4, ["web"], "web web-page", None)], "id long, topics array<string>, description string, lang string")
+    signals, domains = taxonomy.lexicon(spark, {"Agents & RAG": ["ai agent"]}), taxonomy.lexicon(spark, {"Database": ["sql"], "Web": ["web", "web page"]})
+    got = {r.id: (r.primary, r.tags, r.source) for r in taxonomy.classify_domain(docs, signals, domains, {"Systems": ["Go"]}, "Tools").collect()}
+    name = "tech0-domain-lexicon-v1"
+    assert got == {1: ("Agentic AI", ["ai agent"], f"{name}:description"), 2: ("Database", ["sql"], f"{name}:topics"), 3: ("Systems", ["Go"], f"{name}:primary_language-fallback"), 4: ("Web", ["web", "web page"], f"{name}:description+topics")}
+    assert taxonomy.classify_signal(docs, taxonomy.lexicon(spark, {})).filter("is_signal").count() == 0
+
+
 def test_labels(spark):
     r = spark.range(1).select(taxonomy.canonical_label(F.lit("cloud  native"), ["Cloud Native"], {}, []).alias("a"), taxonomy.canonical_label(F.lit("db"), [], {"db": "Database"}, []).alias("b"), taxonomy.canonical_label(F.lit("my web thing"), [], {}, [("web", "Web")]).alias("c"), taxonomy.canonical_label(F.lit(" Odd "), [], {}, []).alias("d")).first()
     assert tuple(r) == ("Cloud Native", "Database", "Web", "Odd")
@@ -177,3 +342,6 @@ def test_explore(spark):
         tiers[r.tier] += 1
     assert tiers == {"landmark": 3, "core": 27, "star": 270}
     assert explore.annotations([(1, 1.0, 0.0, 9), (2, 1.0, 0.1, 8), (3, 0.0, 1.0, 7)]) == [1, 3]
+    # Far ones come before larger ones near the middle; exactly at the limit is too near.
+    assert explore.annotations([(1, 0.1, 0.0, 10), (2, 0.0, 2.0, 7)]) == [2, 1]
+    assert explore.annotations([(1, 1.0, 0.0, 9), (2, math.cos(0.5), math.sin(0.5), 8)], apart=math.atan2(math.sin(0.5), math.cos(0.5))) == [1]

@@ -45,9 +45,10 @@ def test_projection(spark):
     rows += [(1, 1, 202601, 2.0)]  # a duplicate: the larger value stays
     c = contributions(spark, rows)
     top = spark.createDataFrame([(r,) for r in (1, 2, 3, 4)], "repo_id long")
+    c = pj.monthly_contributions(c, P)
     degrees = pj.actor_degrees(c, P)
     assert {r.actor_id: r.degree for r in degrees.collect()} == {1: 3, 2: 3}
-    pairs = pj.pair_rows(pj.actor_repos(c, degrees, top, P), degrees)
+    pairs = pj.pair_rows(pj.actor_repos(c, degrees, top), degrees)
     assert math.isclose(pairs.agg(F.sum("actor_weight")).first()[0], 2.0)
     edges = {(r.source, r.target): (r.weight, r.shared_contributors, r.collaboration_strength) for r in pj.edges(pairs, 2).collect()}
     assert edges == {k: (0.66666667, 2, 2.66666667) for k in ((1, 2), (1, 3), (2, 3))}
@@ -69,12 +70,54 @@ def test_top_repos_and_forks(spark):
     latest = pj.latest_info(info, "GitHub")
     top = pj.top_repos(pj.yearly_scores(monthly), latest, P)
     assert [(r.repo_id, r.openrank_sum) for r in top.collect()] == [(1, 7.0), (2, 6.0)]
-    stats = pj.contribution_stats(contributions(spark, [(1, 2, 202601, 1.0)]), top, P)
+    stats = pj.contribution_stats(pj.monthly_contributions(contributions(spark, [(1, 2, 202601, 1.0)]), P), top)
     got = {r.repo_id: r for r in pj.nodes(top, stats, latest, "GitHub").collect()}
     assert got[1].metadata_status == "missing" and got[1].contributors == 0 and got[1].primary_language == "Unknown" and got[1].topics == ""
     assert (got[2].metadata_status, got[2].description, got[2].contributors, got[2].url) == ("y", "l1 l2", 1, "https://github.com/n2")
 
 
+def test_months_reach_the_scan(spark, sf):
+    from weftgraph.plans import catalog
+
+    steps = catalog.Steps(spark, sf)
+    plan = steps.rows.transform(pj.contributions, catalog.P)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    assert steps.kept.count() and steps.activity is steps.activity
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100])
+def test_quantiles(spark, n):
+    import random
+
+    from weftgraph.plans.ranking import quantiles
+
+    values = [random.Random(n).randrange(20) / 2 for _ in range(n)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    shares = {"a": 0.5, "b": 0.9, "c": 0.99, "d": 0.0, "e": 1.0}
+    row = df.agg(*(F.expr(f"percentile_disc({q}) within group (order by v)").alias(k) for k, q in shares.items())).first()
+    assert quantiles(df, "v", shares).first() == row
+    row = df.agg(*(F.percentile("v", F.lit(q)).alias(k) for k, q in shares.items())).first()
+    assert list(quantiles(df, "v", shares, True).first()) == pytest.approx(list(row))
+
+
+def test_no_quantiles_of_nothing(spark):
+    from weftgraph.plans.ranking import quantiles
+
+    assert quantiles(spark.createDataFrame([], "v double"), "v", {"a": 0.5}).first().a is None
+
+
+def test_scope_deletes_tables(spark):
+    from pathlib import Path
+
+    from weftgraph.plans import tables
+
+    with tables.scope(spark):
+        there = tables.materialize(spark.range(3), "gone")
+        place = Path(there.inputFiles()[0].removeprefix("file://")).parent
+        assert there.count() == 3 and place.exists()
+    assert not place.exists()
+
+
 def test_guard(spark):
     assert pj.guard_rows(spark.range(5), 5).count() == 5
     with pytest.raises(ValueError):

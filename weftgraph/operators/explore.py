@@ -7,8 +7,12 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.ranking import global_rank
 from .graph import STRENGTH_FIRST, ends, ordered
 
+# Weights of a community's size and of its distance from the middle, when names are placed.
+NEAR, FAR = 0.78, 0.65
+
 
 def search(nodes: DataFrame, text: str, fields: list[str], most: int = 7) -> DataFrame:
     """Nodes whose fields hold the text (2 characters at least), names that begin with it first, then by rank."""
@@ -68,19 +72,11 @@ def nearest(points: DataFrame, x: float, y: float, within: float) -> DataFrame:
 
 def tiers(nodes: DataFrame, score: str = "score") -> DataFrame:
     """landmark: the first 1 in 100 nodes by score; core: the first 1 in 10; star: the rest.
-    Cuts are exact quantile ranks, found without one task that sorts all nodes."""
-    n = nodes.count()
-    marks = {}
-    for name, share in (("landmark", 0.01), ("core", 0.10)):
-        k = max(1, math.ceil(n * share))
-        edge = nodes.orderBy(F.desc(score), "node").limit(k).agg(F.max_by(F.struct(score, "node"), F.struct((-F.col(score)).alias("s"), "node")).alias("x")).select("x.*").first()
-        marks[name] = edge
-    out = F.lit("star")
-    for name in ("core", "landmark"):
-        e = marks[name]
-        if e is not None and e[0] is not None:
-            out = F.when((F.col(score) > e[0]) | ((F.col(score) == e[0]) & (F.col("node") <= e[1])), name).otherwise(out)
-    return nodes.withColumn("tier", out)
+    Cuts are exact ranks, found without one task that sorts all nodes."""
+    placed = global_rank(nodes, [F.desc(score), F.asc("node")], "__place")
+    n = placed.count()
+    first, tenth = (max(1, math.ceil(n * share)) for share in (0.01, 0.10))
+    return placed.withColumn("tier", F.when(F.col("__place") < first, "landmark").when(F.col("__place") < tenth, "core").otherwise("star")).drop("__place")
 
 
 def dominant(areas: DataFrame) -> DataFrame:
@@ -90,11 +86,12 @@ def dominant(areas: DataFrame) -> DataFrame:
 
 
 def annotations(centres: list[tuple[int, float, float, int]], most: int = 16, apart: float = 0.2) -> list[int]:
-    """Communities to annotate, largest first, none nearer than ``apart`` radians to one chosen."""
+    """Communities (id, x, y, size) to annotate: by size times a weight that grows with the distance
+    from the middle, each more than ``apart`` radians from those chosen before."""
     out: list[tuple[int, float]] = []
-    for c, x, y, _ in sorted(centres, key=lambda r: (-r[3], r[0])):
+    for c, x, y, _ in sorted(centres, key=lambda r: (-r[3] * (NEAR + FAR * math.hypot(r[1], r[2])), r[0])):
         a = math.atan2(y, x)
-        if all(abs((a - b + math.pi) % (2 * math.pi) - math.pi) >= apart for _, b in out):
+        if all(abs((a - b + math.pi) % (2 * math.pi) - math.pi) > apart for _, b in out):
             out.append((c, a))
         if len(out) == most:
             break

@@ -361,6 +361,13 @@ def macros(sizes: pd.DataFrame, near: pd.DataFrame, n_nodes: int) -> dict[int, i
     return out
 
 
+def micro_counts(labels: DataFrame, macro: DataFrame) -> DataFrame:
+    """(macro, members, micros): nodes and distinct micro communities of each macro community;
+    ``labels`` have node, community, ``macro`` has community, macro."""
+    sizes = labels.groupBy("community").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(macro, "community").groupBy("macro").agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("micros"))
+
+
 def split_edges(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Edges with both communities and whether they lie inside one."""
     x, y = labels.select(F.col("node").alias("s"), F.col("community").alias("c_s")), labels.select(F.col("node").alias("t"), F.col("community").alias("c_t"))

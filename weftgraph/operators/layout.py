@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ranking import global_rank
+from ..plans.ranking import global_rank, quantiles
 from ..plans.tables import materialize
 
 GRID = 144
@@ -68,7 +68,8 @@ def metrics(points: DataFrame, backbone: DataFrame) -> DataFrame:
     """One row of layout metrics. ``points``: node, x, y, community, rank of the main component;
     ``backbone``: s, t."""
     p = points.withColumn("r", F.hypot("x", "y"))
-    q = p.agg(F.percentile("r", F.lit(0.5)).alias("p50"), F.percentile("r", F.lit(0.95)).alias("p95"), F.greatest(F.percentile("r", F.lit(0.99)), F.lit(1e-9)).alias("p99"), F.max("r").alias("top"), F.count(F.lit(1)).alias("n"), F.corr(F.log1p("rank"), "r").alias("corr"))
+    q = p.agg(F.max("r").alias("top"), F.count(F.lit(1)).alias("n"), F.corr(F.log1p("rank"), "r").alias("corr"))
+    q = q.join(quantiles(p, "r", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, True).withColumn("p99", F.greatest("p99", F.lit(1e-9))))
     turn = (F.atan2("y", "x") + math.pi) / (2 * math.pi)
     rad = F.least(F.lit(0.999999), F.col("r") / F.col("p99"))
     bins = p.join(q.select("p99")).select(F.least(F.lit(7), F.floor(rad * rad * 8)).alias("a"), F.least(F.lit(23), F.floor(turn * 24)).alias("b")).distinct().agg((F.count(F.lit(1)) / 192).alias("coverage"))
@@ -76,7 +77,8 @@ def metrics(points: DataFrame, backbone: DataFrame) -> DataFrame:
     e = backbone.join(x, "s").join(y, "t").select((F.col("x2") - F.col("x1")).alias("ex"), (F.col("y2") - F.col("y1")).alias("ey"), ((F.col("x1") + F.col("x2")) / 2).alias("mx"), ((F.col("y1") + F.col("y2")) / 2).alias("my"))
     e = e.withColumn("len", F.hypot("ex", "ey")).withColumn("mid", F.hypot("mx", "my"))
     along = F.when((F.col("len") > 1e-9) & (F.col("mid") > 0.08), F.abs(F.col("ex") * F.col("mx") + F.col("ey") * F.col("my")) / (F.col("len") * F.col("mid")))
-    line = e.agg(F.median("len").alias("length"), F.coalesce(F.count_if(along >= 0.78) / F.nullif(F.count(along), F.lit(0)), F.lit(0.0)).alias("radial"))
+    line = e.agg(F.coalesce(F.count_if(along >= 0.78) / F.nullif(F.count(along), F.lit(0)), F.lit(0.0)).alias("radial"))
+    line = line.join(quantiles(e, "len", {"length": 0.5}, True))
     sector = p.groupBy("community", F.least(F.lit(15), F.floor(turn * 16)).alias("sector")).agg(F.count(F.lit(1)).alias("c"), F.sum("x").alias("x"), F.sum("y").alias("y"))
     size = F.sum("c").over(Window.partitionBy("community"))
     sector = sector.withColumn("n", size).filter("n >= 12")
@@ -134,8 +136,9 @@ def thresholds(field: DataFrame) -> DataFrame:
     return out
 
 
-def contours(field: DataFrame, at: DataFrame) -> DataFrame:
-    """(level, x1, y1, x2, y2) in grid units: segments by marching triangles, two to a cell."""
+def contours(field: DataFrame, at: DataFrame, grid: DataFrame) -> DataFrame:
+    """(level, x1, y1, x2, y2) in the points' coordinates: segments by marching triangles, two to
+    a cell. ``grid`` is the frame that the field was made on."""
     full = field.sparkSession.range(GRID * GRID).select((F.col("id") % GRID).cast("int").alias("gx"), F.expr(f"cast(id div {GRID} as int)").alias("gy"))
     f = full.join(field, ["gx", "gy"], "left").select("gx", "gy", F.coalesce("value", F.lit(0.0)).alias("v"))
 
@@ -157,4 +160,4 @@ def contours(field: DataFrame, at: DataFrame) -> DataFrame:
         return F.when((p["v"] >= t) != (q["v"] >= t), F.struct((p["x"] + (q["x"] - p["x"]) * k).alias("x"), (p["y"] + (q["y"] - p["y"]) * k).alias("y")))
 
     cut = tri.select("level", F.filter(F.array(cross(0, 1), cross(1, 2), cross(2, 0)), lambda x: x.isNotNull()).alias("x")).filter(F.size("x") == 2)
-    return cut.select("level", F.col("x")[0]["x"].alias("x1"), F.col("x")[0]["y"].alias("y1"), F.col("x")[1]["x"].alias("x2"), F.col("x")[1]["y"].alias("y2"))
+    return cut.join(grid).select("level", *((F.col(o) + F.col("x")[k][c] * F.col("step")).alias(f"{c}{k + 1}") for k in (0, 1) for c, o in (("x", "ox"), ("y", "oy"))))

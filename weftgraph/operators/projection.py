@@ -47,19 +47,30 @@ def top_repos(yearly: DataFrame, latest: DataFrame, p: Parameters) -> DataFrame:
 
 
 def contributions(rows: DataFrame, p: Parameters) -> DataFrame:
-    return rows.filter((F.col("platform") == p.platform) & F.col("yyyymm").between(p.start, p.end) & (F.col("actor_id") != 0))
+    """The window's rows with an actor. Where the source has a date (created_at), the window is
+    a range of it too, which reaches the scan; a month number that is computed does not."""
+    held = (F.col("platform") == p.platform) & F.col("yyyymm").between(p.start, p.end) & (F.col("actor_id") != 0)
+    if "created_at" in rows.columns:
+        held &= months.within(F.col("created_at"), p.start, p.end)
+    return rows.filter(held)
 
 
-def actor_degrees(rows: DataFrame, p: Parameters) -> DataFrame:
+def monthly_contributions(rows: DataFrame, p: Parameters) -> DataFrame:
+    """(repository, actor, month, v, repo_name): duplicates of a month give their largest value, and its name."""
+    value = F.col("openrank").cast("double")
+    return contributions(rows, p).groupBy("repo_id", "actor_id", "yyyymm").agg(F.max(value).alias("v"), F.max_by("repo_name", F.struct(value.alias("v"), "repo_name")).alias("repo_name"))
+
+
+def actor_degrees(monthly: DataFrame, p: Parameters) -> DataFrame:
     """Actors of 2 up to the cap of repositories in the window, counted on all of them."""
-    return contributions(rows, p).groupBy("actor_id").agg(F.countDistinct("repo_id").alias("degree")).filter(F.col("degree").between(2, p.max_actor_degree))
+    pairs = monthly.select("actor_id", "repo_id").distinct()
+    return pairs.groupBy("actor_id").agg(F.count("repo_id").alias("degree")).filter(F.col("degree").between(2, p.max_actor_degree))
 
 
-def actor_repos(rows: DataFrame, degrees: DataFrame, top: DataFrame, p: Parameters) -> DataFrame:
-    """(actor, repository, contribution > 0): duplicates of a month give their largest value, months add up."""
-    held = contributions(rows, p).join(degrees.select("actor_id"), "actor_id", "left_semi").join(top.select("repo_id"), "repo_id", "left_semi")
-    monthly = held.groupBy("actor_id", "repo_id", "yyyymm").agg(F.max(F.col("openrank").cast("double")).alias("v"))
-    return monthly.groupBy("actor_id", "repo_id").agg(F.sum("v").alias("contribution")).filter("contribution > 0")
+def actor_repos(monthly: DataFrame, degrees: DataFrame, top: DataFrame) -> DataFrame:
+    """(actor, repository, contribution > 0): months add up."""
+    held = monthly.join(degrees.select("actor_id"), "actor_id", "left_semi").join(top.select("repo_id"), "repo_id", "left_semi")
+    return held.groupBy("actor_id", "repo_id").agg(F.sum("v").alias("contribution")).filter("contribution > 0")
 
 
 def pair_rows(bipartite: DataFrame, degrees: DataFrame) -> DataFrame:
@@ -105,10 +116,9 @@ def name_edges(graph: DataFrame, platform: str) -> DataFrame:
     return graph.select(full("source"), full("target"), "weight", "shared_contributors", "collaboration_strength")
 
 
-def contribution_stats(rows: DataFrame, top: DataFrame, p: Parameters) -> DataFrame:
-    held = contributions(rows, p).join(top.select("repo_id"), "repo_id", "left_semi")
-    monthly = held.groupBy("repo_id", "actor_id", "yyyymm").agg(F.max(F.col("openrank").cast("double")).alias("v"), F.max_by("repo_name", F.struct(F.col("openrank").cast("double").alias("v"), "repo_name")).alias("repo_name"))
-    return monthly.groupBy("repo_id").agg(F.max_by("repo_name", F.struct("yyyymm", "v", "repo_name")).alias("stats_name"), F.countDistinct("actor_id").alias("contributors"), F.sum("v").alias("normalized_contribution"))
+def contribution_stats(monthly: DataFrame, top: DataFrame) -> DataFrame:
+    held = monthly.join(top.select("repo_id"), "repo_id", "left_semi")
+    return held.groupBy("repo_id").agg(F.max_by("repo_name", F.struct("yyyymm", "v", "repo_name")).alias("stats_name"), F.countDistinct("actor_id").alias("contributors"), F.sum("v").alias("normalized_contribution"))
 
 
 def nodes(top: DataFrame, stats: DataFrame, latest: DataFrame, platform: str, digits: int = 6) -> DataFrame:

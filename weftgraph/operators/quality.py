@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import months
 from ..plans.parameters import DUPLICATE_LIMIT, Parameters
+from ..plans.ranking import quantiles
 
 
 class QualityError(ValueError):
@@ -86,12 +87,12 @@ def edge_counters(edges: DataFrame, platform: str, min_shared: int) -> DataFrame
         F.count_if(bad_number).alias("not_finite"),
         F.count_if(~bad_number & ((F.col("weight") <= 0) | (F.col("collaboration_strength") <= 0))).alias("not_positive"),
         F.count_if(F.col("shared_contributors") < min_shared).alias("too_few_shared"),
-        *(F.expr(f"percentile_disc({q}) within group (order by weight)").alias(n) for n, q in (("weight_p50", 0.5), ("weight_p90", 0.9), ("weight_p99", 0.99))),
         F.min("weight").alias("weight_min"), F.max("weight").alias("weight_max"),
-        *(F.expr(f"percentile_disc({q}) within group (order by shared_contributors)").cast("long").alias(n) for n, q in (("shared_p50", 0.5), ("shared_p90", 0.9), ("shared_p99", 0.99))),
         F.max("shared_contributors").alias("shared_max"),
     )
-    return whole.join(doubled)
+    weight = quantiles(e, "weight", {"weight_p50": 0.5, "weight_p90": 0.9, "weight_p99": 0.99})
+    shared = quantiles(e, "shared_contributors", {"shared_p50": 0.5, "shared_p90": 0.9, "shared_p99": 0.99})
+    return whole.join(doubled).join(weight).join(shared)
 
 
 FAULTS = ("bad_ids", "self_loops", "misordered", "not_finite", "not_positive", "too_few_shared", "duplicates")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,10 @@ from ..functions import formulas, months, text
 from ..operators import explore, graph, hub, layout, projection, quality, taxonomy
 from ..sources import sinks, stand_ins
 from .parameters import Parameters, preset
+from .tables import materialize
 
-P = Parameters(stand_ins.PLATFORM, 199701, 199712, 60, 2, 30, 8, 20, 500_000)
-#: The same window at the size of a build.
-PREVIEW = preset("preview", stand_ins.PLATFORM, 199712)
+#: A build of the smaller preset over a year of the stand-in sources.
+P = preset("preview", stand_ins.PLATFORM, 199712)
 TODAY = dt.date(1999, 3, 15)
 
 # A small lexicon of words that the invented texts hold.
@@ -32,7 +33,7 @@ def query(name: str, sql: str | None = None):
     def put(f: Query) -> Query:
         QUERIES[name] = f
         if sql:
-            SQL[name] = sql
+            SQL[name] = sql.replace(":top_repos", str(P.top_repos)).replace(":edges", str(P.max_edges_per_node)).replace(":labels", str(P.labels))
         return f
 
     return put
@@ -57,7 +58,7 @@ TOP = (
     YEARLY
     + LATEST
     + """
-top as (select y.* from yearly y left join latest i on i.id = y.repo_id where i.id is null or is_fork = 0 order by openrank_sum desc, repo_id limit 60),"""
+top as (select y.* from yearly y left join latest i on i.id = y.repo_id where i.id is null or is_fork = 0 order by openrank_sum desc, repo_id limit :top_repos),"""
 )
 DEGREES = """degrees as (select actor_id, count(distinct repo_id) as degree from contributions where yyyymm between 199701 and 199712 and actor_id != 0 group by actor_id having degree between 2 and 30),"""
 PAIRS = (
@@ -80,7 +81,7 @@ PRUNED = (
     + """
 inc as (select source as node, target as neighbor, weight, shared_contributors, collaboration_strength from edges union all select target, source, weight, shared_contributors, collaboration_strength from edges),
 rk as (select *, row_number() over (partition by node order by weight desc, shared_contributors desc, neighbor) as r from inc),
-pruned as (select least(node, neighbor) as source, greatest(node, neighbor) as target, max(weight) as weight, max(shared_contributors) as shared_contributors, max(collaboration_strength) as collaboration_strength from rk where r <= 8 group by all),"""
+pruned as (select least(node, neighbor) as source, greatest(node, neighbor) as target, max(weight) as weight, max(shared_contributors) as shared_contributors, max(collaboration_strength) as collaboration_strength from rk where r <= :edges group by all),"""
 )
 STATS = """nm as (select repo_id, actor_id, yyyymm, max(openrank) as v, arg_max(repo_name, (openrank, repo_name)) as repo_name from contributions where yyyymm between 199701 and 199712 and actor_id != 0 and repo_id in (select repo_id from top) group by all),
 stats as (select repo_id, arg_max(repo_name, (yyyymm, v, repo_name)) as stats_name, count(distinct actor_id) as contributors, sum(v) as normalized_contribution from nm group by repo_id),"""
@@ -93,31 +94,82 @@ nodes as (select 'TPCH:' || t.repo_id as id, coalesce(nullif(t.repo_name, ''), s
   case when i.id is null then '' else p_brand || '|' || p_type end as topics, coalesce(regexp_replace(substring(description, 1, 300), '[\\r\\n\\t]+', ' ', 'g'), '') as description, case when i.id is null then 'missing' else status end as metadata_status, '' as url
   from top t left join stats s on s.repo_id = t.repo_id left join latest i on i.id = t.repo_id),
 ends as (select 'TPCH:' || source as id from pruned union select 'TPCH:' || target from pruned),
-kept as (select nodes.*, case when row_number() over (order by openrank_sum desc, repo_id) <= 20 then name else '' end as display_label from nodes where id in (select id from ends)),"""
+kept as (select nodes.*, case when row_number() over (order by openrank_sum desc, repo_id) <= :labels then name else '' end as display_label from nodes where id in (select id from ends)),"""
 )
 GRAPH = PRUNED + "\ng as (select source as s, target as t, weight, shared_contributors as shared, collaboration_strength as strength from pruned),\nboth_ends as (select s as node, t as other, weight, shared, strength from g union all select t, s, weight, shared, strength from g),"
 AFF = "greatest(ln(1 + greatest(weight, 0)) + 0.55 * ln(1 + greatest(strength, 0)), 1e-12)"
 
 
 class Steps:
-    """The pipeline's frames over one input, made when asked for."""
+    """The pipeline's frames over one input, made when asked for. What several later steps read
+    is written once: a year's activity by month, the chosen repositories and the pruned edges."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, p: Parameters = P):
-        self.scores, self.rows, self.info = stand_ins.scores(spark, sf_dir), stand_ins.contributions(spark, sf_dir), stand_ins.info(spark, sf_dir)
-        self.monthly = projection.monthly_scores(self.scores, p)
-        self.yearly = projection.yearly_scores(self.monthly)
-        self.latest = projection.latest_info(self.info, p.platform)
-        self.top = projection.top_repos(self.yearly, self.latest, p)
-        self.degrees = projection.actor_degrees(self.rows, p)
-        self.bipartite = projection.actor_repos(self.rows, self.degrees, self.top, p)
-        self.pairs = projection.pair_rows(self.bipartite, self.degrees)
-        self.edges = projection.edges(self.pairs, p.min_shared, 6)
-        self.pruned = projection.prune(self.edges, p.max_edges_per_node)
-        self.named = projection.name_edges(self.pruned, p.platform)
-        self.stats = projection.contribution_stats(self.rows, self.top, p)
-        self.nodes = projection.nodes(self.top, self.stats, self.latest, p.platform, 8)
-        self.kept = projection.with_labels(self.nodes, self.named, p.labels)
-        self.g = self.pruned.select(F.col("source").alias("s"), F.col("target").alias("t"), "weight", F.col("shared_contributors").alias("shared"), F.col("collaboration_strength").alias("strength"))
+        self.spark, self.sf_dir, self.p = spark, sf_dir, p
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return stand_ins.scores(self.spark, self.sf_dir)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return stand_ins.contributions(self.spark, self.sf_dir)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return projection.monthly_scores(self.scores, self.p)
+
+    @cached_property
+    def yearly(self) -> DataFrame:
+        return projection.yearly_scores(self.monthly)
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return materialize(projection.latest_info(stand_ins.info(self.spark, self.sf_dir), self.p.platform), "latest")
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return materialize(projection.top_repos(self.yearly, self.latest, self.p), "top")
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        return materialize(projection.monthly_contributions(self.rows, self.p), "activity")
+
+    @cached_property
+    def degrees(self) -> DataFrame:
+        return projection.actor_degrees(self.activity, self.p)
+
+    @cached_property
+    def bipartite(self) -> DataFrame:
+        return projection.actor_repos(self.activity, self.degrees, self.top)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return projection.pair_rows(self.bipartite, self.degrees)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return projection.edges(self.pairs, self.p.min_shared, 6)
+
+    @cached_property
+    def pruned(self) -> DataFrame:
+        return projection.guard_rows(projection.prune(self.edges, self.p.max_edges_per_node), self.p.max_rows)
+
+    @cached_property
+    def named(self) -> DataFrame:
+        return projection.name_edges(self.pruned, self.p.platform)
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        return projection.nodes(self.top, projection.contribution_stats(self.activity, self.top), self.latest, self.p.platform, 8)
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        return projection.with_labels(self.nodes, self.named, self.p.labels)
+
+    @cached_property
+    def g(self) -> DataFrame:
+        return self.pruned.select(F.col("source").alias("s"), F.col("target").alias("t"), "weight", F.col("shared_contributors").alias("shared"), F.col("collaboration_strength").alias("strength"))
 
 
 @query("src4_score_scan", with_views("x as (select repo_id, yyyymm, count(*) as n, round(sum(openrank), 6) as total from scores where yyyymm between 199701 and 199712 and repo_id != 0 group by all) select * from x"))
@@ -176,22 +228,17 @@ def all_edges(spark, sf):
     return Steps(spark, sf).edges
 
 
-@query("jn6_wn1_incident_ranks", with_views(PRUNED + "z as (select 1) select node, neighbor, r as edge_rank from rk where r <= 8"))
+@query("jn6_wn1_incident_ranks", with_views(PRUNED + "z as (select 1) select node, neighbor, r as edge_rank from rk where r <= :edges"))
 def ranks(spark, sf):
     from pyspark.sql import Window
 
     w = Window.partitionBy("node").orderBy(F.desc("weight"), F.desc("shared_contributors"), "neighbor")
-    return projection.incident(Steps(spark, sf).edges).withColumn("edge_rank", F.row_number().over(w)).filter("edge_rank <= 8").select("node", "neighbor", "edge_rank")
+    return projection.incident(Steps(spark, sf).edges).withColumn("edge_rank", F.row_number().over(w)).filter(F.col("edge_rank") <= P.max_edges_per_node).select("node", "neighbor", "edge_rank")
 
 
 @query("gr2_ag11_st1_pruned_edges", with_views(PRUNED + "z as (select 1) select 'TPCH:' || source as source, 'TPCH:' || target as target, weight, shared_contributors, collaboration_strength from pruned"))
 def pruned(spark, sf):
-    return projection.guard_rows(Steps(spark, sf).named, P.max_rows)
-
-
-@query("gr2_ag11_st1_pruned_edges_preview")
-def pruned_preview(spark, sf):
-    return projection.guard_rows(Steps(spark, sf, PREVIEW).named, PREVIEW.max_rows)
+    return Steps(spark, sf).named
 
 
 @query("jn3_node_candidates", with_views(NODES + "z as (select 1) select * from nodes"))
@@ -281,30 +328,32 @@ def graph_degrees(spark, sf):
     return d.select("node", "degree", F.round("weighted_degree", 6).alias("weighted_degree"), F.round("strength", 6).alias("strength"), F.round("volume", 6).alias("volume"))
 
 
-@query(
-    "gr6_components",
-    """with recursive e as (select distinct o_custkey as u, l_suppkey + 1000000000 as v from lineitem join orders on l_orderkey = o_orderkey where l_quantity >= 50 and l_discount >= 0.1),
-n as (select distinct u as node from e union select distinct v from e), b as (select u, v from e union select v, u from e),
-r as (select node, node as x from n union select r.node, b.v from r join b on b.u = r.x),
-c as (select node, min(x) as component from r group by node), s as (select component, count(*) as size from c group by component),
-p as (select *, cast(row_number() over (order by size desc, component) - 1 as int) as place from s)
-select node, component, size, place from c join p using (component)""",
-)
+@query("gr6_components")
 def components(spark, sf):
+    """Of customers and suppliers over all lines. A recursive SQL of it does not end in time; a test compares it with brute force."""
     li, o = stand_ins.table(spark, sf, "lineitem"), stand_ins.table(spark, sf, "orders")
-    e = li.filter("l_quantity >= 50 and l_discount >= 0.1").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("s"), (F.col("l_suppkey") + 1_000_000_000).alias("t")).distinct()
+    e = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("s"), (F.col("l_suppkey") + 1_000_000_000).alias("t")).distinct()
     return graph.components(e.select(F.explode(F.array("s", "t")).alias("node")).distinct(), e)
 
 
-@query("gr6_components_all_lines")
-def components_all_lines(spark, sf):
-    """The components of all lines; the recursive SQL beside gr6_components only holds for its few."""
-    li, o = stand_ins.table(spark, sf, "lineitem"), stand_ins.table(spark, sf, "orders")
-    e = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("s"), (F.col("l_suppkey") + 1_000_000_000).alias("t")).distinct()
-    return graph.components(e.select(F.explode(F.array("s", "t")).alias("node")).distinct(), e)
+COMPONENTS_SQL = """nb as (select distinct node as x, other as y from both_ends), reach as (select distinct x as node, x as m from nb union select reach.node, nb.y from reach join nb on nb.x = reach.m),
+comp as (select node, min(m) as component from reach group by node),"""
+
 
+@query("gr6_graph_components", with_views(GRAPH + COMPONENTS_SQL + "sz as (select component, count(*) as size from comp group by component), pl as (select *, row_number() over (order by size desc, component) - 1 as place from sz) select node, component, size, place from comp join pl using (component)"))
+def graph_components(spark, sf):
+    g = Steps(spark, sf).g
+    return graph.components(g.select(F.explode(F.array("s", "t")).alias("node")).distinct(), g)
+
+
+# An edge is in the forest unless better edges alone join its ends.
+FOREST_SQL = """ranked as (select s, t, row_number() over (order by weight desc, strength desc, shared desc, s, t) as r from g),
+rb as (select s as x, t as y, r from ranked union all select t, s, r from ranked),
+reach as (select r, s as x from ranked union select reach.r, rb.y from reach join rb on rb.x = reach.x and rb.r < reach.r),
+forest as (select s, t from ranked e where not exists (select 1 from reach where reach.r = e.r and reach.x = e.t)),"""
 
-@query("gr7_spanning_forest")
+
+@query("gr7_spanning_forest", with_views(GRAPH + FOREST_SQL + "z as (select 1) select s, t from forest"))
 def forest(spark, sf):
     return graph.spanning_forest(Steps(spark, sf).g)
 
@@ -314,21 +363,31 @@ def strongest_of_node(spark, sf):
     return graph.strongest_of_node(Steps(spark, sf).g)
 
 
-@query("gr8_st2_tk3_backbone")
+BACKBONE_SQL = """own as (select least(node, other) as s, greatest(node, other) as t, row_number() over (partition by node order by weight desc, strength desc, shared desc, least(node, other), greatest(node, other)) as r from both_ends)"""
+
+
+@query("gr8_st2_tk3_backbone", with_views(GRAPH + FOREST_SQL + BACKBONE_SQL + " select s, t from forest union select s, t from own where r <= 2 union select s, t from ranked where r <= 1500"))
 def backbone(spark, sf):
-    return graph.backbone(Steps(spark, sf).g, 40)
+    return graph.backbone(Steps(spark, sf).g)
+
+
+# Numbers fall to the h-index of the neighbours' until all stand still; far fewer rounds are enough here.
+CORES_SQL = """nb as (select distinct node, other from both_ends),
+h as (select 0 as i, node, count(*) as core from nb group by node
+  union all select i, node, max(least(v, k)) from (select i + 1 as i, nb.node, h.core as v, row_number() over (partition by nb.node order by h.core desc) as k from h join nb on nb.other = h.node where i < 60) group by i, node)"""
 
 
-@query("gr9_core_numbers")
+@query("gr9_core_numbers", with_views(GRAPH + CORES_SQL + " select node, cast(core as int) as core from h where i = 60"))
 def cores(spark, sf):
     return graph.core_numbers(Steps(spark, sf).g)
 
 
 def _communities(spark, sf):
-    g = Steps(spark, sf).g
-    labels = graph.communities(g, resolution=1.15, least=3)
-    rank = Steps(spark, sf).yearly.select(F.col("repo_id").alias("node"), F.col("openrank_sum").alias("rank"))
-    return g, graph.renumber(labels, rank)
+    steps = Steps(spark, sf)
+    g = steps.g
+    labels = materialize(graph.communities(g, prefix=f"{P.platform}:"), "communities")
+    rank = steps.yearly.select(F.col("repo_id").alias("node"), F.col("openrank_sum").alias("rank"))
+    return g, graph.renumber(labels, rank), rank
 
 
 @query("gr3_gr4_gr5_communities")
@@ -338,7 +397,7 @@ def communities(spark, sf):
 
 @query("gr3_synchronous_communities")
 def synchronous(spark, sf):
-    return graph.propagate(Steps(spark, sf).g, 8)
+    return graph.propagate(Steps(spark, sf).g)
 
 
 NATION = "c as (select s_suppkey as node, s_nationkey as community from supplier)"
@@ -358,9 +417,10 @@ def split_edges(spark, sf):
 
 @query("gr10_gr14_island_layout")
 def islands(spark, sf):
-    g, com = _communities(spark, sf)
+    g, com, rank = _communities(spark, sf)
     sizes = com.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
     near = graph.affinities(g, com)
+    # No more communities than nodes, and no more of those than a build has repositories.
     small, pulls = sizes.toPandas(), near.toPandas()
     macro = graph.macros(small, pulls, int(small["size"].sum()))
     named = spark.createDataFrame(sorted(macro.items()), "community int, macro int")
@@ -368,7 +428,6 @@ def islands(spark, sf):
     between = pulls.assign(a=pulls["a"].map(macro), b=pulls["b"].map(macro))
     between = between[between["a"] != between["b"]].groupby(["a", "b"], as_index=False)["affinity"].sum()
     discs = spark.createDataFrame(layout.place_macros(small.groupby("macro", as_index=False)["size"].sum(), between))
-    rank = Steps(spark, sf).yearly.select(F.col("repo_id").alias("node"), F.col("openrank_sum").alias("rank"))
     return layout.place_nodes(com.join(named, "community").join(rank, "node").select("node", "macro", "rank"), discs)
 
 
@@ -457,8 +516,7 @@ from sig s left join dom_best b on b.id = s.id""",
 )
 def domain_class(spark, sf):
     docs = stand_ins.texts(spark, sf)
-    signal = taxonomy.classify_signal(docs, taxonomy.lexicon(spark, SIGNALS))
-    return taxonomy.classify_domain(docs, signal, taxonomy.lexicon(spark, DOMAINS), FAMILIES, "Development Tools").withColumn("tags", F.array_join("tags", "|"))
+    return taxonomy.classify_domain(docs, taxonomy.lexicon(spark, SIGNALS), taxonomy.lexicon(spark, DOMAINS), FAMILIES, "Development Tools").withColumn("tags", F.array_join("tags", "|"))
 
 
 @query(
@@ -491,13 +549,6 @@ def facet_counts(spark, sf):
 POINTS_SQL = "p as (select c_custkey as node, (c_custkey * 7919 % 1009) / 1009.0 - 0.5 as x, (c_custkey * 104729 % 1013) / 1013.0 - 0.5 as y, c_nationkey as community, greatest(c_acctbal, 0.0) as rank from customer)"
 
 
-@query("gr17_ag18_ag19_ag21_ag23_layout_metrics")
-def layout_metrics(spark, sf):
-    pts = stand_ins.points(spark, sf)
-    spine = pts.select(F.col("node").alias("s"), (F.col("node") + 1).alias("t"))
-    return layout.metrics(pts, spine)
-
-
 @query(
     "gr18_ag22_ellipses",
     f"""with {POINTS_SQL}, m as (select community, avg(x) as cx, avg(y) as cy, var_pop(x) as vx, var_pop(y) as vy, covar_pop(x, y) as c from p group by community),
@@ -525,12 +576,6 @@ def density(spark, sf):
     return layout.density(stand_ins.points(spark, sf)).withColumn("value", F.round("value", 6))
 
 
-@query("gr19_contours")
-def contours(spark, sf):
-    field = layout.density(stand_ins.points(spark, sf))
-    return layout.contours(field, layout.thresholds(field))
-
-
 # --- Interactive ----------------------------------------------------------------------
 
 
@@ -656,3 +701,6 @@ def identity(spark, sf):
     from ..sources import readers
 
     return readers.identity(spark)
+
+
+from . import details  # noqa: E402, F401  registers further queries

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.error
 import urllib.request
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.projection import guard_rows
+
 EDGE_SCHEMA = "source string, target string, weight double, shared_contributors long, collaboration_strength double"
 NODE_SCHEMA = (
     "id string, name string, display_label string, platform string, repo_id long, openrank_sum double, openrank_avg double, openrank_max double, months_present int, "
@@ -157,5 +160,24 @@ def sample(pages: DataFrame, target: int) -> DataFrame:
     return rows.groupBy("id").agg(F.min_by(F.struct("row_idx", "row", "truncated"), "row_idx").alias("x")).select("id", "x.*").orderBy("row_idx").limit(target)
 
 
+def read_only(sql: str) -> str:
+    """The statement, if it is a single SELECT; an error otherwise."""
+    plain = re.sub(r"'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).strip().rstrip(";").strip()
+    if ";" in plain or not re.match(r"(?i)(select|with)\b", plain):
+        raise ValueError("a scan is one SELECT statement")
+    if word := re.search(r"(?i)\b(insert|update|delete|drop|alter|create|truncate|grant|attach|system|into\s+outfile)\b", plain):
+        raise ValueError(f"a scan does not {word[0]}")
+    return sql.strip().rstrip(";").strip()
+
+
+def table_scan(spark: SparkSession, url: str, sql: str, most: int, seconds: int, **options: str) -> DataFrame:
+    """The rows of a SELECT on a database, over JDBC: read-only, with the server's time limit, and
+    an error where there are more rows than allowed."""
+    if most < 1 or seconds < 1:
+        raise ValueError("limits must be positive")
+    reader = spark.read.format("jdbc").option("url", url).option("query", f"select * from ({read_only(sql)}) scan limit {most + 1}").option("queryTimeout", seconds)
+    return guard_rows(reader.options(**options).load(), most)
+
+
 def identity(spark: SparkSession) -> DataFrame:
     return spark.sql("select version() as version, current_database() as database")

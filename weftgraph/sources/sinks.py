@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import xml
 
+#: Rows of a kind that one JSON document may hold: builds are bounded by less.
+DOCUMENT_ROWS = 1_000_000
 FILES = {"edges.csv", "nodes.csv", "graph.graphml", "qa.json", "manifest.json", "queries"}
 
 
@@ -27,7 +29,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def _take_part(part: str, path: str) -> None:
-    (one,) = Path(part).glob("part-*")
+    """The one file that a task wrote, under the name asked for. The place must be on a file
+    system that driver and executors share."""
+    found = list(Path(part).glob("part-*"))
+    if len(found) != 1:
+        raise FileNotFoundError(f"{len(found)} files in {part}: snapshots are written to a shared file system")
+    (one,) = found
     os.replace(one, path)
     shutil.rmtree(part)
 
@@ -77,11 +84,19 @@ def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     _take_part(part, path)
 
 
+def bounded_rows(df: DataFrame, most: int = DOCUMENT_ROWS) -> list:
+    """The rows of a table that a document may hold; an error if they are more."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a document has {most} rows of a kind at most")
+    return rows
+
+
 def graph_document(meta: dict, nodes: DataFrame, edges: DataFrame) -> dict:
     """{meta, nodes, edges}: dense places stand for ids only here, at the sink."""
-    rows = nodes.orderBy("id").collect()
+    rows = sorted(bounded_rows(nodes), key=lambda r: r["id"])
     at = {r["id"]: i for i, r in enumerate(rows)}
-    out = {"meta": meta, "nodes": [r.asDict(True) for r in rows], "edges": [{**r.asDict(True), "s": at[r["s"]], "t": at[r["t"]]} for r in edges.orderBy("s", "t").collect()]}
+    out = {"meta": meta, "nodes": [r.asDict(True) for r in rows], "edges": [{**r.asDict(True), "s": at[r["s"]], "t": at[r["t"]]} for r in sorted(bounded_rows(edges), key=lambda r: (r["s"], r["t"]))]}
     for x in (*out["nodes"], *out["edges"]):
         if any(isinstance(v, float) and not math.isfinite(v) for v in x.values()):
             raise ValueError(f"not finite: {x}")
@@ -90,7 +105,7 @@ def graph_document(meta: dict, nodes: DataFrame, edges: DataFrame) -> dict:
 
 def curated_document(labels: DataFrame) -> dict:
     """{repositories: {id: row}}"""
-    return {"repositories": {str(r["repo_id"]): r.asDict(True) for r in labels.orderBy("repo_id").collect()}}
+    return {"repositories": {str(r["repo_id"]): r.asDict(True) for r in sorted(bounded_rows(labels), key=lambda r: r["repo_id"])}}
 
 
 def plan_text(df: DataFrame, sql: str = "") -> str:
@@ -138,3 +153,22 @@ def unchanged(manifest_path: str, inputs: dict) -> bool:
         return json.loads(Path(manifest_path).read_text())["inputs"] == inputs
     except (OSError, ValueError, KeyError):
         return False
+
+
+def built_or_cached(manifest_path: str, inputs: dict, build) -> str:
+    """Builds a snapshot unless it stands already: "cached" if it was built from the same
+    inputs, else "built"; "stale" if the source can't be reached and the snapshot differs in the
+    source's revision alone. A failure of any other kind, or without such a snapshot, is raised."""
+    if unchanged(manifest_path, inputs):
+        return "cached"
+    try:
+        build()
+        return "built"
+    except OSError:
+        try:
+            there = json.loads(Path(manifest_path).read_text())["inputs"]
+        except (OSError, ValueError, KeyError):
+            there = None
+        if there is None or {**there, "revision": None} != {**inputs, "revision": None}:
+            raise
+        return "stale"

@@ -38,7 +38,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _activity(spark, sf_dir).select(
-        F.lit(PLATFORM).alias("platform"), month_of(F.col("o_orderdate")).alias("yyyymm"), F.col("l_suppkey").alias("repo_id"), F.col("o_custkey").alias("actor_id"),
+        F.lit(PLATFORM).alias("platform"), F.col("o_orderdate").alias("created_at"), month_of(F.col("o_orderdate")).alias("yyyymm"), F.col("l_suppkey").alias("repo_id"), F.col("o_custkey").alias("actor_id"),
         (F.col("l_extendedprice") / 1000).alias("openrank"), F.col("s_name").alias("repo_name"),
     )
 
