@@ -117,7 +117,7 @@ def test_search_is_exact(spark, docs):
     index = toxicity.fit(docs(rows), labels)
     whole = np.zeros((len(index.ids), len(index.terms)))
     whole[np.repeat(np.arange(len(index.ids)), np.diff(index.own_first)), index.own_term] = index.own_weight
-    assert len(index.ids) > 150 and (index.column >= 0).any() and (index.column < 0).any()
+    assert index.filled is None and len(index.prepare().ids) > 150 and (index.column >= 0).any() and (index.column < 0).any()
     assert np.allclose((whole * whole).sum(1), 1)
     for e in range(0, len(index.ids), 3):
         at = np.flatnonzero(whole[e])

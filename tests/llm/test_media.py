@@ -119,7 +119,7 @@ def test_columns(spark, docs):
         body = (t or "").encode()
         r = rows[(d, len(body))]
         assert bytes(r.payload) == body + b"\0" * (-len(body) % 64 or (0 if body else 64)) and r.clips[0].first_frame == 0
-        assert zlib.crc32(bytes(r.payload)[-64:]) is not None
+        assert sum(c.n_frames for c in r.clips) == -(-len(r.payload) // (64 * media.FRAME_BLOCKS)) and r.clips[-1].end_s > 0
     assert media.store_text(docs([])).count() == 0
 
 

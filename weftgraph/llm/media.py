@@ -428,7 +428,9 @@ def _batches(rows: Iterator[tuple], names: pa.Schema) -> Iterator[pa.RecordBatch
 def store_text(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_bytes, media: each text's UTF-8 bytes, padded with zeros to a positive
     multiple of 64, as the coefficients of a motion-JPEG file. Null texts count as empty;
-    each row stands alone, so that equal texts give equal files; other columns are ignored."""
+    each row stands alone, so that equal texts give equal files, repeated rows too, and ties need
+    no rule; null ids are kept as they are; other columns are ignored; an empty table gives no
+    rows. A very long text is one file, which a task holds at about 12 bytes for each byte."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     schema = _parse_datatype_string(f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
     names = arrow_schema(schema)
@@ -448,7 +450,9 @@ def store_text(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
 
 def read_media(media: DataFrame, media_col: str = "media", keep: list[str] | None = None) -> DataFrame:
     """The kept columns, payload and clips of each file. ``payload`` is null for a file that
-    holds pictures rather than stored bytes; a null or unreadable file has null for both."""
+    holds pictures rather than stored bytes; a null or unreadable file has null for both. Each
+    row stands alone, repeated ones too; an empty table gives no rows; a very long file is read
+    whole by one task."""
     keep = keep or [c for c in media.columns if c != media_col]
     rows = media.select(*keep, F.col(media_col).alias("media"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])

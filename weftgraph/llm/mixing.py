@@ -57,8 +57,9 @@ def mix(docs: DataFrame, weight=by_rank, most: int = 3, text: str = "text", sour
     neither a hot source nor all ranges meet in one task's hands.
 
     Null texts have size 0 and take 0; null sources are one source, after the others;
-    null ids count as the empty text in the key; repeated rows count each; an empty
-    table gives no rows; other columns are ignored.
+    null ids count as the empty text in the key; repeated rows count each; rows that tie in
+    key, id and size may stand either way round, and take the same in sum; very long texts
+    are counted whole; an empty table gives no rows; other columns are ignored.
     """
     rows = materialize(sized(docs, text, source, id_col, keep), "mix")
     ranges = max(1, math.isqrt(rows.count()))

@@ -146,9 +146,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = 1024, w
     end and cut at each full length, in tasks of bounded size, so that at most one
     sequence a merging task is short.
 
-    Null and empty texts are the end id alone; every row counts, repeated ones too; an
-    empty table gives no pieces; other columns are ignored. Padding is up to the
-    reader: a sequence's length is the sum of its pieces' lengths.
+    Null and empty texts are the end id alone; every row counts, repeated ones too; null ids
+    are kept as they are; an empty table gives no pieces; other columns are ignored. A very long
+    text is encoded in parts and packed whole; a task holds its ids. Of windows with equal
+    room, which tie, the last one opened takes the piece. Padding is up to the reader: a
+    sequence's length is the sum of its pieces' lengths.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     schema = _parse_datatype_string(PIECE.format(id=rows.schema["doc_id"].dataType.simpleString()))

@@ -68,7 +68,9 @@ def assign(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | None = None,
     changed weight moves rows only from or to the subtree that holds it; a shard that
     opens a new region takes rows only into itself. Null ids count as the empty key
     (one shard holds them); null and empty texts have size 16 and crc 0; repeated
-    rows get the same shard and slots of their own; other columns are ignored.
+    rows get the same shard and slots of their own, which they may take either way round, as
+    any rows that tie in hash, id, crc and size; very long texts are hashed whole; an empty
+    table gives no rows; other columns are ignored.
 
     Slots are the ranks by (hash of id, id, crc, size) in a shard. Ranks are taken in
     sqrt(n) hash ranges a shard and shifted by the ranges' running counts, so no

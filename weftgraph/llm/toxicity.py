@@ -76,14 +76,6 @@ class Index:
     labels: np.ndarray
     ids: list
     cost: np.ndarray  # votes an example stands for: its class's rows over its sampled rows
-    column: np.ndarray  # of a frequent term in ``filled``; -1 for others
-    filled: np.ndarray  # (frequent terms, blocks * BLOCK), in single precision
-    example: np.ndarray  # postings, by term, then example
-    weight: np.ndarray
-    first: np.ndarray  # the first entry of each term, and one more
-    block: np.ndarray  # of an entry
-    top: np.ndarray  # its greatest weight
-    start: np.ndarray  # its first posting, and one more
     own_first: np.ndarray  # where each example begins in the next two, and one more
     own_term: np.ndarray
     own_weight: np.ndarray
@@ -93,11 +85,48 @@ class Index:
     size: int = BLOCK
     times: np.ndarray | None = None  # how often each example has its terms
     shares: dict = field(default_factory=dict)
+    # Made by ``prepare`` where a search first needs them:
+    column: np.ndarray | None = None  # of a frequent term in ``filled``; -1 for others
+    filled: np.ndarray | None = None  # (frequent terms, blocks * size), in single precision
+    example: np.ndarray | None = None  # postings of the others, by term, then example
+    weight: np.ndarray | None = None
+    first: np.ndarray | None = None  # the first entry of each term, and one more
+    block: np.ndarray | None = None  # of an entry
+    top: np.ndarray | None = None  # its greatest weight
+    start: np.ndarray | None = None  # its first posting, and one more
 
     def __reduce__(self):
         """Travels as its words and the examples' counts, and is built again where it arrives."""
         return _again, (b" ".join(self.terms), self.worth, self.labels, self.ids, self.own_first, self.own_term, self.times, self.shares, self.prior, self.curve, self.size)
 
+    def prepare(self) -> Index:
+        """Cuts the examples into blocks; only tasks that search hold what this makes."""
+        if self.filled is not None:
+            return self
+        term, weight = self.own_term, self.own_weight
+        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.own_first))
+        blocks = -(-len(self.ids) // self.size)
+        many = np.bincount(term, minlength=len(self.terms))
+        often = np.argsort(-many, kind="stable")[: min(DENSE, np.count_nonzero(many * OFTEN >= max(1, len(self.ids))))]
+        self.column = np.full(len(self.terms), -1, np.int64)
+        self.column[often] = np.arange(len(often))
+        filled = np.zeros((len(often), blocks * self.size), np.float32)
+        mine = self.column[term] >= 0
+        filled[self.column[term[mine]], example[mine]] = weight[mine]
+        order = np.flatnonzero(~mine)
+        order = order[np.argsort(term[order], kind="stable")]
+        term, self.example, self.weight = term[order], example[order], weight[order]
+        block = self.example // self.size
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        start = np.flatnonzero(new)
+        self.first = np.searchsorted(term[start], np.arange(len(self.terms) + 1))
+        self.block = block[start]
+        self.top = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
+        self.start = np.append(start, len(term))
+        self.filled = filled
+        return self
+
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The terms of a text and their weights, of length 1 in all."""
         times = Counter(words(text))
@@ -111,6 +140,7 @@ class Index:
 
     def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What frequent terms add to the cosine of each vector with each example."""
+        self.prepare()
         by = np.zeros((len(vectors), len(self.filled)), np.float32)
         for i, (rows, v) in enumerate(vectors):
             column = self.column[rows]
@@ -187,7 +217,7 @@ def _numbers(terms: bytes) -> dict[bytes, int]:
 def _again(terms: bytes, worth, labels, ids, first, own, times, shares, prior, curve, size) -> Index:
     numbers = _numbers(terms)
     cuts = first.tolist()
-    examples = [(d, y, own[a:b].astype(np.int64), times[a:b]) for d, y, a, b in zip(ids, labels.tolist(), cuts, cuts[1:], strict=False)]
+    examples = [(d, y, own[a:b], times[a:b]) for d, y, a, b in zip(ids, labels.tolist(), cuts, cuts[1:], strict=False)]
     out = build(numbers, worth, examples, shares, prior, size)
     out.curve = curve
     return out
@@ -195,39 +225,20 @@ def _again(terms: bytes, worth, labels, ids, first, own, times, shares, prior, c
 
 def build(terms: dict[bytes, int], worth: np.ndarray, examples: list[tuple], shares: dict[int, float], prior: float, size: int | None = None) -> Index:
     """An index of examples (id, label, terms, times); shares: rows of each class for one of the sample."""
-    block_size = size or BLOCK
     own = []
     for doc_id, label, rows, times in examples:
         v = (1 + np.log(times)) * worth[rows]
         own.append((rows, v / math.sqrt((v * v).sum()) if len(v) else v, label, doc_id, times))
     # Alike examples in one block make its bounds tight.
     own.sort(key=lambda x: (int(x[0][np.argmax(x[1])]) if len(x[0]) else len(terms), str(x[3])))
-    long = [len(x[0]) for x in own]
-    example = np.repeat(np.arange(len(own), dtype=np.int32), long)
-    own_term = term = np.concatenate([x[0] for x in own]) if own else np.zeros(0, np.int64)
-    own_weight = weight = np.concatenate([x[1] for x in own]) if own else np.zeros(0)
-    blocks = -(-len(own) // block_size)
-    many = np.bincount(term, minlength=len(terms))
-    often = np.argsort(-many, kind="stable")[: min(DENSE, np.count_nonzero(many * OFTEN >= max(1, len(own))))]
-    column = np.full(len(terms), -1, np.int64)
-    column[often] = np.arange(len(often))
-    filled = np.zeros((len(often), blocks * block_size), np.float32)
-    mine = column[term] >= 0
-    filled[column[term[mine]], example[mine]] = weight[mine]
-    order = np.flatnonzero(~mine)
-    order = order[np.argsort(term[order], kind="stable")]
-    term, example, weight = term[order], example[order], weight[order]
-    block = example // block_size
-    new = np.ones(len(term), bool)
-    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-    start = np.flatnonzero(new)
-    first = np.searchsorted(term[start], np.arange(len(terms) + 1))
-    top = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
+
+    def joined(k: int, kind: type) -> np.ndarray:
+        return np.concatenate([x[k] for x in own]).astype(kind) if own else np.zeros(0, kind)
+
     return Index(
-        terms, worth, np.array([x[2] for x in own], np.int64), [x[3] for x in own], np.array([shares[x[2]] for x in own]), column, filled,
-        example, weight, first, block[start], top, np.append(start, len(term)), np.cumsum([0, *long]), own_term.astype(np.int32), own_weight,
-        prior, at={x[3]: e for e, x in enumerate(own)}, size=block_size,
-        times=np.concatenate([x[4] for x in own]).astype(np.int32) if own else np.zeros(0, np.int32), shares=shares,
+        terms, worth, np.array([x[2] for x in own], np.int64), [x[3] for x in own], np.array([shares[x[2]] for x in own]),
+        np.cumsum([0, *(len(x[0]) for x in own)]), joined(0, np.int32), joined(1, np.float64), prior,
+        at={x[3]: e for e, x in enumerate(own)}, size=size or BLOCK, times=joined(4, np.int32), shares=shares,
     )
 
 
@@ -412,9 +423,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     kind = rows.schema["doc_id"].dataType.simpleString()
     shape = _parse_datatype_string(f"doc_id {kind}, label int, terms binary, times binary")
     packed = chosen.select("doc_id", "label", "text").mapInArrow(_packed(shape, shared), shape).collect()
-    examples = [(r["doc_id"], r["label"], np.frombuffer(r["terms"], "<i4").astype(np.int64), np.frombuffer(r["times"], "<i4")) for r in packed]
+    examples = [(r["doc_id"], r["label"], np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["times"], "<i4")) for r in packed]
     # Terms that tell little of the label weigh little; they decide where a text has no others.
     tells = np.sqrt(np.maximum(best["g2"].to_numpy(), LEAST_G2))
+    del best, packed
     index = build(terms, idf * tells, examples, {c: sizes[c] / n[c] for c in n}, sizes.get(1, 0) / sum(sizes.values()))
     # Platt's curve over leave-one-out votes, the sample weighted back to the rows it stands for.
     shape = _parse_datatype_string("e int, raw double")
