@@ -283,11 +283,30 @@ def test_layout(spark):
     lines = layout.contours(layout.density(p), at, layout.frame(p))
     assert all(abs(v) < 1.3 for r in lines.collect() for v in (r.x1, r.y1, r.x2, r.y2))
     assert [r.level for r in at.orderBy("level").collect()] == [0, 1, 2] and lines.count() > 10
-    discs = spark.createDataFrame([(0, 0.0, 0.0, 1.0), (1, 5.0, 0.0, 1.0)], "macro int, x double, y double, radius double")
-    placed = layout.place_nodes(p.select("node", F.col("community").alias("macro"), "rank"), discs).collect()
-    assert len({(round(r.x, 9), round(r.y, 9)) for r in placed}) == 200
-    inner = min((r for r in placed if r.node % 2 == 0), key=lambda r: r.x**2 + r.y**2)
-    assert inner.node == 198
+
+
+def test_islands(spark):
+    rows = [(k, k % 2, 10 + k % 4, 0, float(k), 3) for k in range(200)] + [(300 + k, 0, 20, 1, 1.0, 1) for k in range(5)] + [(400 + k, 1, 21, 2, 1.0, 1) for k in range(3)]
+    nodes = spark.createDataFrame(rows, "node long, macro int, community int, component int, rank double, degree long")
+    discs = spark.createDataFrame([(0, -0.4, 0.0, 0.3), (1, 0.4, 0.0, 0.3)], "macro int, x double, y double, radius double")
+    none = spark.createDataFrame([], "s long, t long, weight double, strength double")
+    spine = spark.createDataFrame([(0, 1, 5.0, 5.0), (2, 4, 5.0, 5.0)], "s long, t long, weight double, strength double")
+    at, pulled = ({r.node: (r.x, r.y) for r in layout.islands(nodes, discs, b).collect()} for b in (none, spine))
+    assert len(set(at.values())) == len(rows) == len(at)
+    assert max(math.hypot(*p) for p in at.values()) == pytest.approx(0.965, abs=1e-4)
+    assert abs(sum(at[k][0] for k in range(200))) < 0.01 and abs(sum(at[k][1] for k in range(200))) < 0.01
+    # The halves lie apart, lobes around their strongest nodes, satellites close together and far out.
+    assert all(at[k][0] < at[k + 1][0] for k in range(0, 200, 2))
+    for c in range(4):
+        own = [k for k in range(200) if k % 4 == c]
+        mid = [sum(at[k][i] for k in own) / len(own) for i in (0, 1)]
+        assert min(own, key=lambda k: math.dist(at[k], mid)) in own[-8:]
+    for part in (range(300, 305), range(400, 403)):
+        assert max(math.dist(at[a], at[b]) for a in part for b in part) < 0.08 and all(math.hypot(*at[k]) > 0.4 for k in part)
+    # The ends of an edge between the halves come nearer, those of one inside a half stay.
+    assert math.dist(pulled[0], pulled[1]) < math.dist(at[0], at[1]) and math.dist(pulled[2], pulled[4]) == pytest.approx(math.dist(at[2], at[4]), rel=0.05)
+    lone = nodes.filter("component = 0 and community = 10")
+    assert layout.islands(lone, discs, none).count() == 50
 
 
 def test_taxonomy_weights(spark):

@@ -80,7 +80,9 @@ def test_months_reach_the_scan(spark, sf):
     from weftgraph.plans import catalog
 
     steps = catalog.Steps(spark, sf)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = steps.rows.transform(pj.contributions, catalog.P)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
     assert steps.kept.count() and steps.activity is steps.activity
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.formulas import affinity, md5_unit
 from ..plans.ranking import global_rank, quantiles
 from ..plans.tables import materialize
 
+GOLDEN = math.pi * (3 - math.sqrt(5))
+# Fixed value: the greatest radius of a finished layout.
+EDGE = 0.965
 GRID = 144
 LEVELS = (0.64, 0.84, 0.95)
 
@@ -51,17 +55,74 @@ def place_macros(sizes: pd.DataFrame, near: pd.DataFrame, sweeps: int = 108) ->
     return pd.DataFrame([(m, place[m][0], place[m][1], radius[m]) for m in ids], columns=["macro", "x", "y", "radius"])
 
 
-def place_nodes(nodes: DataFrame, macros: DataFrame) -> DataFrame:
-    """(node, x, y): members of a macro community by rank on a golden-angle spiral around its
-    centre, the strongest innermost. ``nodes`` have node, macro, rank. A macro community may be
-    a large part of all nodes: places come from one global order, not from a sorted task each."""
-    placed = materialize(global_rank(nodes.select("node", "macro", "rank"), [F.asc("macro"), F.desc("rank"), F.asc("node")]), "places")
-    first = placed.groupBy("macro").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("total"))
-    discs = macros.select("macro", F.col("x").alias("cx"), F.col("y").alias("cy"), "radius")
-    j = placed.join(first.join(discs, "macro"), "macro")
-    place = F.col("place") - F.col("first")
-    r, angle = F.col("radius") * F.sqrt((place + 0.5) / F.col("total")), place * F.lit(math.pi * (3 - math.sqrt(5)))
-    return j.select("node", (F.col("cx") + r * F.cos(angle)).alias("x"), (F.col("cy") + r * F.sin(angle)).alias("y"))
+def _places(nodes: DataFrame, group: str, order: list) -> DataFrame:
+    """The nodes with their place in the group, from 0, and the group's size. A group may be a large
+    part of all nodes: places come from one global order, not from a sorted task each."""
+    placed = materialize(global_rank(nodes, [F.asc(group), *order]), "places")
+    first = placed.groupBy(group).agg(F.min("place").alias("_first"), F.count(F.lit(1)).alias("total"))
+    return placed.join(first, group).withColumn("place", F.col("place") - F.col("_first")).drop("_first")
+
+
+def _spiral(radius, place, total) -> tuple:
+    """Golden-angle places that fill a disc evenly, the first innermost."""
+    r, angle = radius * F.sqrt((place + 0.5) / total), place * F.lit(GOLDEN)
+    return r * F.cos(angle), r * F.sin(angle)
+
+
+def _hashed(what: str, key) -> Column:
+    return md5_unit(F.concat(F.lit(f"{what}:"), key.cast("string")))
+
+
+def lobes(nodes: DataFrame, discs: DataFrame) -> DataFrame:
+    """(macro, community, lx, ly, extent, tilt, stretch): a lobe for each micro community of a macro
+    one, in its disc: the largest in the middle, the others on a spiral around it, turned by a
+    hash, with an extent by its share of the macro's nodes."""
+    size = nodes.groupBy("macro", "community").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("macro")
+    size = size.withColumns({"k": F.row_number().over(own.orderBy(F.desc("n"), "community")) - 1, "of": F.count(F.lit(1)).over(own), "all": F.sum("n").over(own)})
+    x, y = _spiral(F.col("radius") * 0.66, F.col("k") + F.when(F.col("k") == 0, -0.5).otherwise(0.0), F.col("of"))
+    turn = F.atan2("y", "x") + 2 * math.pi * 0.05 * _hashed("lobe", F.col("community"))
+    extent = F.col("radius") * F.least(F.lit(0.55), F.greatest(F.lit(0.1), 0.1 + 0.55 * F.sqrt(F.col("n") / F.col("all"))))
+    j = size.join(discs, "macro").withColumns({"sx": x, "sy": y, "turn": turn})
+    return j.select(
+        "macro", "community", (F.col("x") + F.col("sx") * F.cos("turn") - F.col("sy") * F.sin("turn")).alias("lx"), (F.col("y") + F.col("sx") * F.sin("turn") + F.col("sy") * F.cos("turn")).alias("ly"),
+        extent.alias("extent"), (2 * math.pi * _hashed("tilt", F.col("community"))).alias("tilt"), (1.1 + 0.5 * _hashed("stretch", F.col("community"))).alias("stretch"),
+    )
+
+
+def islands(nodes: DataFrame, discs: DataFrame, backbone: DataFrame) -> DataFrame:
+    """(node, x, y): the whole island layout around discs of macro communities (macro, x, y, radius).
+
+    ``nodes``: node, macro, community, component (its place, 0 the main one), rank, degree;
+    ``backbone``: s, t, weight, strength. Nodes of the main component lie on a spiral in the lobe of
+    their community, the strongest innermost, stretched and tilted. Each further component is a
+    small satellite on the outer ring, at an angle and radius from its hash. Ends of backbone edges
+    between macro communities are pulled towards the other side. At last all is centred on
+    the main component and scaled to a greatest radius of EDGE."""
+    strongest = [F.desc("rank"), F.desc("degree"), F.asc("node")]
+    main = _places(nodes.filter("component = 0").withColumn("lobe", F.concat_ws(":", F.col("macro").cast("string"), F.col("community").cast("string"))), "lobe", strongest)
+    sx, sy = _spiral(F.col("extent"), F.col("place"), F.col("total"))
+    main = main.join(lobes(nodes.filter("component = 0"), discs), ["macro", "community"]).withColumns({"sx": sx * F.col("stretch"), "sy": sy / F.col("stretch")})
+    main = main.select("node", "macro", F.lit(True).alias("main"), (F.col("lx") + F.col("sx") * F.cos("tilt") - F.col("sy") * F.sin("tilt")).alias("x"), (F.col("ly") + F.col("sx") * F.sin("tilt") + F.col("sy") * F.cos("tilt")).alias("y"))
+    rest = _places(nodes.filter("component > 0"), "component", strongest)
+    angle, far = 2 * math.pi * _hashed("satellite-angle", F.col("component")), 0.6 + 0.3 * _hashed("satellite-radius", F.col("component"))
+    sx, sy = _spiral(F.least(F.lit(0.03), 0.003 + 0.003 * F.sqrt("total")), F.col("place"), F.col("total"))
+    rest = rest.select("node", "macro", F.lit(False).alias("main"), (far * F.cos(angle) + sx).alias("x"), (far * F.sin(angle) + sy).alias("y"))
+    placed = main.unionByName(rest)
+    side = nodes.select(F.col("node").alias("other"), F.col("macro").alias("there"))
+    pull = affinity(F.col("weight"), F.col("strength")).alias("pull")
+    pulls = backbone.select(F.col("s").alias("node"), F.col("t").alias("other"), pull).unionByName(backbone.select(F.col("t").alias("node"), F.col("s").alias("other"), pull))
+    here, there = (discs.select(F.col("macro").alias(m), F.col("x").alias(f"{m}_x"), F.col("y").alias(f"{m}_y")) for m in ("macro", "there"))
+    pulls = pulls.join(nodes.select("node", "macro"), "node").join(side, "other").filter("macro != there").join(here, "macro").join(there, "there")
+    long = F.hypot(F.col("there_x") - F.col("macro_x"), F.col("there_y") - F.col("macro_y")) + 1e-9
+    pulls = pulls.groupBy("node").agg(F.sum("pull").alias("mass"), *(F.sum(F.col("pull") * (F.col(f"there_{c}") - F.col(f"macro_{c}")) / long).alias(f"p{c}") for c in "xy"))
+    j = placed.join(pulls, "node", "left").join(discs.select("macro", "radius"), "macro", "left")
+    shift = F.col("radius") * (0.04 + 0.1 * F.tanh(F.col("mass") / 6)) / (F.hypot("px", "py") + 1e-9)
+    moved = materialize(j.select("node", "main", *((F.col(c) + F.coalesce(F.col(f"p{c}") * shift, F.lit(0.0))).alias(c) for c in "xy")), "islands")
+    centre = moved.filter("main").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    most = moved.join(centre).agg(F.greatest(F.max(F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy"))), F.lit(1e-9)).alias("most"))
+    scaled = moved.join(centre).join(most)
+    return scaled.select("node", *(F.round((F.col(c) - F.col(f"c{c}")) * EDGE / F.col("most"), 5).alias(c) for c in "xy"))
 
 
 def metrics(points: DataFrame, backbone: DataFrame) -> DataFrame:

@@ -428,7 +428,11 @@ def islands(spark, sf):
     between = pulls.assign(a=pulls["a"].map(macro), b=pulls["b"].map(macro))
     between = between[between["a"] != between["b"]].groupby(["a", "b"], as_index=False)["affinity"].sum()
     discs = spark.createDataFrame(layout.place_macros(small.groupby("macro", as_index=False)["size"].sum(), between))
-    return layout.place_nodes(com.join(named, "community").join(rank, "node").select("node", "macro", "rank"), discs)
+    ends_ = graph.degrees(g).select("node", "degree")
+    parts = graph.components(ends_.select("node"), g).select("node", F.col("place").alias("component"))
+    nodes = com.join(named, "community").join(rank, "node", "left").join(ends_, "node").join(parts, "node").withColumn("rank", F.coalesce("rank", F.lit(0.0)))
+    spine = g.join(graph.backbone(g), ["s", "t"], "left_semi")
+    return layout.islands(materialize(nodes, "nodes"), discs, spine)
 
 
 # --- Hub ---------------------------------------------------------------------------
