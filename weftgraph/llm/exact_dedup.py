@@ -20,7 +20,7 @@ CHUNK = 1 << 16
 #: Documents from here on are hashed as chunk rows dealt over all tasks.
 HUGE = 1 << 22
 #: Members of one group that one task compares with a copy of the group's representative.
-SALT_ROWS = 1000
+SALT_ROWS = 64
 
 
 @lru_cache(8)
