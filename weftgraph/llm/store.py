@@ -179,6 +179,15 @@ def verify_recipes(spark: SparkSession, store: Store) -> bool:
     return True
 
 
+def same_root(spark: SparkSession, store: Store) -> bool:
+    """Whether recipes hash to the manifest's root, which stands for all levels."""
+    top = store.manifest(spark).agg(F.max("level").alias("level"), F.max_by("hash", F.struct("level", "node")).alias("root")).first()
+    nodes = _leaves(store.recipes(spark))
+    for _ in range(top["level"] or 0):
+        nodes = _up(nodes)
+    return [r["hash"] for r in nodes.select("hash").limit(2).collect()] == ([] if top["root"] is None else [top["root"]])
+
+
 def verify(spark: SparkSession, store: Store) -> bool:
     """Whether recipes hash to the manifest at every level, chunks to their digests, and every digest has its chunk."""
     chunks, recipes = store.chunks(spark), store.recipes(spark)
@@ -237,9 +246,9 @@ def digest(spark: SparkSession, store: Store) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32 (of the ids as
     little-endian unsigned 32-bit integers). Each stored chunk is read and checked
     once, where it lies; only its remainder travels to the recipes that name it, and
-    the remainders of a recipe combine in order. Recipes must hash to the manifest, and
+    the remainders of a recipe combine in order. Recipes must hash to the manifest's root, and
     their chunks must have as many ids as they say; else this raises."""
-    if not verify_recipes(spark, store):
+    if not same_root(spark, store):
         raise ValueError("recipes differ from the manifest")
     shape = _parse_datatype_string("digest binary, crc long, n int")
     names, kind = arrow_schema(shape), f"<u{store.width}"

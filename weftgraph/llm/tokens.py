@@ -123,19 +123,24 @@ def word_end(path: str) -> Callable[[str], np.ndarray]:
     core = tiktoken.Encoding("word_end", pat_str="[^ ]+ ", mergeable_ranks={p: i for i, p in enumerate(order)}, special_tokens={})._core_bpe.encode_ordinary
     library = _library(path)
     # Plain: white space, printable ASCII and Latin letters that no normal form changes, without the special strings.
-    odd = re.compile("[^\t\n\v\f\r -~\xa1-ſ]|<\\|")
+    plain = bytes([9, 10, 11, 12, 13, *range(0x20, 0x7F), *range(0x80, 0xC0), *range(0xC2, 0xC6)])
+    control = re.compile(b"\xc2[\x80-\xa0]")
     # What is not letters, as the split pattern takes it; letters between stay together.
     other = re.compile("('s|'t|'re|'ve|'m|'ll|'d|[0-9\xb2\xb3\xb9\xbc-\xbe]|(?:[^\\w\\s]|_)+)")
     # The same in two quick steps for a text without apostrophes.
-    digit = re.compile("[0-9\xb2\xb3\xb9\xbc-\xbe]")
-    mark = re.compile("[^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+")
+    digit = re.compile("([0-9\xb2\xb3\xb9\xbc-\xbe])")
+    mark = re.compile("([^\\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-ſ]+)")
     translate = np.array(back, np.int64).astype(np.uint32)
 
+    def odd(text: str) -> bool:
+        data = text.encode("utf-8", "surrogatepass")
+        return bool(data.translate(None, plain)) or b"<|" in data or control.search(data) is not None
+
     def encode(text: str) -> np.ndarray:
-        if odd.search(text) or len(text) >= RUN and LONG_RUN.search(text):
+        if odd(text) or len(text) >= RUN and LONG_RUN.search(text):
             return as_array(library.encode(text, add_special_tokens=False).ids)
         text = text.lower()
-        text = other.sub(r" \1 ", text) if "'" in text else mark.sub(r" \g<0> ", digit.sub(r" \g<0> ", text))
+        text = other.sub(r" \1 ", text) if "'" in text else " ".join(mark.split(" ".join(digit.split(text))))
         text = " ".join(text.split())
         return translate[as_array(core(text + " "))] if text else as_array([])
 
