@@ -301,147 +301,3 @@ def test_null_ids_of_text(spark):
     assert join(df) == brute_join(rows) and substring(df, 4) == brute_substring(rows, 4)
     got = ngram_join.keep_one(df).collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter([("a", None), ("", "a"), (None, None), ("a", ""), ("b", "one two three four five six"), ("b", "other words")])
-
-
-def test_levels():
-    assert substring_dedup.levels(35) == [9, 18, 35]
-
-
-# --- n-gram join -------------------------------------------------------------------------
-
-
-def shingle_set(text):
-    w = [x.lower() for x in split(text)]
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
-
-
-def brute_join(rows):
-    sets = [shingle_set(t) for _, t, *_ in rows]
-    up = list(range(len(rows)))
-
-    def find(x):
-        while up[x] != x:
-            x = up[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            both = len(a & b)
-            if a and b and 100 * both >= 75 * (len(a) + len(b) - both):
-                up[find(i)] = find(j)
-    least = defaultdict(list)
-    for k, (d, *_) in enumerate(rows):
-        least[find(k)].append(d)
-    return Counter((d, len(sets[k]), d if not sets[k] else min((x for x in least[find(k)] if x is not None), default=None)) for k, (d, *_) in enumerate(rows))
-
-
-def join(df):
-    return Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(df).collect())
-
-
-def near_copies(rnd, n=60):
-    rows, passage = [], words(rnd, 50)
-    for k in range(n):
-        if rows and rnd.random() < 0.6:
-            w = (rnd.choice(rows)[1]).split(" ")
-            for _ in range(rnd.randrange(0, 1 + len(w) // 20)):
-                w[rnd.randrange(len(w))] = f"e{rnd.randrange(1000)}"
-        else:
-            w = words(rnd, rnd.randrange(1, 150))
-            if rnd.random() < 0.4:
-                w += passage
-        rows.append((k, " ".join(w)))
-    return rows
-
-
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_join(docs, seed):
-    rows = near_copies(random.Random(seed)) + [(500 + (d or 400), t) for d, t in ODD] + [(None, "no id at all in this row"), (None, "no id at all in this row")]
-    assert join(docs(rows)) == brute_join(rows)
-
-
-@pytest.mark.parametrize("deal", [(2, 3), (10**6, 10**6)])
-def test_join_deals_frequent_tokens(docs, monkeypatch, deal):
-    monkeypatch.setattr(ngram_join, "DEAL", deal[0])
-    monkeypatch.setattr(ngram_join, "GRID", deal[1])
-    rows = near_copies(random.Random(6), 80) + [(900 + k, " ".join(["common passage of quite a few words here"] * 2 + words(random.Random(k), 8))) for k in range(30)]
-    assert join(docs(rows)) == brute_join(rows)
-
-
-def test_pairs(docs):
-    rows = near_copies(random.Random(8), 90) + [(300, near_copies(random.Random(8), 90)[5][1])]
-    sets = {d: shingle_set(t) for d, t in rows}
-    found, members = ngram_join.pairs(docs(rows))
-    of = defaultdict(set)
-    for r in members.collect():
-        of[r.rid].add(r.doc_id)
-    assert all(len({frozenset(sets[d]) for d in ds}) == 1 for ds in of.values())
-    got = set()
-    for r in found.collect():
-        a, b = min(of[r.src]), min(of[r.dst])
-        assert (r.shared, r.total) == (len(sets[a] & sets[b]), len(sets[a] | sets[b]))
-        got.add(frozenset((a, b)))
-    first = {}
-    for d in sorted(sets):
-        first.setdefault(frozenset(sets[d]), d)
-    reps = sorted(d for s, d in first.items() if s)
-    assert got == {frozenset((a, b)) for a in reps for b in reps if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
-
-
-def test_join_one_large_cluster(docs):
-    rnd = random.Random(9)
-    base = words(rnd, 120)
-    rows = []
-    for k in range(150):
-        w = list(base)
-        for _ in range(rnd.randrange(0, 5)):
-            w[rnd.randrange(len(w))] = f"e{rnd.randrange(10_000)}"
-        rows.append((k, " ".join(w)))
-    assert join(docs(rows)) == brute_join(rows)
-
-
-def test_join_empty_and_keep_one(docs):
-    assert join(docs([])) == Counter()
-    assert ngram_join.keep_one(docs([])).count() == 0
-    rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (2, "A b c d e f g"), (3, "other words stand here"), (4, None), (5, ""), (4, None)]
-    got = ngram_join.keep_one(docs(rows))
-    assert sorted((r.doc_id, r.text) for r in got.collect() if r.text) == [(1, "a b c d e f g"), (3, "other words stand here")]
-    assert got.filter("text is null or text = ''").count() == 3
-
-
-def test_prefix_always_meets():
-    """Sets that link share as many prefix elements as the smaller requirement, whatever the counts say."""
-    rnd = np.random.default_rng(5)
-    for _ in range(300):
-        n = int(rnd.integers(4, 60))
-        common = rnd.choice(10_000, n, replace=False).astype(np.uint64)
-        x = np.unique(np.concatenate([common, rnd.integers(10_000, 20_000, int(rnd.integers(0, n // 4 + 1))).astype(np.uint64)]))
-        y = np.unique(np.concatenate([common, rnd.integers(20_000, 30_000, int(rnd.integers(0, n // 4 + 1))).astype(np.uint64)]))
-        if 100 * n < 75 * (len(x) + len(y) - n):
-            continue
-        df = {int(t): int(c) for t, c in zip(np.unique(np.concatenate([x, y])), rnd.integers(1, 9, len(x) + len(y)), strict=False)}
-        (px, lx), (py, ly) = (ngram_join.prefix(s, np.array([df[int(t)] for t in s])) for s in (x, y))
-        assert len({*x[px].tolist()} & {*y[py].tolist()}) >= min(lx, ly)
-
-
-# --- kernels ---------------------------------------------------------------------------
-
-
-def test_words_and_windows():
-    import pyarrow as pa
-    from weftgraph.llm.common import text_bytes
-
-    rows = [t for _, t, *_ in ODD] + ["a  b\tc", "é\x0bz\x1fq", "end ", " begin"]
-    data, off = text_bytes(pa.array(rows, pa.string()))
-    b, e, f = shingles.words(data, off)
-    assert [[bytes(data[b[k] : e[k]]) for k in range(f[i], f[i + 1])] for i in range(len(rows))] == [split(t) for t in rows]
-    w = np.random.default_rng(0).integers(0, 2**63, 50, dtype=np.uint64)
-    for n in (1, 2, 3, 5, 18, 35, 50, 51):
-        want = []
-        for i in range(50 - n + 1):
-            x = 0
-            for v in w[i : i + n]:
-                x = (x * shingles.BASE[0] + int(v)) % 2**64
-            want.append(x)
-        assert (shingles.window_hashes(w, n) == shingles.mix(np.array(want, np.uint64))).all()
