@@ -128,6 +128,53 @@ def test_search_is_exact(spark, docs):
         assert (best == want).all() and np.allclose(sims, cos[want])
 
 
+def test_words_of_columns(spark):
+    """Words are looked up a column at a time, also where texts touch, and as ``words`` has them."""
+    import pyarrow as pa
+    from weftgraph.llm.common import text_bytes
+
+    texts = ["Ab cd", "ef", "ab", None, "", " \t", "ab" * 40 + " ab", "x1ab-AB", "Éa éa", "日本 ab", "a" * 64, "a" * 63, "ab"]
+    for more in (0, 1000):  # beside so many other terms that a few words are looked up one by one
+        numbers = {w: k for k, w in enumerate(dict.fromkeys([w for t in texts[2:] for w in toxicity.words(t)] + [b"no%d" % k for k in range(more)]))}
+        column = pa.array(["left out", *texts])[1:]
+        got = [Counter() for _ in texts]
+        for text, number, times in zip(*toxicity.Vocabulary(numbers).counts(*text_bytes(column)), strict=True):
+            got[text][int(number)] = int(times)
+        assert got == [Counter(numbers[w] for w in toxicity.words(t) if w in numbers) for t in texts]
+        assert len(toxicity.Vocabulary({}).counts(*text_bytes(column))[0]) == 0
+
+
+def test_frequent_terms_are_met_in_batches(spark, docs, monkeypatch):
+    """A product with all examples costs as much for one text as for many: votes on the examples
+    and scores make one for a batch, and words are looked up once for it."""
+    import pyarrow as pa
+
+    rows, labels = labelled(spark, 300, 6)
+    index = toxicity.fit(docs(rows), labels).prepare()
+    sizes = []
+    frequent = toxicity.Index.frequent
+    monkeypatch.setattr(toxicity.Index, "frequent", lambda self, vectors: sizes.append(len(vectors)) or frequent(self, vectors))
+    text = dict(rows)
+    column = pa.array([text[d] for d in index.ids])
+    batch = pa.RecordBatch.from_arrays([pa.array(index.ids), column], names=["doc_id", "text"])
+
+    class Shared:
+        value = index
+
+    from pyspark.sql.types import _parse_datatype_string
+
+    out = [r for b in toxicity._votes(_parse_datatype_string("e int, raw double"), Shared)(iter([batch])) for r in b.column(1).to_pylist()]
+    assert len(out) == len(index.ids) > 150 and len(sizes) <= -(-len(out) // toxicity.BATCH) and sum(sizes) == len(out)
+    alone = [index.raw(*index.vector(text[d]), without=e)[0] for e, d in enumerate(index.ids)]
+    assert np.allclose(out, alone, rtol=0, atol=1e-9)
+    monkeypatch.setattr(toxicity, "BATCH", 7)
+    monkeypatch.setattr(toxicity, "SPAN", 3000)
+    scorer = toxicity._Scorer(index)
+    got = scorer([*index.ids, None, index.ids[0]], pa.array([*column.to_pylist(), None, text[index.ids[0]]]))
+    assert [g[0] for g in got[:-2]] == pytest.approx([index.score(r) for r in alone], abs=1e-9)
+    assert len(got[-2][1]) == 0 and got[-1][0] == got[0][0]
+
+
 def test_own_label_is_no_input(spark, docs):
     rows, labels = labelled(spark, 200, 5)
     index = toxicity.fit(docs(rows), labels)
