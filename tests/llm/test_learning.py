@@ -175,6 +175,19 @@ def test_frequent_terms_are_met_in_batches(spark, docs, monkeypatch):
     assert len(got[-2][1]) == 0 and got[-1][0] == got[0][0]
 
 
+def test_index_of_a_task(spark, docs):
+    """An index that has travelled finds the same without the weights by example that it was built from."""
+    import pickle
+
+    rows, labels = labelled(spark, 200, 8)
+    index = toxicity.fit(docs(rows), labels)
+    there = pickle.loads(pickle.dumps(index))
+    assert there.own_term is there.own_weight is there.times is None and there.curve == index.curve
+    for d, t in [*rows[:40], (None, ""), (None, "foul")]:
+        (a, x), (b, y) = (i.nearest(*i.vector(t), without=i.at.get(d, -1)) for i in (index, there))
+        assert (a == b).all() and (x == y).all()
+
+
 def test_own_label_is_no_input(spark, docs):
     rows, labels = labelled(spark, 200, 5)
     index = toxicity.fit(docs(rows), labels)
